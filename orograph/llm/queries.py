@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .language_id import op10_byte_gru
 from .quality_rules import op9_decision_list
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op9_decision_list": op9_decision_list,
+        "op10_byte_gru": op10_byte_gru,
     }
 
 
