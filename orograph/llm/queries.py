@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .language_id import op10_byte_gru
 from .quality_rules import op9_decision_list
+from .toxicity import op4_noisy_or
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_noisy_or": op4_noisy_or,
         "op9_decision_list": op9_decision_list,
         "op10_byte_gru": op10_byte_gru,
     }
