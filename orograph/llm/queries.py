@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .language_id import op10_byte_gru
 from .quality_rules import op9_decision_list
+from .simhash import op8_simhash_blocks
 from .toxicity import op4_noisy_or
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_noisy_or": op4_noisy_or,
+        "op8_simhash_blocks": op8_simhash_blocks,
         "op9_decision_list": op9_decision_list,
         "op10_byte_gru": op10_byte_gru,
     }
