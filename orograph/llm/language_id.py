@@ -22,11 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bucket_crc, small_batches, table
+from .common import bucket_crc, sized, small_batches, table
 
 SEGMENT = 24
 BOUNDARY = 32
-CACHE_WORDS = 300_000
+CACHE_WORDS = 700_000
 TRAIN_DOCS = 500
 """Documents of each language, about and at most twice that, that the network learns from."""
 
@@ -49,7 +49,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 class ByteNetwork:
     """Two gated recurrent layers, one for each direction, and a softmax at every position."""
 
-    def __init__(self, languages: list[str], hidden: int = 20, seed: int = 7) -> None:
+    def __init__(self, languages: list[str], hidden: int = 16, seed: int = 7) -> None:
         rng = np.random.default_rng(seed)
         self.languages, self.hidden = languages, hidden
         shape = {"x": (256, 3 * hidden), "u": (hidden, 3 * hidden)}
@@ -61,9 +61,10 @@ class ByteNetwork:
         """States after each byte, (time, word, hidden); keep gets what backpropagation needs."""
         n, t = seq.shape
         h, out, k = np.zeros((n, self.hidden), np.float32), np.empty((t, n, self.hidden), np.float32), self.hidden
+        by_byte, inner = self.p[f"x{d}"] + self.p[f"c{d}"], self.p[f"u{d}"]
         for i in range(t) if d == "f" else range(t - 1, -1, -1):
-            a = self.p[f"x{d}"][seq[:, i]] + self.p[f"c{d}"]
-            u = h @ self.p[f"u{d}"]
+            a = by_byte[seq[:, i]]
+            u = h @ inner
             zr = _sigmoid(a[:, : 2 * k] + u[:, : 2 * k])
             z, r = zr[:, :k], zr[:, k:]
             new = np.tanh(a[:, 2 * k :] + r * u[:, 2 * k :])
@@ -207,24 +208,18 @@ def identify(docs: DataFrame, net: ByteNetwork | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, pooled = _Known(), np.zeros((0, len(net.languages) + 1 if net else 1), np.float32)
         for batch in batches:
-            langs, scores = [], []
-            for text in batch.column(1).to_pylist():
-                words = words_of(text) if net and text and _LETTER.search(text) else []
-                if not words:
-                    langs.append("und"), scores.append(0.0)
-                    continue
+            for part in sized(batch, 1):
                 if len(known) > CACHE_WORDS:
                     known, pooled = _Known(), pooled[:0]
-                at = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-                if known.fresh:
-                    if len(known) > len(pooled):
-                        pooled = np.concatenate([pooled, np.zeros((max(len(known), 2 * len(pooled)) - len(pooled), pooled.shape[1]), np.float32)])
-                    pooled[len(known) - len(known.fresh) : len(known)] = net.pooled(known.fresh)
-                    known.fresh = []
-                total = pooled[at].sum(0, dtype=np.float64)
-                best = int(np.argmax(total[:-1]))
-                langs.append(net.languages[best]), scores.append(min(1.0, float(total[best] / total[-1])))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
+                bags = [words_of(t) if net and t and _LETTER.search(t) else [] for t in part.column(1).to_pylist()]
+                at = [np.fromiter(map(known.__getitem__, words), np.int64, len(words)) for words in bags]
+                if known.fresh:  # all new words of the slice at once
+                    pooled, known.fresh = np.concatenate([pooled, net.pooled(known.fresh)]), []
+                total = np.array([pooled[i].sum(0, dtype=np.float64) for i in at])
+                best = total[:, :-1].argmax(1) if net else np.zeros(len(at), int)
+                langs = [net.languages[b] if len(i) else "und" for b, i in zip(best, at)]
+                scores = [min(1.0, float(t[b] / t[-1])) if len(i) else 0.0 for t, b, i in zip(total, best, at)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 
     small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
