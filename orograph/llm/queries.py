@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontamination import ORACLE as _OP3
+from .decontamination import op3_suffix_array
 from .language_id import op10_byte_gru
 from .quality_rules import op9_decision_list
 from .simhash import op8_simhash_blocks
@@ -14,6 +16,7 @@ from .toxicity import op4_noisy_or
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_suffix_array": op3_suffix_array,
         "op4_noisy_or": op4_noisy_or,
         "op8_simhash_blocks": op8_simhash_blocks,
         "op9_decision_list": op9_decision_list,
@@ -22,4 +25,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_suffix_array": _OP3}
