@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .decontamination import ORACLE as _OP3
 from .decontamination import op3_suffix_array
 from .language_id import op10_byte_gru
+from .packing import op7_nnls_packing
 from .quality_rules import op9_decision_list
 from .simhash import op8_simhash_blocks
 from .toxicity import op4_noisy_or
@@ -18,6 +19,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_suffix_array": op3_suffix_array,
         "op4_noisy_or": op4_noisy_or,
+        "op7_nnls_packing": op7_nnls_packing,
         "op8_simhash_blocks": op8_simhash_blocks,
         "op9_decision_list": op9_decision_list,
         "op10_byte_gru": op10_byte_gru,
