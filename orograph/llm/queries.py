@@ -11,12 +11,14 @@ from .decontamination import op3_suffix_array
 from .language_id import op10_byte_gru
 from .packing import op7_nnls_packing
 from .quality_rules import op9_decision_list
+from .sharding import op2_hypergeometric
 from .simhash import op8_simhash_blocks
 from .toxicity import op4_noisy_or
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_hypergeometric": op2_hypergeometric,
         "op3_suffix_array": op3_suffix_array,
         "op4_noisy_or": op4_noisy_or,
         "op7_nnls_packing": op7_nnls_packing,
