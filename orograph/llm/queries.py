@@ -14,6 +14,8 @@ from .quality_rules import op9_decision_list
 from .sharding import op2_hypergeometric
 from .simhash import op8_simhash_blocks
 from .toxicity import op4_noisy_or
+from .warc import ORACLE as _OP5
+from .warc import op5_chunked_records
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_hypergeometric": op2_hypergeometric,
         "op3_suffix_array": op3_suffix_array,
         "op4_noisy_or": op4_noisy_or,
+        "op5_chunked_records": op5_chunked_records,
         "op7_nnls_packing": op7_nnls_packing,
         "op8_simhash_blocks": op8_simhash_blocks,
         "op9_decision_list": op9_decision_list,
@@ -29,4 +32,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_suffix_array": _OP3}
+    return {"op3_suffix_array": _OP3, "op5_chunked_records": _OP5}
