@@ -13,6 +13,7 @@ from .packing import op7_nnls_packing
 from .quality_rules import op9_decision_list
 from .sharding import op2_hypergeometric
 from .simhash import op8_simhash_blocks
+from .surrogates import op6_surrogates
 from .toxicity import op4_noisy_or
 from .warc import ORACLE as _OP5
 from .warc import op5_chunked_records
@@ -24,6 +25,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_suffix_array": op3_suffix_array,
         "op4_noisy_or": op4_noisy_or,
         "op5_chunked_records": op5_chunked_records,
+        "op6_surrogates": op6_surrogates,
         "op7_nnls_packing": op7_nnls_packing,
         "op8_simhash_blocks": op8_simhash_blocks,
         "op9_decision_list": op9_decision_list,
