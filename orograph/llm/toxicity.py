@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import bucket_crc, small_batches, table
 
 BITS = 18
-MAX_SAMPLE = 3000
+MAX_SAMPLE = 2500
 """Labelled documents of each label, at most, that the model is fitted on: those of the least id hash."""
 CACHE_WORDS = 400_000
 THRESHOLD = 0.7
@@ -61,10 +62,10 @@ class NoisyOr:
         nothing of others. Weights are never negative: no harmless word excuses an offending one.
         """
         vocabulary: dict[bytes, int] = {}
-        word_ids, sentence_ends, bag_ends = [], [], []
+        word_ids, sentence_ends, bag_ends = array("i"), [], []
         n = 0
-        for text in texts:
-            for word in _tokens(text) + [b"\x01"]:
+        while texts:  # the texts go as their words come
+            for word in _tokens(texts.pop(0)) + [b"\x01"]:
                 if word == b"\x01":
                     if n > (sentence_ends[-1] if sentence_ends else 0):
                         sentence_ends.append(n)
@@ -72,8 +73,7 @@ class NoisyOr:
                     word_ids.append(vocabulary.setdefault(word, len(vocabulary)))
                     n += 1
             bag_ends.append(len(sentence_ends))
-        ids, ends, bags = np.array(word_ids, np.int32), np.array(sentence_ends), np.array(bag_ends)
-        del word_ids
+        ids, ends, bags = np.frombuffer(word_ids, np.int32), np.array(sentence_ends), np.array(bag_ends)
         lists = [word_features(w) for w in vocabulary]
         places = np.fromiter((x for f in lists for x in f), np.int64)
         owner = np.repeat(np.arange(len(lists)), [len(f) for f in lists])
