@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decontamination import ORACLE as _OP3
 from .decontamination import op3_suffix_array
+from .html_text import op1_host_suffix_array
 from .language_id import op10_byte_gru
 from .packing import op7_nnls_packing
 from .quality_rules import op9_decision_list
@@ -21,6 +22,7 @@ from .warc import op5_chunked_records
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_host_suffix_array": op1_host_suffix_array,
         "op2_hypergeometric": op2_hypergeometric,
         "op3_suffix_array": op3_suffix_array,
         "op4_noisy_or": op4_noisy_or,
