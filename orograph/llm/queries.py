@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+
 from .decontamination import ORACLE as _OP3
 from .decontamination import op3_suffix_array
 from .html_text import op1_host_suffix_array
@@ -22,6 +24,7 @@ from .warc import op5_chunked_records
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "pipeline": corpus_pipeline.run,
         "op1_host_suffix_array": op1_host_suffix_array,
         "op2_hypergeometric": op2_hypergeometric,
         "op3_suffix_array": op3_suffix_array,
