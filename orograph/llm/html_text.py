@@ -4,7 +4,7 @@ A page is read into blocks, each within the article, within a part that is named
 open (neither). All words outside articles form the page's token stream. The streams of a host's pages are
 concatenated, their suffix array is built, and every run of MIN_TOKENS words or more that begins suffixes of
 two distinct pages is covered: it is boilerplate. What is left of a page is its article; where markup names
-none, the open blocks' unique runs.
+none, the open blocks' unique runs; a block of which less than half is covered stays whole.
 
 Words of an article are never removed for recurring elsewhere: pages may quote and copy each other. A host
 with more pages or bytes than a shard takes is cut by page hash into shards of bounded size, and its repeats are
@@ -182,7 +182,8 @@ def _texts(pages: list[list[tuple[int, str]]], owners: list[str]) -> list[str]:
     for page, rest, cover in zip(pages, outside, covered):
         at, left = 0, []
         for kind, words in rest:
-            unique = [w for w, c in zip(words, cover[at : at + len(words)]) if not c]
+            own = cover[at : at + len(words)]
+            unique = words if 2 * own.sum() < len(words) else [w for w, c in zip(words, own) if not c]
             at += len(words)
             if unique and kind == OPEN:
                 left.append(" ".join(unique))
