@@ -13,6 +13,9 @@ as often as they occur. An empty table gives no sequences. Columns besides doc_i
 
 from __future__ import annotations
 
+import os
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -28,7 +31,7 @@ UNIT = 16
 END_TOKEN = 2
 SUBBINS = 64
 """Parts that a bin is ranked in; bins times parts is what reaches the driver."""
-CACHE_WORDS = 500_000
+CACHE_PARTS = 600_000
 
 
 def tokenizer_path() -> str:
@@ -37,60 +40,117 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class _Encoder:
-    """Token ids of texts; words between ASCII white space are encoded once and then looked up.
+_PARTS = re.compile(rb"[^\s']*'[^\s]*|[a-z\x80-\xff]+|[0-9]|[^a-z0-9\x80-\xff\s]+")
+"""Within a stretch without white space: the whole of one with an apostrophe, else letters, a digit, or signs."""
 
-    The tokenizer drops white space and never joins what it separates, so a text's ids are its words' ids.
-    """
 
-    class _Known(dict):
-        def __init__(self) -> None:
-            super().__init__()
-            self.fresh: list[bytes] = []
+_SINGLE = re.compile(r"[0-9]|[^a-zA-Z0-9\s']+", re.A)
+"""ASCII parts that are one word, beside letters."""
+
+
+class _Known(dict):
+    """Part to number; one that isn't there is noted and gets the next number."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.fresh: list[bytes] = []
+
+    def __missing__(self, part: bytes) -> int:
+        self[part] = at = len(self)
+        self.fresh.append(part)
+        return at
+
 
-        def __missing__(self, word: bytes) -> int:
-            self[word] = at = len(self)
-            self.fresh.append(word)
-            return at
+class _Encoder:
+    """Token ids of texts, encoded part by part: each distinct part once, then by lookup.
+
+    The tokenizer lower-cases, drops white space and splits between letters, digits and signs, so a text's
+    ids are its parts' ids. Where a text has special tokens or characters beyond ASCII that are
+    not plain letters, parts are whole stretches between white space instead.
+    """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a core runs one task
         self.tokenizer = Tokenizer.from_file(path)
+        self.letters: dict[int, bool] = {}
         self.forget()
 
     def forget(self) -> None:
-        self.known, self.ids, self.ends = self._Known(), np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.known, self.ids, self.ends = _Known(), np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def _plain(self, text: str) -> bool:
+        if "<|" in text:
+            return False
+        if text.isascii():
+            return True
+        found = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
+        for c in np.unique(found[found > 127]).tolist():
+            if c not in self.letters:
+                self.letters[c] = all(unicodedata.category(x)[0] == "L" for x in chr(c).lower() + unicodedata.normalize("NFC", chr(c)))
+            if not self.letters[c]:
+                return False
+        return True
+
+    def _learn(self) -> None:
+        """Ids of the new parts. Those that are one word each are encoded as one text: the tokenizer tells whose words they are."""
+        fresh = [p.decode() for p in self.known.fresh]
+        single = np.array([p.lower().isalpha() or p.isascii() and bool(_SINGLE.fullmatch(p)) for p in fresh], bool)
+        ids: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(fresh)
+        for lo in range(0, len(fresh), 2048):
+            at = lo + np.flatnonzero(single[lo : lo + 2048])
+            if len(at):
+                together = self.tokenizer.encode(" ".join(fresh[i] for i in at.tolist()), add_special_tokens=False)
+                size = np.bincount(np.array(together.word_ids, np.int64), minlength=len(at))
+                if len(size) == len(at):
+                    for i, x in zip(at.tolist(), np.split(np.array(together.ids, np.uint32), np.cumsum(size)[:-1])):
+                        ids[i] = x
+                else:
+                    single[at] = False
+            rest = (lo + np.flatnonzero(~single[lo : lo + 2048])).tolist()
+            for i, e in zip(rest, self.tokenizer.encode_batch([fresh[i] for i in rest], add_special_tokens=False)):
+                ids[i] = np.array(e.ids, np.uint32)
+        self.ids = np.concatenate([self.ids, *ids])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum([len(x) for x in ids])])
+        self.known.fresh = []
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's followed by END_TOKEN, and the n + 1 bounds."""
-        if len(self.known) > CACHE_WORDS:
+        if len(self.known) > CACHE_PARTS:
             self.forget()
-        words: list[bytes] = []
-        counts = []
+        parts: list[bytes] = []
+        bounds = [0]
         for text in texts:
-            before = len(words)
-            words += (text or "").encode("utf-8", "replace").split()
-            counts.append(len(words) - before)
-        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        if fresh := self.known.fresh:
-            new = [e.ids for e in self.tokenizer.encode_batch([w.decode() for w in fresh], add_special_tokens=False)]
-            self.ids = np.concatenate([self.ids, np.array([i for x in new for i in x], np.uint32)])
-            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum([len(x) for x in new])])
-            self.known.fresh = []
+            raw = (text or "").encode("utf-8", "replace")
+            parts += _PARTS.findall(raw.lower()) if self._plain(text or "") else raw.split()
+            bounds.append(len(parts))
+        at = np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts))
+        if self.known.fresh:
+            self._learn()
         size = self.ends[at + 1] - self.ends[at]
         done = np.concatenate([[0], np.cumsum(size)])
         ids = self.ids[np.repeat(self.ends[at] - done[:-1], size) + np.arange(done[-1])]
-        bounds = done[np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])]
+        bounds = done[np.array(bounds)]
         return np.insert(ids, bounds[1:], np.uint32(END_TOKEN)), bounds + np.arange(len(bounds))
 
 
+_encoders: dict[str, _Encoder] = {}
+
+
+def _encoder(path: str) -> _Encoder:
+    """A worker's encoder: made once, its bounded memory of parts serves all the worker's tasks."""
+    if path not in _encoders:
+        _encoders[path] = _Encoder(path)
+    return _encoders[path]
+
+
 def pieces(docs: DataFrame, window: int = WINDOW, path: str | None = None) -> DataFrame:
     """doc_id, start, length, ids_crc32 and doc_tokens of every piece of every row."""
     path = path or tokenizer_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _Encoder(path)
+        encoder = _encoder(path)
         for batch in batches:
             for part in sized(batch, 1):
                 ids, bounds = encoder.encode(part.column(1).to_pylist())
