@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import geodesy as G
 from ..functions import tiles as T
 from ..functions.numbers import half_up, wrap16, zigzag
+from .storage import checkpointed
 
 CORNERS = (0, 1, 2)
 
@@ -170,22 +171,19 @@ def morton(ix: Column, iy: Column, iz: Column, depth: int) -> Column:
     return out
 
 
-def face_components(faces: DataFrame, folder: str | None = None, rounds: int = 60) -> DataFrame:
+def face_components(faces: DataFrame, rounds: int = 60) -> DataFrame:
     """face, root: faces that share corners, directly or through others, have one root, the least corner id.
 
     Corners take the least label around them and then their label's label, until none changes; every
     round is checkpointed, so lineage stays short and an executor's loss costs one round.
     """
-    spark = faces.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder or spark.conf.get("spark.checkpoint.dir", "/tmp/checkpoints"))
     links = faces.select(F.explode(F.array(F.struct(F.col("v0").alias("a"), F.col("v1").alias("b")), F.struct(F.col("v1").alias("a"), F.col("v2").alias("b")))).alias("e")).select("e.a", "e.b")
-    both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
-    label = both.groupBy("a").agg(F.least(F.first("a"), F.min("b")).alias("root")).checkpoint()
+    both = checkpointed(links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    label = checkpointed(both.groupBy("a").agg(F.least(F.first("a"), F.min("b")).alias("root")))
     for _ in range(rounds):
         around = both.join(label.select(F.col("a").alias("b"), "root"), "b").groupBy("a").agg(F.min("root").alias("near"))
         step = label.join(around, "a").select("a", "root", F.least("root", "near").alias("now"))
-        jump = step.join(label.select(F.col("a").alias("now"), F.col("root").alias("over")), "now").select("a", F.least("now", "over").alias("root"), (F.col("root") != F.least("now", "over")).alias("new")).checkpoint()
+        jump = checkpointed(step.join(label.select(F.col("a").alias("now"), F.col("root").alias("over")), "now").select("a", F.least("now", "over").alias("root"), (F.col("root") != F.least("now", "over")).alias("new")))
         label = jump.select("a", "root")
         if jump.where("new").isEmpty():
             return faces.join(label.withColumnRenamed("a", "v0"), "v0").select("face", "root")
