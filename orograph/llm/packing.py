@@ -31,7 +31,7 @@ UNIT = 16
 END_TOKEN = 2
 SUBBINS = 64
 """Parts that a bin is ranked in; bins times parts is what reaches the driver."""
-CACHE_PARTS = 600_000
+CACHE_PARTS = 400_000
 
 
 def tokenizer_path() -> str:

@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 from .common import bucket_crc, small_batches, table
 
 BITS = 18
-MAX_SAMPLE = 2500
+MAX_SAMPLE = 1200
 """Labelled documents of each label, at most, that the model is fitted on: those of the least id hash."""
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 THRESHOLD = 0.7
 
 _END = 10
@@ -191,7 +191,7 @@ def _spans(text: str, found: list[dict]) -> list[dict]:
     return out
 
 
-def _pieces(batch: pa.RecordBatch, column: int, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def _pieces(batch: pa.RecordBatch, column: int, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     from .common import sized
 
     yield from sized(batch, column, limit)
