@@ -1,12 +1,14 @@
 """Main text of web pages: markup roles and a suffix array over each host's pages.
 
 A page is read into blocks, each within the article, within a part that is named as boilerplate, or
-open (neither). All words outside articles form the page's token stream. The streams of a host's pages are
-concatenated, their suffix array is built, and every run of MIN_TOKENS words or more that begins suffixes of
-two distinct pages is covered: it is boilerplate. What is left of a page is its article; where markup names
-none, the open blocks' unique runs; a block of which less than half is covered stays whole.
-
-Words of an article are never removed for recurring elsewhere: pages may quote and copy each other. A host
+open (neither). The words of a host's pages, those of articles too, are streams whose suffix array is built; it
+groups equal runs of MIN_TOKENS words, and a run's pages are counted. A run on HOST_SHARE of the host's pages
+and on HOST_PAGES at least is host-wide: its words are boilerplate wherever they stand, in articles too. A run
+that two pages share outside articles is boilerplate in open blocks of which it and its like cover half or more; a
+passage that a few articles quote, or that is a lesser part of an open block, stays. The text of a page is what
+is left of its article and its open blocks, in page order.
+
+A host
 with more pages or bytes than a shard takes is cut by page hash into shards of bounded size, and its repeats are
 those within a shard.
 
@@ -28,10 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import in_runs, small_batches, table
+from .common import in_runs, small_batches, span_codes, spans, table
 from .decontamination import SuffixArray
 
 MIN_TOKENS = 8
+HOST_PAGES = 4
+HOST_SHARE = 0.5
+"""A run on this share of a host's pages, and on HOST_PAGES at least, is host-wide."""
 SHARD_PAGES = 2000
 SHARD_BYTES = 32 << 20
 BROADCAST_HOSTS = 200_000
@@ -145,51 +150,108 @@ def blocks(html: str | None) -> list[tuple[int, str]]:
     return out
 
 
+class Runs:
+    """The runs of least tokens in streams of word codes: equal runs are one group, numbered in the order of the
+    suffix array; no stream's run goes on over its end."""
+
+    def __init__(self, tokens: np.ndarray, bounds: np.ndarray, owner_of: np.ndarray, least: int = MIN_TOKENS) -> None:
+        """owner_of: the owner's number for each stream."""
+        self.tokens, self.bounds, self.least = tokens, bounds, least
+        self.starts = self.group = self.owner = np.zeros(0, np.int64)
+        self.n_owners = int(owner_of.max()) + 1 if len(owner_of) else 0
+        if len(tokens) >= least:
+            sa = SuffixArray(tokens, bounds, least)
+            n = len(sa.order)
+            same, whole = np.ones(n - 1, bool), np.ones(n, bool)
+            for d in range(least):
+                word = sa.text[np.minimum(sa.order + d, n - 1)]
+                same &= word[1:] == word[:-1]
+                whole &= word > 0
+            group = np.concatenate([[0], np.cumsum(~same)])[whole]
+            self.group = np.unique(group, return_inverse=True)[1].astype(np.int64)
+            self.starts = sa.word_at[sa.order[whole]]
+            self.owner = owner_of[np.searchsorted(bounds, self.starts, "right") - 1]
+        self.n_groups = int(self.group[-1]) + 1 if len(self.group) else 0
+
+    def owners(self, where: np.ndarray | None = None) -> np.ndarray:
+        """How many owners have each group; where: only at these of the starts."""
+        group, owner = (self.group, self.owner) if where is None else (self.group[where], self.owner[where])
+        return np.bincount(np.unique(group * self.n_owners + owner) // max(1, self.n_owners), minlength=self.n_groups)
+
+    def covered(self, groups: np.ndarray, where: np.ndarray | None = None) -> np.ndarray:
+        """Which tokens lie in a run of the flagged groups."""
+        chosen = groups[self.group] if where is None else groups[self.group] & where
+        begins = np.zeros(len(self.tokens), bool)
+        begins[self.starts[chosen]] = True
+        return in_runs(begins, self.least, len(self.tokens))
+
+
+def _numbered(owners: list[str]) -> np.ndarray:
+    names: dict[str, int] = {}
+    return np.array([names.setdefault(o, len(names)) for o in owners], np.int64)
+
+
 def repeated(streams: list[list[str]], owners: list[str], least: int = MIN_TOKENS) -> list[np.ndarray]:
     """For each stream, which of its tokens lie in a run of least tokens or more that two owners' streams share."""
-    sizes = np.array([len(s) for s in streams], np.int64)
-    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    bounds = np.concatenate([[0], np.cumsum([len(s) for s in streams])]).astype(np.int64)
     codes: dict[str, int] = {}
     tokens = np.fromiter((codes.setdefault(t, len(codes)) for s in streams for t in s), np.uint64, int(bounds[-1]))
-    if len(tokens) < least:
-        return [np.zeros(n, bool) for n in sizes]
-    sa = SuffixArray(tokens, bounds, least)
-    n = len(sa.order)
-    same = np.ones(n - 1, bool)
-    for d in range(least):
-        word = sa.text[np.minimum(sa.order + d, n - 1)]
-        same &= (word[1:] == word[:-1]) & (word[1:] > 0)
-    group = np.concatenate([[0], np.cumsum(~same)])
-    names: dict[str, int] = {}
-    owner_of = np.array([names.setdefault(o, len(names)) for o in owners], np.int64)
-    at = sa.word_at[sa.order]
-    real = at >= 0
-    owner = owner_of[np.minimum(np.searchsorted(bounds, at[real], "right") - 1, len(owner_of) - 1)]
-    low, high = np.full(n, len(names), np.int64), np.full(n, -1, np.int64)
-    np.minimum.at(low, group[real], owner)
-    np.maximum.at(high, group[real], owner)
-    begins = np.zeros(len(tokens), bool)
-    begins[at[real][low[group[real]] < high[group[real]]]] = True
-    covered = in_runs(begins, least, len(tokens))
+    runs = Runs(tokens, bounds, _numbered(owners), least)
+    covered = runs.covered(runs.owners() > 1)
     return [covered[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
 
 
+def _codes(texts: list[str]) -> np.ndarray:
+    """Codes of all words of texts whose words are parted by single spaces."""
+    raw = np.frombuffer(" ".join(texts).encode("utf-8", "replace"), np.uint8)
+    return span_codes(raw, *spans(raw != 0x20, np.array([0, len(raw)])))
+
+
+class Shard:
+    """Pages of one host. Each page is two streams of one owner, the words outside articles and those within."""
+
+    def __init__(self, pages: list[list[tuple[int, str]]], owners: list[str]) -> None:
+        self.pages = pages
+        streams = [_codes([text for kind, text in page if (kind == ARTICLE) == article]) for page in pages for article in (False, True)]
+        self.bounds = np.concatenate([[0], np.cumsum([len(s) for s in streams])]).astype(np.int64)
+        tokens = np.concatenate(streams) if streams else np.zeros(0, np.uint64)
+        self.runs = Runs(tokens, self.bounds, np.repeat(_numbered(owners), 2))
+        self.outside = (np.searchsorted(self.bounds, self.runs.starts, "right") - 1) % 2 == 0
+        self.n_all, self.n_outside = self.runs.owners(), self.runs.owners(self.outside)
+
+    def texts(self, wide: np.ndarray, shared: np.ndarray) -> list[str]:
+        """Main texts, given the groups of runs that are host-wide and those that two pages share outside articles."""
+        wide, shared = self.runs.covered(wide), self.runs.covered(shared, self.outside)
+        out = []
+        for k, page in enumerate(self.pages):
+            at, left = [int(self.bounds[2 * k]), int(self.bounds[2 * k + 1])], []
+            for kind, text in page:
+                words = text.split(" ")
+                side = int(kind == ARTICLE)
+                a, b = at[side], at[side] + len(words)
+                at[side] = b
+                if kind == NAMED:
+                    continue
+                gone = wide[a:b]
+                if kind == OPEN and 2 * ((both := gone | shared[a:b]).sum()) >= len(words):
+                    gone = both
+                if gone.any():
+                    text = " ".join(w for w, g in zip(words, gone) if not g)
+                if text:
+                    left.append(text)
+            out.append("\n".join(left))
+        return out
+
+
+def least_pages(pages: int) -> float:
+    """On so many of a host's pages a run is host-wide."""
+    return max(HOST_PAGES, HOST_SHARE * pages)
+
+
 def _texts(pages: list[list[tuple[int, str]]], owners: list[str]) -> list[str]:
-    """Main texts of a shard's pages."""
-    outside = [[(kind, text.split(" ")) for kind, text in page if kind != ARTICLE] for page in pages]
-    covered = repeated([[w for _, words in page for w in words] for page in outside], owners)
-    out = []
-    for page, rest, cover in zip(pages, outside, covered):
-        at, left = 0, []
-        for kind, words in rest:
-            own = cover[at : at + len(words)]
-            unique = words if 2 * own.sum() < len(words) else [w for w, c in zip(words, own) if not c]
-            at += len(words)
-            if unique and kind == OPEN:
-                left.append(" ".join(unique))
-        article = [text for kind, text in page if kind == ARTICLE]
-        out.append("\n".join(article or left))
-    return out
+    """Main texts of all pages of a host."""
+    shard = Shard(pages, owners)
+    return shard.texts(shard.n_all >= least_pages(shard.runs.n_owners), shard.n_outside > 1)
 
 
 def _hosts(pages: DataFrame) -> DataFrame:

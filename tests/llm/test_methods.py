@@ -196,6 +196,16 @@ def test_boilerplate_goes_and_articles_stay(spark):
     assert got == {0: "Story 0 of its own", 1: "Story 1 of its own", 2: "Story 2 of its own", 9: "T & x\ngood text"}
 
 
+def test_host_wide_runs_leave_articles_and_quotations_stay(spark):
+    notice = "All rights in these pages belong to their several authors and nobody else"
+    quote = "It was the best of times and it was the worst of times by far"
+    own = lambda i: " ".join(f"word{i}x{k}" for k in range(12))
+    rows = [(i, f"http://h/{i}", f"<main><p>{own(i)} {notice}</p><p>{quote if i < 3 else own(i + 50)}</p></main>") for i in range(10)]
+    rows.append((10, "http://h/10", f"<article>teaser</article><div>{own(10)}</div>"))
+    got = {r["page_id"]: r["text"] for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"{own(i)}\n{quote if i < 3 else own(i + 50)}" for i in range(10)} | {10: f"teaser\n{own(10)}"}
+
+
 def test_surrogates_keep_format_and_people(spark):
     texts = ["Mail und.34@mail7.example.com or +1 (017) 555-7713, IP 97.51.17.173.", "Mrs. Anna Smith and Mr Jones; Smith left. 4111 1111 1111 1111", "und.34@mail7.example.com г-жа Анна Иванова", "no data 12"]
     out = [r["text"] for r in surrogates.replaced(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id int, text string")).orderBy("doc_id").collect()]
