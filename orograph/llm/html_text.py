@@ -8,9 +8,8 @@ that two pages share outside articles is boilerplate in open blocks of which it
 passage that a few articles quote, or that is a lesser part of an open block, stays. The text of a page is what
 is left of its article and its open blocks, in page order.
 
-A host
-with more pages or bytes than a shard takes is cut by page hash into shards of bounded size, and its repeats are
-those within a shard.
+A host with more pages or bytes than a shard takes is cut by page into shards of bounded size; counts of pages are
+those of the whole host all the same, so where the cuts fall doesn't change a text.
 
 Defined results: null, empty or wordless html gives an empty text. Rows of one page_id (of one url, if that is
 null) are one page and don't count as repeats of each other. A null url is a host of its own name. An unclosed
@@ -30,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import in_runs, small_batches, span_codes, spans, table
+from .common import in_runs, run_codes, small_batches, span_codes, spans, stored, table
 from .decontamination import SuffixArray
 
 MIN_TOKENS = 8
@@ -248,21 +247,17 @@ def least_pages(pages: int) -> float:
     return max(HOST_PAGES, HOST_SHARE * pages)
 
 
-def _texts(pages: list[list[tuple[int, str]]], owners: list[str]) -> list[str]:
-    """Main texts of all pages of a host."""
-    shard = Shard(pages, owners)
-    return shard.texts(shard.n_all >= least_pages(shard.runs.n_owners), shard.n_outside > 1)
-
-
-def _hosts(pages: DataFrame) -> DataFrame:
+def _hosts(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The pages with their host and part, and the hosts of more than one part (__host, __parts). All rows of a page
+    are in one part."""
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     own = pages.select("page_id", "url", "html").withColumn("__host", host)
     parts = F.ceil(F.greatest(F.count("*") / SHARD_PAGES, F.sum(F.coalesce(F.octet_length("html"), F.lit(0))) / SHARD_BYTES)).cast("int")
-    hot = own.groupBy("__host").agg(parts.alias("__parts")).where("__parts > 1")
-    if hot.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS:
-        hot = F.broadcast(hot)
-    part = F.pmod(F.xxhash64("page_id", "url"), F.coalesce("__parts", F.lit(1))).cast("int")
-    return own.join(hot, "__host", "left").select("__host", part.alias("__part"), "page_id", "url", "html")
+    hot = stored(own.groupBy("__host").agg(parts.alias("__parts")).where("__parts > 1"), "hosts")
+    hot = F.broadcast(hot) if hot.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS else hot
+    owner = F.when(F.col("page_id").isNotNull(), F.xxhash64("page_id")).otherwise(F.xxhash64("url"))
+    part = F.when(F.col("__parts").isNotNull(), F.pmod(owner, F.col("__parts"))).otherwise(-1).cast("int")
+    return own.join(hot, "__host", "left").select("__host", part.alias("__part"), "page_id", "url", "html"), hot
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,34 +266,113 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(packed, pa.binary())], ["__host", "__part", "page_id", "url", "blocks"])
 
 
-def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over rows sorted by host and part; one shard is held at a time."""
-    held: list[tuple] = []
+def _shard(rows: pa.Table) -> Shard:
+    pages = [json.loads(zlib.decompress(b)) for b in rows.column("blocks").to_pylist()]
+    ids, urls = rows.column("page_id").to_pylist(), rows.column("url").to_pylist()
+    return Shard(pages, [f"#{i}" if i is not None else f"@{u}" for i, u in zip(ids, urls)])
+
+
+def _out(rows: pa.Table, texts: list[str]) -> pa.Table:
+    return pa.table([rows.column("page_id"), rows.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
-    def out() -> pa.RecordBatch:
-        pages = [json.loads(zlib.decompress(r[4])) for r in held]
-        texts = _texts(pages, [f"#{r[2]}" if r[2] is not None else f"@{r[3]}" for r in held])
-        return pa.RecordBatch.from_arrays([pa.array([r[2] for r in held], kind), pa.array([r[3] for r in held], pa.string()), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
-    kind = pa.int64()
+def _by_host(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over rows sorted by host; one host is held at a time."""
+    held: list[pa.RecordBatch] = []
+
+    def out() -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(held)
+        shard = _shard(rows)
+        yield from _out(rows, shard.texts(shard.n_all >= least_pages(shard.runs.n_owners), shard.n_outside > 1)).combine_chunks().to_batches()
+
+    last = None
     for batch in batches:
-        kind = batch.schema.field("page_id").type
-        for row in zip(*(c.to_pylist() for c in batch.columns)):
-            if held and held[-1][:2] != row[:2]:
-                yield out()
-                held.clear()
-            held.append(row)
+        names = batch.column(0).to_pylist()
+        cuts = [0, *(i for i in range(1, len(names)) if names[i] != names[i - 1]), len(names)]
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            if hi > lo:
+                if held and names[lo] != last:
+                    yield from out()
+                    held.clear()
+                held.append(batch.slice(lo, hi - lo))
+                last = names[lo]
     if held:
-        yield out()
+        yield from out()
+
+
+# Hosts of several shards. A run on a share of all pages of a host is on that share of the pages of a shard at
+# least: those runs of the shards are the only candidates. Each shard then counts the candidates of its host, and the
+# sums tell which are host-wide. Runs outside articles are all brought together by their codes, once a shard.
+
+
+def _codes_of(runs: Runs) -> np.ndarray:
+    """The code of each group, equal in all shards."""
+    out = np.zeros(runs.n_groups, np.int64)
+    if runs.n_groups:
+        first = runs.starts[np.unique(runs.group, return_index=True)[1]]
+        out[:] = run_codes(runs.tokens, runs.least)[first].view(np.int64)
+    return out
+
+
+def _found(rows: pa.Table) -> pa.Table:
+    """A shard's candidates and runs outside articles by code; the row of a null code has the shard's pages."""
+    shard = _shard(rows)
+    likely = shard.n_all >= HOST_SHARE * shard.runs.n_owners
+    at = np.flatnonzero(likely | (shard.n_outside > 0))
+    n = len(at) + 1
+    codes = pa.array([*_codes_of(shard.runs)[at].tolist(), None], pa.int64())
+    key = [pa.array([rows.column(k)[0].as_py()] * n, t) for k, t in (("__host", pa.string()), ("__part", pa.int32()))]
+    counts = pa.array([*np.minimum(shard.n_outside[at], 2).tolist(), shard.runs.n_owners], pa.int64())
+    return pa.table([*key, codes, pa.array([*likely[at].tolist(), False], pa.bool_()), counts], ["__host", "__part", "code", "likely", "n"])
+
+
+def _counted(rows: pa.Table, candidates: pa.Table) -> pa.Table:
+    """How many pages of a shard have each of the candidates."""
+    if not len(rows) or not len(candidates):
+        return pa.table([pa.array([], pa.string()), pa.array([], pa.int64()), pa.array([], pa.int64())], ["__host", "code", "n"])
+    shard = _shard(rows)
+    codes = _codes_of(shard.runs)
+    at = np.flatnonzero(np.isin(codes, candidates.column("code").to_numpy()))
+    return pa.table([pa.array([rows.column("__host")[0].as_py()] * len(at), pa.string()), pa.array(codes[at]), pa.array(shard.n_all[at].astype(np.int64))], ["__host", "code", "n"])
+
+
+def _marked(rows: pa.Table, marks: pa.Table) -> pa.Table:
+    """Main texts of a shard, given the codes of host-wide runs and of those shared with other shards."""
+    if not len(rows):
+        return _out(rows, [])
+    shard = _shard(rows)
+    codes = _codes_of(shard.runs)
+    code, wide = marks.column("code").to_numpy(), marks.column("wide").to_numpy(zero_copy_only=False).astype(bool)
+    return _out(rows, shard.texts(np.isin(codes, code[wide]), (shard.n_outside > 1) | np.isin(codes, code[~wide])))
+
+
+def _over_shards(parsed: DataFrame, hot: DataFrame, kind: str) -> DataFrame:
+    """page_id, url and text of the pages of hosts of several shards."""
+    shards = parsed.groupBy("__host", "__part")
+    found = stored(shards.applyInArrow(_found, "__host string, __part int, code long, likely boolean, n long"), "runs")
+    every = F.explode(F.sequence(F.lit(0), F.col("__parts") - 1)).alias("__part")
+    to_all = lambda df: df.join(hot, "__host").select("__host", every, "code")
+    candidates = to_all(found.where("likely").select("__host", "code").distinct())
+    counted = shards.cogroup(candidates.groupBy("__host", "__part")).applyInArrow(_counted, "__host string, code long, n long")
+    pages = found.where("code is null").groupBy("__host").agg(F.sum("n").alias("__pages"))
+    wide = counted.groupBy("__host", "code").agg(F.sum("n").alias("n")).join(pages, "__host").where(F.col("n") >= F.greatest(F.lit(float(HOST_PAGES)), HOST_SHARE * F.col("__pages")))
+    outside = found.where("code is not null and n > 0").groupBy("__host", "code").agg(F.count("*").alias("n"), F.collect_list(F.when(F.col("n") == 1, F.col("__part"))).alias("parts"))  # a number for each shard at most
+    shared = outside.where("n > 1").select("__host", F.explode("parts").alias("__part"), "code")
+    marks = to_all(wide.select("__host", "code")).withColumn("wide", F.lit(True)).unionByName(shared.withColumn("wide", F.lit(False)))
+    return shards.cogroup(stored(marks, "marks").groupBy("__host", "__part")).applyInArrow(_marked, f"page_id {kind}, url string, text string")
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url and text of every row of pages."""
     small_batches(pages.sparkSession, 500)
     kind = pages.schema["page_id"].dataType.simpleString()
-    parsed = _hosts(pages).mapInArrow(_parse, f"__host string, __part int, page_id {kind}, url string, blocks binary")
-    shards = parsed.repartition("__host", "__part").sortWithinPartitions("__host", "__part")
-    return shards.mapInArrow(_by_shard, f"page_id {kind}, url string, text string")
+    own, hot = _hosts(pages)
+    schema = f"__host string, __part int, page_id {kind}, url string, blocks binary"
+    whole = own.where("__part < 0").mapInArrow(_parse, schema).repartition("__host").sortWithinPartitions("__host").mapInArrow(_by_host, f"page_id {kind}, url string, text string")
+    if hot.isEmpty():
+        return whole
+    parsed = stored(own.where("__part >= 0").mapInArrow(_parse, schema), "blocks")
+    return whole.unionByName(_over_shards(parsed, hot, kind))
 
 
 def op1_host_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:

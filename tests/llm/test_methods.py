@@ -206,6 +206,19 @@ def test_host_wide_runs_leave_articles_and_quotations_stay(spark):
     assert got == {i: f"{own(i)}\n{quote if i < 3 else own(i + 50)}" for i in range(10)} | {10: f"teaser\n{own(10)}"}
 
 
+def test_shards_of_a_host_change_no_text(spark, monkeypatch):
+    long = lambda name, n=12: " ".join(f"{name}x{k}" for k in range(n))
+    rows = [(i, f"http://h/{i}", f"<div>{long(f'open{i // 2}')}</div><main><p>{long(f'own{i}')}</p><p>{long('wide' if i % 8 < 5 else f'many{i % 8}')}</p></main>") for i in range(40)]
+    rows += [(50 + i, "http://g/", f"<p>{long('other')}</p><p>{long(f'own{i}')}</p>") for i in range(2)] + [(60, "http://f/", "<p>alone</p>")]
+    rows += [(None, "http://h/a", f"<p>{long('same')}</p>")] * 2
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    texts = lambda: sorted(map(tuple, html_text.main_text(pages).collect()), key=str)
+    whole = texts()
+    assert {r[0]: r[2] for r in whole}[7] == f"{long('own7')}\n{long('many7')}" and {r[0]: r[2] for r in whole}[8] == long("own8")
+    monkeypatch.setattr(html_text, "SHARD_PAGES", 6)
+    assert texts() == whole
+
+
 def test_surrogates_keep_format_and_people(spark):
     texts = ["Mail und.34@mail7.example.com or +1 (017) 555-7713, IP 97.51.17.173.", "Mrs. Anna Smith and Mr Jones; Smith left. 4111 1111 1111 1111", "und.34@mail7.example.com г-жа Анна Иванова", "no data 12"]
     out = [r["text"] for r in surrogates.replaced(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id int, text string")).orderBy("doc_id").collect()]
