@@ -11,6 +11,9 @@ is left of its article and its open blocks, in page order.
 A host with more pages or bytes than a shard takes is cut by page into shards of bounded size; counts of pages are
 those of the whole host all the same, so where the cuts fall doesn't change a text.
 
+An article or main part inside a named one is an article again, except in comments, asides, lists of related pages and
+what is hidden.
+
 Defined results: null, empty or wordless html gives an empty text. Rows of one page_id (of one url, if that is
 null) are one page and don't count as repeats of each other. A null url is a host of its own name. An unclosed
 tag, comment or quotation ends with the page. Columns besides page_id, url and html are not read.
@@ -40,11 +43,12 @@ SHARD_PAGES = 2000
 SHARD_BYTES = 32 << 20
 BROADCAST_HOSTS = 200_000
 
-ARTICLE, NAMED, OPEN = 0, 1, 2
+ARTICLE, NAMED, OPEN, CLOSED = 0, 1, 2, 3
+"""CLOSED: named, and an article in it is no article."""
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z))*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
-_NO_TEXT = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "object", "canvas", "audio", "video", "select", "xmp", "noembed", "noframes", "head"}
+_NO_TEXT = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "object", "canvas", "audio", "video", "select", "xmp", "noembed", "noframes", "head"}
 _NAMED_TAGS = {"nav", "footer", "aside", "form", "button", "dialog", "menu", "label", "fieldset"}
 _BLOCKS = set("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split())
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -52,21 +56,28 @@ _HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 _NAMED_WORDS = set("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar widget widgets menu nav navbar navigation breadcrumb breadcrumbs footer masthead cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup share sharing social comment comments reply replies disqus respond related recommended recommendations toolbar pagination pager copyright login search".split())
 _OUTSIDE_WORDS = {"header", "topbar", "top"}
 _NAMED_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "form", "menu"}
+_CLOSED_WORDS = set("comment comments reply replies disqus respond related recommended recommendations".split())
+_WRAPPERS = {"html", "body", "main"}
 _WORDS = re.compile(r"[a-z]+")
 
 
-def _named(name: str, attributes: str, within: bool) -> bool:
-    """Is this element boilerplate by its name or attributes? within: inside an article."""
-    if name in _NAMED_TAGS or name == "header" and not within:
-        return True
-    for m in _ATTRIBUTE.finditer(attributes) if attributes else ():
+def _named(name: str, attributes: str, within: bool) -> int:
+    """NAMED or CLOSED if this element is boilerplate by its name or attributes, else OPEN. within: inside an article.
+
+    A class or id counts whole: all its words have to be telling (cookie-banner, but not has-sidebar). What wraps a
+    whole page isn't named by class, id or role."""
+    found = CLOSED if name == "aside" else NAMED if name in _NAMED_TAGS or name == "header" and not within else OPEN
+    for m in _ATTRIBUTE.finditer(attributes) if attributes and name not in ("html", "body") else ():
         key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none", value):
-            return True
-        words = set(_WORDS.findall(value)) if key in ("class", "id", "role") else set()
-        if key == "role" and words & _NAMED_ROLES or key != "role" and (words & _NAMED_WORDS or not within and words & _OUTSIDE_WORDS):
-            return True
-    return False
+            return CLOSED
+        if key not in ("class", "id", "role") or name in _WRAPPERS:
+            continue
+        for one in value.split():
+            words = set(_WORDS.findall(one))
+            if words and words <= (_NAMED_ROLES if key == "role" else _NAMED_WORDS if within else _NAMED_WORDS | _OUTSIDE_WORDS):
+                found = CLOSED if words & _CLOSED_WORDS or one == "complementary" else NAMED if found == OPEN else found
+    return found
 
 
 def blocks(html: str | None) -> list[tuple[int, str]]:
@@ -89,14 +100,16 @@ def blocks(html: str | None) -> list[tuple[int, str]]:
     def settle() -> None:
         """The place of what follows, by the elements that are open."""
         nonlocal place, inline
-        article, now, inline = False, OPEN, 0
+        closed, new, inline = False, OPEN, 0
         for name, kind in open_:
-            article = article or kind == ARTICLE
-            if kind == NAMED and name not in _BLOCKS:
-                inline += 1
-            elif kind == NAMED:
-                now = NAMED
-        new = NAMED if now == NAMED else ARTICLE if article else OPEN
+            if kind == ARTICLE and not closed:
+                new, inline = ARTICLE, 0
+            elif kind in (NAMED, CLOSED):
+                closed = closed or kind == CLOSED
+                if name in _BLOCKS:
+                    new = NAMED
+                else:
+                    inline += 1
         if new != place:
             flush()
             place = new
@@ -141,8 +154,10 @@ def blocks(html: str | None) -> list[tuple[int, str]]:
             if name in _VOID or m[3].endswith("/") and not block:
                 continue
             within = any(kind == ARTICLE for _, kind in open_)
-            kind = NAMED if _named(name, m[3], within) else ARTICLE if name in ("article", "main") else OPEN
-            if block or kind == NAMED:
+            kind = _named(name, m[3], within)
+            if kind == OPEN and name in ("article", "main"):
+                kind = ARTICLE
+            if block or kind != OPEN:
                 open_.append((name, kind))
                 settle()
     flush()

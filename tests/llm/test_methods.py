@@ -219,6 +219,22 @@ def test_shards_of_a_host_change_no_text(spark, monkeypatch):
     assert texts() == whole
 
 
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<body class='has-sidebar'><article>kept text</article></body>",
+        "<body class='search-results'><p>kept text</p></body>",
+        "<body class=search><div class='widget'>gone</div><main class='menu'>kept text</main></body>",
+        "<div id='top'><article>kept text</article></div>",
+        "<div class='content no-comments'>kept text</div>",
+        "<form><main>kept text</main><div class='comments'><article>gone</article></div></form><aside><article>gone</article></aside>",
+        "<article>kept <math><mi>text</mi></math><div class='cookie-banner'>gone</div><div hidden><article>gone</article></div></article>",
+    ],
+)
+def test_class_names_of_wrappers_take_no_text(html):
+    assert " ".join(text for kind, text in html_text.blocks(html) if kind != html_text.NAMED) == "kept text"
+
+
 def test_surrogates_keep_format_and_people(spark):
     texts = ["Mail und.34@mail7.example.com or +1 (017) 555-7713, IP 97.51.17.173.", "Mrs. Anna Smith and Mr Jones; Smith left. 4111 1111 1111 1111", "und.34@mail7.example.com г-жа Анна Иванова", "no data 12"]
     out = [r["text"] for r in surrogates.replaced(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id int, text string")).orderBy("doc_id").collect()]
