@@ -40,8 +40,10 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their sequences."""
-    return packing.packed(docs)
+    """The pieces of all documents with their ids, these ids' checksums, and their sequences."""
+    from pyspark.sql import functions as F
+
+    return packing.packed(docs).withColumn("ids_crc32", F.crc32("ids"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -5,7 +5,7 @@ counted in bins of UNIT tokens. Combinations of bins that fill a window exactly
 each any number of times, or three pieces) are the columns of a least-squares problem whose
 solution says how often to use each; it is rounded down to what the histogram holds, and the residual counts
 are packed greedily, longest first. Only the histogram reaches the driver. A piece's place follows from its
-rank within its bin, so assigning places takes two shuffles of rows without texts.
+rank within its bin, so assigning places takes two shuffles of rows without ids and one that joins the ids to them.
 
 Defined results: a null or empty text is the end token alone, one piece of length 1. Repeated rows are packed
 as often as they occur. An empty table gives no sequences. Columns besides doc_id and text are not read.
@@ -16,7 +16,6 @@ from __future__ import annotations
 import os
 import re
 import unicodedata
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -146,7 +145,8 @@ def _encoder(path: str) -> _Encoder:
 
 
 def pieces(docs: DataFrame, window: int = WINDOW, path: str | None = None) -> DataFrame:
-    """doc_id, start, length, ids_crc32 and doc_tokens of every piece of every row."""
+    """doc_id, start, length, ids and doc_tokens of every piece of every row; ids are the piece's token ids, 32-bit
+    little-endian numbers end to end."""
     path = path or tokenizer_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,19 +154,20 @@ def pieces(docs: DataFrame, window: int = WINDOW, path: str | None = None) -> Da
         for batch in batches:
             for part in sized(batch, 1):
                 ids, bounds = encoder.encode(part.column(1).to_pylist())
-                raw = memoryview(ids.astype("<u4").tobytes())
+                raw = ids.astype("<u4").tobytes()
                 total = np.diff(bounds)
                 number = -(-total // window)
                 row = np.repeat(np.arange(len(total)), number)
                 start = (np.arange(len(row)) - np.repeat(np.cumsum(number) - number, number)) * window
                 length = np.minimum(window, total[row] - start)
                 at = (bounds[row] + start) * 4
-                crc = [zlib.crc32(raw[a:b]) for a, b in zip(at.tolist(), (at + length * 4).tolist())]
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row)), *(pa.array(np.asarray(c, np.int64)) for c in (start, length, crc, total[row]))], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+                own = pa.array([raw[a:b] for a, b in zip(at.tolist(), (at + length * 4).tolist())], pa.binary())
+                start, length, total = (pa.array(np.asarray(c, np.int64)) for c in (start, length, total[row]))
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row)), start, length, own, total], ["doc_id", "start", "length", "ids", "doc_tokens"])
 
     small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, start long, length long, ids binary, doc_tokens long")
 
 
 Combination = tuple[tuple[int, int], ...]
@@ -248,10 +249,10 @@ def plan(histogram: np.ndarray) -> list[tuple[Combination, int]]:
 
 
 def assigned(found: DataFrame, window: int = WINDOW, unit: int = UNIT) -> DataFrame:
-    """found (what pieces returns, stored) with sequence_id and offset."""
+    """found (what numbered returns, stored) with sequence_id and offset. Places are found without the ids, which
+    are exchanged once."""
     spark = found.sparkSession
-    mark = F.xxhash64("doc_id", "start", "ids_crc32")
-    rows = found.withColumns({"__bin": F.ceil(F.col("length") / unit).cast("int"), "__sub": F.pmod(mark, F.lit(SUBBINS)).cast("int"), "__mark": mark})
+    rows = found.drop("ids").withColumns({"__bin": F.ceil(F.col("length") / unit).cast("int"), "__sub": F.pmod("__mark", F.lit(SUBBINS)).cast("int")})
     counts = rows.groupBy("__bin", "__sub").agg(F.count("*").alias("n")).collect()  # window / unit * SUBBINS rows at most
     histogram = np.zeros(window // unit + 1, np.int64)
     before = []
@@ -268,20 +269,37 @@ def assigned(found: DataFrame, window: int = WINDOW, unit: int = UNIT) -> DataFr
         sequence += times
     offsets = spark.createDataFrame(before, "__bin int, __sub int, __before long")
     places = spark.createDataFrame(ranges, "__bin int, __from long, __to long, __first long, __times int, __slot int")
-    by_bin = Window.partitionBy("__bin", "__sub").orderBy("__mark", "doc_id", "start", "ids_crc32", "length", "doc_tokens")
+    by_bin = Window.partitionBy("__bin", "__sub").orderBy("__mark", "doc_id", "start", "length", "doc_tokens", "__piece")
     ranked = rows.withColumn("__n", F.row_number().over(by_bin) - 1).join(F.broadcast(offsets), ["__bin", "__sub"]).withColumn("__rank", F.col("__before") + F.col("__n"))
     p, r = ranked.alias("p"), F.broadcast(places).alias("r")
     placed = p.join(r, (F.col("p.__bin") == F.col("r.__bin")) & (F.col("__rank") >= F.col("__from")) & (F.col("__rank") < F.col("__to")))
     turn = F.col("__rank") - F.col("__from")
-    placed = placed.select(*(f"p.{c}" for c in found.columns), (F.col("__first") + F.floor(turn / F.col("__times"))).alias("sequence_id"), (F.col("__slot") + turn % F.col("__times")).alias("__slot"))
+    placed = placed.select("p.__piece", "p.length", (F.col("__first") + F.floor(turn / F.col("__times"))).alias("sequence_id"), (F.col("__slot") + turn % F.col("__times")).alias("__slot"))
     in_sequence = Window.partitionBy("sequence_id").orderBy("__slot").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return placed.withColumn("offset", F.sum("length").over(in_sequence) - F.col("length")).drop("__slot")
+    places = placed.select("__piece", "sequence_id", (F.sum("length").over(in_sequence) - F.col("length")).alias("offset"))
+    return found.drop("__mark").join(places, "__piece").drop("__piece")
+
+
+def numbered(found: DataFrame) -> DataFrame:
+    """found (what pieces returns) with what ranks a piece and a number of its own, which is fixed once stored."""
+    return found.withColumns({"__mark": F.xxhash64("doc_id", "start", F.crc32("ids")), "__piece": F.monotonically_increasing_id()})
 
 
 def packed(docs: DataFrame, window: int = WINDOW, path: str | None = None) -> DataFrame:
-    """Every piece of docs with its sequence and its offset there."""
-    return assigned(stored(pieces(docs, window, path), "pieces"), window)
+    """Every piece of docs with its ids, its sequence and its offset there."""
+    return assigned(stored(numbered(pieces(docs, window, path)), "pieces"), window)
+
+
+def sequences(placed: DataFrame) -> DataFrame:
+    """sequence_id, length and ids of every packed sequence of placed (what packed returns)."""
+    own = F.array_sort(F.collect_list(F.struct("offset", "ids")))  # a window's tokens at most
+    return placed.groupBy("sequence_id").agg(F.sum("length").alias("length"), F.array_join(F.transform(own, lambda x: F.hex(x["ids"])), "").alias("__hex")).select("sequence_id", "length", F.unhex("__hex").alias("ids"))
+
+
+def digested(placed: DataFrame) -> DataFrame:
+    """placed with the checksum of each piece's ids in their stead."""
+    return placed.select(*(F.crc32("ids").alias("ids_crc32") if c == "ids" else c for c in placed.columns))
 
 
 def op7_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packed(table(spark, sf_dir, "documents"))
+    return digested(packed(table(spark, sf_dir, "documents")))

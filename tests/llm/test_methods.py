@@ -140,6 +140,21 @@ def test_packing_places_every_token_once(spark, sf):
     assert filled.max() <= packing.WINDOW and filled.sum() / (len(filled) * packing.WINDOW) > 0.9
 
 
+def test_sequences_hold_the_tokens_of_their_pieces(spark, sf, docs):
+    rows = packing.packed(docs)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    ids, bounds = packing._Encoder(packing.tokenizer_path()).encode(list(texts.values()))
+    whole = {i: ids[a:b] for i, a, b in zip(texts, bounds[:-1], bounds[1:])}
+    packed = {r["sequence_id"]: np.frombuffer(r["ids"], "<u4") for r in packing.sequences(rows).collect()}
+    got = rows.collect()
+    for r in got:
+        own = whole[r["doc_id"]][r["start"] : r["start"] + r["length"]]
+        assert (np.frombuffer(r["ids"], "<u4") == own).all() and (packed[r["sequence_id"]][r["offset"] : r["offset"] + r["length"]] == own).all()
+    assert sum(map(len, packed.values())) == sum(r["length"] for r in got) == len(ids)
+    out = {(r["doc_id"], r["start"]): r["ids_crc32"] for r in queries.queries()["op7_nnls_packing"](spark, sf).collect()}
+    assert out == {(r["doc_id"], r["start"]): zlib.crc32(r["ids"]) for r in got}
+
+
 def test_plan_uses_each_piece_once():
     rng = np.random.default_rng(4)
     h = np.concatenate([[0], rng.integers(0, 50, 256)])
