@@ -7,17 +7,17 @@ permuted again within their shard. The driver holds the matrix, parts times shar
 The number of parts follows the row count, so a part stays small and no task holds a whole shard.
 
 Defined results: a null text has size 1 and the checksum of the empty text. A null doc_id is dealt like any
-other. Repeated rows are dealt one by one. An empty table gives no rows. Columns besides doc_id and text
-are not read.
+other. Repeated rows are dealt one by one. An empty table gives no rows. All columns of a row go along through
+both exchanges; columns besides doc_id and text only part rows that are alike in these.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import stored, table
+from .common import table
 
 SHARDS = 16
 PART_ROWS = 50_000
@@ -53,30 +53,43 @@ def _draw(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
     return int(min(good, n, max(0, n - bad, round(rng.normal(n * share, spread)))))
 
 
-def shuffled(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, part_rows: int = PART_ROWS) -> DataFrame:
-    """doc_id, size, text_crc32, shard and slot (gapless from 0 within a shard) of every row of docs."""
+def sharded(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, part_rows: int = PART_ROWS) -> DataFrame:
+    """row (a struct of all columns of docs, the text too), shard and slot (gapless from 0 within a shard) of every row
+    of docs. docs is read several times and has to give the same rows each time, as tables and stored rows do."""
     spark = docs.sparkSession
-    body = F.coalesce(F.encode("text", "UTF-8"), F.lit(b""))
-    rows = stored(docs.select("doc_id", (F.octet_length(body) + 1).cast("long").alias("size"), F.crc32(body).alias("text_crc32")), "sizes")
-    parts = min(MAX_PARTS, max(4 * shards, -(-rows.count() // part_rows)))
-    mark = lambda k: F.xxhash64("doc_id", "size", "text_crc32", F.lit(seed * 8 + k))
-    dealt = rows.withColumn("__part", F.pmod(mark(0), F.lit(parts)))
+    size, crc = _size(F.col("text")), _crc(F.col("text"))
+    marks = [F.xxhash64("doc_id", size, crc, F.lit(seed * 8 + k)) for k in range(4)]
+    parts = min(MAX_PARTS, max(4 * shards, -(-docs.count() // part_rows)))
+    # Rows of one doc_id and text are told apart by their other columns; maps have no hash.
+    rest = F.xxhash64(*(F.col(f"`{f.name.replace('`', '``')}`") for f in docs.schema if "map<" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"))
+    dealt = docs.select(F.struct("*").alias("row"), F.pmod(marks[0], F.lit(parts)).alias("__part"), F.struct(marks[1], "doc_id", size, crc, rest).alias("__order"), F.struct(marks[3], "doc_id", size, crc, rest).alias("__again"), F.pmod(marks[2], F.lit(max(1, parts // shards))).alias("__piece"))
     counts = {r[0]: r[1] for r in dealt.groupBy("__part").count().collect()}  # parts rows
     matrix = communication_matrix(np.array([counts.get(p, 0) for p in range(parts)], np.int64), shards, seed)
     ends = np.cumsum(matrix, axis=1)
     cuts = spark.createDataFrame([(int(p), int(j), int(ends[p, j] - matrix[p, j]), int(ends[p, j])) for p, j in zip(*np.nonzero(matrix))], "__p long, shard int, __from long, __to long")
-    order = [F.col("__mark"), "doc_id", "size", "text_crc32"]
-    local = dealt.withColumn("__mark", mark(1)).withColumn("__n", F.row_number().over(Window.partitionBy("__part").orderBy(*order)) - 1)
+    local = dealt.withColumn("__n", F.row_number().over(Window.partitionBy("__part").orderBy("__order")) - 1)
     there = (F.col("__part") == F.col("__p")) & (F.col("__n") >= F.col("__from")) & (F.col("__n") < F.col("__to"))
-    sent = local.join(F.broadcast(cuts), there).select("doc_id", "size", "text_crc32", "shard")  # cuts: parts * shards rows of four numbers
+    again = local.join(F.broadcast(cuts), there).select("row", "shard", "__again", "__piece")  # cuts: parts * shards rows of four numbers
 
     # The second permutation: a shard's slots are dealt to pieces by another hash, so that no task sorts a whole shard.
-    pieces = max(1, parts // shards)
-    again = sent.withColumns({"__piece": F.pmod(mark(2), F.lit(pieces)), "__mark": mark(3)})
     sizes = again.groupBy("shard", "__piece").count()
     before = sizes.select("shard", "__piece", (F.sum("count").over(Window.partitionBy("shard").orderBy("__piece")) - F.col("count")).alias("__before"))  # parts rows
-    placed = again.withColumn("__n", F.row_number().over(Window.partitionBy("shard", "__piece").orderBy(*order)) - 1)
-    return placed.join(F.broadcast(before), ["shard", "__piece"]).select("doc_id", "size", "text_crc32", "shard", (F.col("__before") + F.col("__n")).cast("long").alias("slot"))
+    placed = again.withColumn("__n", F.row_number().over(Window.partitionBy("shard", "__piece").orderBy("__again")) - 1)
+    return placed.join(F.broadcast(before), ["shard", "__piece"]).select("row", "shard", (F.col("__before") + F.col("__n")).cast("long").alias("slot"))
+
+
+def _size(text: Column) -> Column:
+    return (F.coalesce(F.octet_length(F.encode(text, "UTF-8")), F.lit(0)) + 1).cast("long")
+
+
+def _crc(text: Column) -> Column:
+    return F.crc32(F.coalesce(F.encode(text, "UTF-8"), F.lit(b"")))
+
+
+def shuffled(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, part_rows: int = PART_ROWS) -> DataFrame:
+    """doc_id, size, text_crc32, shard and slot of every row of docs, from the sharded rows."""
+    text = F.col("row.text")
+    return sharded(docs, shards, seed, part_rows).select("row.doc_id", _size(text).alias("size"), _crc(text).alias("text_crc32"), "shard", "slot")
 
 
 def op2_hypergeometric(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,6 +40,14 @@ def test_communication_matrix_has_exact_sums_and_the_law_of_the_urn():
     assert abs(draws.mean() - 5) < 0.1 and abs(draws.var() - 10 * 0.25 * 30 / 39) < 0.15
 
 
+def test_shards_hold_all_columns_of_all_rows(spark, sf, docs):
+    rows = sharding.sharded(docs, shards=5).collect()
+    assert Counter(tuple(r["row"]) for r in rows) == Counter(map(tuple, docs.collect()))
+    assert sorted((r["shard"], r["slot"]) for r in rows) == [(s, k) for s, n in sorted(Counter(r["shard"] for r in rows).items()) for k in range(n)]
+    out = {r["doc_id"]: (r["text_crc32"], r["size"]) for r in queries.queries()["op2_hypergeometric"](spark, sf).collect()}
+    assert out == {r["row"]["doc_id"]: (zlib.crc32(b := r["row"]["text"].encode()), len(b) + 1) for r in rows}
+
+
 def test_fingerprints_by_brute_force(docs):
     def brute(text):
         w = WORDS.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
