@@ -38,7 +38,7 @@ CARD = rf"(?<![{_IN}])(?:\d{{13,19}}|\d{{4}}(?:[ \-]\d{{4}}){{3}})(?![{_IN}])"
 IBAN = rf"(?<![{_IN}])[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{3,7}}(?: ?[A-Z0-9]{{1,3}})?(?![{_IN}])"
 SECRET = rf"(?<![{_IN}])(?:[0-9a-f]{{32,128}}|[0-9A-F]{{32,128}}|AKIA[0-9A-Z]{{16}}|gh[pousr]_[A-Za-z0-9]{{36}}|sk-[A-Za-z0-9]{{20,64}})(?![{_IN}])"
 ENTITY = "|".join([EMAIL, PHONE, IP, SSN, SECRET, IBAN, CARD, NAME])
-MAYBE = rf"[0-9@]|(?:{_MALE}|{_FEMALE})\.? \p{{Lu}}"
+MAYBE = rf"[0-9@]|AKIA|gh[pousr]_|sk-|[a-f]{{32}}|[A-F]{{32}}|(?:{_MALE}|{_FEMALE})\.? \p{{Lu}}"
 """Every text with an entity has one of these."""
 
 _LATIN, _CYRILLIC, _GREEK = "abcdefghijklmnopqrstuvwxyz", "абвгдежзиклмнопрстуфхцчшэюя", "αβγδεζηθικλμνξοπρστυφχψω"

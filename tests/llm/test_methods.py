@@ -268,6 +268,12 @@ def test_surrogates_keep_format_and_people(spark):
     assert person and person[1] == person[3] != person[2] and "Smith" not in out[1]
 
 
+@pytest.mark.parametrize("secret", ["AKIA" + "ABCDEFGHIJKLMNOP", "sk-" + "abcdefghij" * 2, "ghp_" + "abcdef" * 6, "abcdef" * 6, "ABCDEF" * 6])
+def test_secrets_without_digits_are_replaced(spark, secret):
+    out = surrogates.replaced(spark.createDataFrame([(1, f"key {secret} here")], "doc_id int, text string")).first()["text"]
+    assert secret not in out and re.fullmatch(r"key \S+ here", out) and len(out) == len(secret) + 9
+
+
 def test_colliding_surrogates_are_drawn_again(spark, monkeypatch):
     plain = surrogates.part_surrogate
     monkeypatch.setattr(surrogates, "part_surrogate", lambda kind, value, attempt, key=surrogates.KEY: F.when(attempt == 0, F.lit("same")).otherwise(plain(kind, value, attempt, key)))
