@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -27,29 +28,112 @@ SWEEPS = 15
 Surface = Callable[[np.ndarray, np.ndarray], np.ndarray]
 
 
-def bisected(allowed: float, surface: Surface, sweeps: int = SWEEPS, grid: int = GRID) -> tuple[np.ndarray, np.ndarray]:
+@dataclass(frozen=True)
+class Limits:
+    """What a level asks of its triangles besides the deviation allowed: sides in metres, uniform bisections at first,
+    and the extent in which there is terrain, in degrees (west, south, east, north)."""
+
+    level: int
+    tile_size: float
+    min_side: float
+    max_side: float
+    extent: tuple[float, float, float, float]
+
+    @property
+    def first(self) -> int:
+        return 4 if self.level < 10 else 3
+
+
+def _pixels(c: np.ndarray, n: int, grid: int) -> np.ndarray:
+    return np.minimum(c * n // grid, n - 1).astype(np.int64)
+
+
+def _deviating(tri: np.ndarray, z: np.ndarray, heights: np.ndarray, allowed: np.ndarray, cosine: np.ndarray, grid: int, narrow: int) -> np.ndarray:
+    """Which triangles (heights at their corners z) are further from the raster of heights than allowed: in the pixel
+    of the barycentre, or, if they are at least narrow pixels wide and high, in any pixel within."""
+    n = len(heights)
+    t = tri.astype(float)
+    e, f = t[:, 1] - t[:, 0], t[:, 2] - t[:, 0]
+    area = e[:, 0] * f[:, 1] - e[:, 1] * f[:, 0]
+    dz1, dz2 = z[:, 1] - z[:, 0], z[:, 2] - z[:, 0]
+    gx, gy = (dz1 * f[:, 1] - dz2 * e[:, 1]) / area, (dz2 * e[:, 0] - dz1 * f[:, 0]) / area
+
+    def off(k: np.ndarray | int, col: np.ndarray, row: np.ndarray) -> np.ndarray:
+        x, y = (col + 0.5) * grid / n - t[k, 0, 0], (row + 0.5) * grid / n - t[k, 0, 1]
+        return np.abs(heights[row, col] - (z[k, 0] + gx[k] * x + gy[k] * y)) * cosine[k]
+
+    every = np.arange(len(tri))
+    middle = _pixels(tri.sum(axis=1) // 3, n, grid)
+    out = off(every, middle[:, 0], middle[:, 1]) > allowed
+    p = _pixels(tri, n, grid)
+    low, high = p.min(axis=1), p.max(axis=1)
+    for k in np.flatnonzero(~out & ((high - low + 1) >= narrow).all(axis=1)).tolist():
+        col, row = np.meshgrid(np.arange(low[k, 0], high[k, 0] + 1), np.arange(low[k, 1], high[k, 1] + 1))
+        (ax, ay), (bx, by), (cx, cy) = p[k].tolist()
+        whole = (by - cy) * (ax - cx) + (cx - bx) * (ay - cy)
+        if not whole:
+            continue
+        alpha = ((by - cy) * (col - cx) + (cx - bx) * (row - cy)) / whole
+        beta = ((cy - ay) * (col - cx) + (ax - cx) * (row - cy)) / whole
+        within = (alpha >= 0) & (beta >= 0) & (alpha + beta <= 1)
+        within[[0, 0, -1, -1], [0, -1, 0, -1]] &= narrow < 2  # the box's corners
+        out[k] = (off(k, col[within], row[within]) > allowed[k]).any()
+    return out
+
+
+def bisected(allowed: float, surface: Surface, sweeps: int = SWEEPS, grid: int = GRID, heights: np.ndarray | None = None, limits: Limits | None = None, tile: tuple[int, int] = (0, 0)) -> tuple[np.ndarray, np.ndarray]:
     """Vertices (col, row on a grid of grid steps) and triangles of one tile whose surface deviates by at most allowed.
 
-    surface gives heights of columns and rows. The mesh conforms: no vertex lies within another triangle's edge.
+    surface gives heights of columns and rows, heights those of pixel centres (else the surface's there). All pixels
+    in a triangle are tested. With limits, what is allowed follows a triangle's size, and the level's sides, extent
+    and first bisections hold. The mesh conforms: no vertex lies within another triangle's edge.
     """
     corners = np.array([[0, 0], [grid, 0], [grid, grid], [0, grid]])
     tri = np.array([[corners[1], corners[2], corners[0]], [corners[3], corners[0], corners[2]]])  # right angle first
-    steps = np.linspace(0.0, 1.0, 9)
-    weights = np.array([(a, b, 1 - a - b) for a in steps for b in steps if a + b <= 1 + 1e-9])
+    if heights is None:
+        row, col = np.mgrid[:grid, :grid] + 0.5
+        heights = surface(col.ravel(), row.ravel()).reshape(grid, grid)
+    for _ in range(limits.first if limits else 0):
+        tri = _halved(tri, np.ones(len(tri), bool))
+    kept: set[bytes] = set()  # triangles that stay
     for _ in range(sweeps):
-        z = surface(tri[:, :, 0].ravel(), tri[:, :, 1].ravel()).reshape(-1, 3)
-        at = np.einsum("wk,nkc->nwc", weights, tri.astype(float))
-        real = surface(at[:, :, 0].ravel(), at[:, :, 1].ravel()).reshape(len(tri), -1)
-        off = np.abs(real - z @ weights.T).max(axis=1)
-        legs = np.abs(tri[:, 1] - tri[:, 2]).max(axis=1)
-        split = (off > allowed) & (legs > 1)
+        new = np.fromiter((t.tobytes() not in kept for t in tri), bool, len(tri))
+        split = np.zeros(len(tri), bool)
+        split[new] = _must_split(tri[new], allowed, surface, grid, heights, limits, tile)
         if not split.any():
             break
+        kept.update(t.tobytes() for t in tri[new & ~split])
         tri = _halved(tri, split)
     key, place = np.unique(tri.reshape(-1, 2), axis=0, return_inverse=True)
     return key, place.reshape(-1, 3)
 
 
+def _must_split(tri: np.ndarray, allowed: float, surface: Surface, grid: int, heights: np.ndarray, limits: Limits | None, tile: tuple[int, int]) -> np.ndarray:
+    z = surface(tri[:, :, 0].ravel(), tri[:, :, 1].ravel()).reshape(-1, 3)
+    low, high = tri.min(axis=1), tri.max(axis=1)
+    divisible = np.abs(tri[:, 1] - tri[:, 2]).max(axis=1) > 1
+    if limits is None:
+        return divisible & _deviating(tri, z, heights, np.full(len(tri), allowed), np.ones(len(tri)), grid, 1)
+    bound = allowed * (0.8 * np.hypot(*(high - low).T) / grid + 0.2)
+    side = (high - low).max(axis=1) / grid * limits.tile_size
+    angle = 180.0 / 2**limits.level
+    west, south = angle * tile[0] - 180, angle * tile[1] - 90
+    lon, lat = west + tri[:, :, 0] * angle / grid, south + tri[:, :, 1] * angle / grid
+    w, s, e, n = limits.extent
+    there = (lon.min(1) < e) & (lon.max(1) > w) & (lat.min(1) < n) & (lat.max(1) > s)
+    cosine = np.ones(len(tri))
+    if limits.level > 10:
+        at = _ecef(lon, lat, z)
+        normal = np.cross(at[:, 1] - at[:, 0], at[:, 2] - at[:, 0])
+        a, b = np.radians(west + angle / 2), np.radians(south + angle / 2)
+        cosine = np.abs(normal @ np.array([np.cos(b) * np.cos(a), np.cos(b) * np.sin(a), np.sin(b)])) / np.linalg.norm(normal, axis=1)
+    large = side > limits.max_side
+    split = large | ~there & (z > bound[:, None]).any(axis=1)
+    ask = np.flatnonzero(~large & there & (side >= limits.min_side) & divisible)
+    split[ask] = _deviating(tri[ask], z[ask], heights, bound[ask], cosine[ask], grid, 6)
+    return split & (side >= limits.min_side) & divisible
+
+
 def _code(p: np.ndarray) -> np.ndarray:
     return (p[..., 0].astype(np.int64) << 32) | p[..., 1].astype(np.int64)
 
@@ -77,7 +161,7 @@ def _halved(tri: np.ndarray, split: np.ndarray) -> np.ndarray:
         tri = np.concatenate([tri[~now], np.stack([m, a, b], axis=1), np.stack([m, c, a], axis=1)])
 
 
-def meshes(samples: DataFrame, allowed: float, grid: int = GRID) -> DataFrame:
+def meshes(samples: DataFrame, allowed: float, grid: int = GRID, limits: Limits | None = None) -> DataFrame:
     """One row (l, x, y, vertices, triangles, u, v, h, indices) for each tile of samples (l, x, y, i, j, z).
 
     A tile's samples are bounded by its grid, so a group is of bounded size; no tile waits for another.
@@ -89,12 +173,12 @@ def meshes(samples: DataFrame, allowed: float, grid: int = GRID) -> DataFrame:
         z[pdf["j"].to_numpy(), pdf["i"].to_numpy()] = pdf["z"].to_numpy()
 
         def surface(col: np.ndarray, row: np.ndarray) -> np.ndarray:
-            c, r = np.clip(col * (n - 1) / grid, 0, n - 1), np.clip(row * (n - 1) / grid, 0, n - 1)
+            c, r = np.clip(col * n / grid - 0.5, 0, n - 1), np.clip(row * n / grid - 0.5, 0, n - 1)  # samples are pixel centres
             i, j = np.minimum(c.astype(int), n - 2), np.minimum(r.astype(int), n - 2)
             dx, dy = c - i, r - j
             return (z[j, i] * (1 - dx) + z[j, i + 1] * dx) * (1 - dy) + (z[j + 1, i] * (1 - dx) + z[j + 1, i + 1] * dx) * dy
 
-        at, tri = bisected(allowed, surface, grid=grid)
+        at, tri = bisected(allowed, surface, grid=grid, heights=z, limits=limits, tile=(int(key[1]), int(key[2])))
         order = pd.unique(tri.ravel())  # vertices by first use, as the index code wants
         rank = np.empty(len(at), np.int64)
         rank[order] = np.arange(len(order))
@@ -202,16 +286,17 @@ def decoded(tiles: DataFrame) -> DataFrame:
     return tiles.select("l", "x", "y", "blob").mapInArrow(run, "l int, x int, y int, u array<int>, v array<int>, h array<double>, indices array<int>")
 
 
-def pyramid(rasters: DataFrame, cells: DataFrame, max_depth: int, intensity: float = 4.0, samples: int = 65) -> DataFrame:
+def pyramid(rasters: DataFrame, cells: DataFrame, max_depth: int, intensity: float = 4.0, samples: int = 256) -> DataFrame:
     """Meshes of all tiles of depths 0 to max_depth that the rasters touch."""
     from . import ranges as R
     from .sampling import tile_rasters
 
     spark = rasters.sparkSession
+    extent = tuple(rasters.agg(F.min("min_lon"), F.min("min_lat"), F.max("max_lon"), F.max("max_lat")).first())
     out = None
     for row in T.thresholds(spark, intensity).where(F.col("depth") <= max_depth).orderBy("depth").collect():
         cover = R.of_extents(rasters.select("min_lon", "min_lat", "max_lon", "max_lat"), F.lit(row["depth"])).select("depth", *R.BOUNDS)
         tiles = R.union(cover).select(F.col("depth").alias("l"), "x", "y")
-        level = meshes(tile_rasters(tiles, rasters, cells, samples), row["max_diff"])
+        level = meshes(tile_rasters(tiles, rasters, cells, samples), row["max_diff"], limits=Limits(row["depth"], row["tile_size"], row["min_side"], row["max_side"], extent))
         out = level if out is None else out.unionByName(level)
     return out

@@ -71,6 +71,16 @@ def test_bisected_mesh_conforms():
     assert area == P.GRID**2
 
 
+def test_a_peak_of_one_sample_splits_its_triangle():
+    z = np.zeros((256, 256))
+    z[101, 83] = 50.0
+    surface = lambda c, r: z[np.minimum(r.astype(int), 255), np.minimum(c.astype(int), 255)]
+    limits = P.Limits(2, 256.0, 6.4, 20.48, (-180.0, -90.0, 180.0, 90.0))
+    flat = P.bisected(10.0, lambda c, r: c * 0.0, limits=limits)[1]
+    assert len(flat) == 512 and len(P.bisected(10.0, surface, heights=z, limits=limits)[1]) > 512
+    assert len(P.bisected(10.0, surface, heights=z)[1]) > 2
+
+
 def test_tile_bytes_round_trip():
     u, v, h = np.array([0, 32767, 0, 32767]), np.array([0, 0, 32767, 32767]), np.array([5.0, 10.0, 7.5, 5.0])
     raw = P.encode_tile((1.0, 2.0, 3.0), 5.0, 10.0, (0, 0, 0, 1), (0, 0, 1), u, v, h, np.array([0, 1, 2, 2, 1, 3]))
