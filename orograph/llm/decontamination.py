@@ -25,11 +25,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, flat, sized, small_batches, span_codes, spans, table
+from .common import LOWER, flat, mixed, sized, small_batches, span_codes, spans, table
 
 WINDOW = 10
 BLOCK_WORDS = 1_000_000
-"""Words of a benchmark block at most, longer single items aside: about 60 MB in a worker."""
+"""Words of a benchmark block at most, longer single items aside: about 60 MB in a worker, and as much for its shorter runs."""
 SHARD_BYTES = 3 << 20
 
 _WORD = np.ones(256, bool)
@@ -141,6 +141,8 @@ class Block:
     lengths: np.ndarray
     window: np.ndarray
     item: np.ndarray
+    grams: list[np.ndarray]
+    """Sorted codes of all runs of 1, 2, ... words, fewer than a window's."""
 
     @classmethod
     def of(cls, ids: list[str | None], texts: list[str | None], width: int) -> Block:
@@ -150,7 +152,12 @@ class Block:
         starts = np.arange(len(codes))
         left = np.repeat(bounds[1:], size) - starts
         whole = np.where((size[item] < width) & (starts == bounds[item]), left, np.where(left >= width, width, 0))
-        return cls(ids, codes, starts, left, whole, item)
+        grams, at, run = [], starts, np.zeros(len(codes), np.uint64)
+        for depth in range(1, width):
+            at, run = at[left[at] >= depth], run[left[at] >= depth]
+            run = mixed(run + codes[at + depth - 1])
+            grams.append(np.unique(run))
+        return cls(ids, codes, starts, left, whole, item, grams)
 
 
 def blocks(benchmark: DataFrame, width: int = WINDOW) -> Iterator[Block]:
@@ -169,8 +176,29 @@ def blocks(benchmark: DataFrame, width: int = WINDOW) -> Iterator[Block]:
         yield Block.of(ids, texts, width)
 
 
-def _hits(texts: pa.Array, block: Block) -> tuple[np.ndarray, np.ndarray, list[list[str]], np.ndarray, np.ndarray]:
-    """Hit words of a shard, the bounds of its texts' words, each text's items, and its longest match and where that begins."""
+def _below(codes: np.ndarray, bounds: np.ndarray, block: Block, longest: np.ndarray, place: np.ndarray) -> None:
+    """Raises longest and place to matches of fewer words than a window, in each document's own words."""
+    doc = np.repeat(np.arange(len(longest)), np.diff(bounds))
+    at = np.flatnonzero(longest[doc] < len(block.grams))
+    run = np.zeros(len(at), np.uint64)
+    for depth, grams in enumerate(block.grams, 1):
+        inside = at + depth <= bounds[doc[at] + 1]
+        at, run = at[inside], run[inside]
+        run = mixed(run + codes[at + depth - 1])
+        known = np.searchsorted(grams, run)
+        known[known == len(grams)] = 0
+        hit = grams[known] == run if len(grams) else np.zeros(len(run), bool)
+        at, run = at[hit], run[hit]
+        if not len(at):
+            return
+        found, first = np.unique(doc[at], return_index=True)
+        more = longest[found] < depth
+        longest[found[more]], place[found[more]] = depth, at[first[more]] - bounds[found[more]]
+
+
+def _hits(texts: pa.Array, block: Block, below: bool) -> tuple[np.ndarray, np.ndarray, list[list[str]], np.ndarray, np.ndarray]:
+    """Hit words of a shard, the bounds of its texts' words, each text's items, and its longest match and where that begins.
+    below: matches shorter than a window count for these too."""
     codes, bounds = word_codes(texts)
     n = len(texts)
     hit = np.zeros(len(codes), bool)
@@ -193,16 +221,25 @@ def _hits(texts: pa.Array, block: Block) -> tuple[np.ndarray, np.ndarray, list[l
             for pair in np.unique(doc * len(block.ids) + block.item[row]).tolist():
                 if (i := block.ids[pair % len(block.ids)]) is not None:
                     items[pair // len(block.ids)].add(i)
-            order = np.lexsort((-word, best[row], doc))
-            last = order[np.append(np.flatnonzero(np.diff(doc[order])), len(order) - 1)]
-            longest[doc[last]], place[doc[last]] = best[row][last], word[last] - bounds[doc[last]]
+            # On a diagonal of a document and an item, k windows in a row are a match of k - 1 words more than a window.
+            along = np.lexsort((word, word - row))
+            w, r, d = word[along], row[along], doc[along]
+            fresh = np.concatenate([[True], (np.diff(w) != 1) | (np.diff(r) != 1) | (np.diff(d) != 0) | (np.diff(block.item[r]) != 0)])
+            first = np.flatnonzero(fresh)
+            length = np.diff(np.append(first, len(w))) - 1 + block.window[r[first]]
+            w, d = w[first], d[first]
+            order = np.lexsort((-w, length, d))
+            last = order[np.append(np.flatnonzero(np.diff(d[order])), len(order) - 1)]
+            longest[d[last]], place[d[last]] = length[last], w[last] - bounds[d[last]]
+        if below:
+            _below(codes, bounds, block, longest, place)
     return hit, bounds, [sorted(s) for s in items], longest, place
 
 
 _FOUND = "__hit binary, __n long, __items array<string>, __longest long, __place long"
 
 
-def _matched(docs: DataFrame, benchmark: DataFrame, width: int) -> DataFrame:
+def _matched(docs: DataFrame, benchmark: DataFrame, width: int, below: bool = False) -> DataFrame:
     """docs and what is found in each: a bit for each word, its items, its longest match and that one's place."""
     text = docs.columns.index("text")
     schema = ", ".join([*(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema), _FOUND])
@@ -218,7 +255,7 @@ def _matched(docs: DataFrame, benchmark: DataFrame, width: int) -> DataFrame:
             block = shared.value
             for batch in batches:
                 for part in sized(batch, text, SHARD_BYTES):
-                    hit, bounds, items, longest, place = _hits(part.column(text), block)
+                    hit, bounds, items, longest, place = _hits(part.column(text), block, below)
                     bits = [np.packbits(hit[a:b]).tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
                     if not first:
                         old = [c.to_pylist() for c in part.columns[columns:]]
@@ -240,7 +277,7 @@ def _matched(docs: DataFrame, benchmark: DataFrame, width: int) -> DataFrame:
 def matches(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
     """For every row of docs: doc_id, n_words, n_hit, the items found in it, its longest verbatim match in
     words and the word at which that begins (-1: none)."""
-    found = _matched(docs.select("doc_id", "text"), benchmark, width)
+    found = _matched(docs.select("doc_id", "text"), benchmark, width, True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

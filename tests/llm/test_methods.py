@@ -130,6 +130,15 @@ def test_decontamination_in_blocks_is_the_same(spark, sf, docs, monkeypatch):
     assert sorted(map(str, decontamination.matches(docs, bench).drop("place").collect())) == whole
 
 
+def test_longest_match_is_the_documents_own(spark):
+    words = [f"w{k}" for k in range(40)]
+    texts = [" ".join(words), "x y " + " ".join(words[5:15]) + " z", "x " + " ".join(words[7:11]) + " y w39", "nothing", " ".join(words[20:32]) + " q " + " ".join(words[2:13])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(words)), (2, "x")], "item_id long, text string")
+    got = {r["doc_id"]: (r["longest"], r["place"]) for r in decontamination.matches(docs, bench).collect()}
+    assert got == {0: (40, 0), 1: (10, 2), 2: (4, 1), 3: (0, -1), 4: (12, 0)}
+
+
 def test_tokens_are_the_tokenizers_own(docs):
     from tokenizers import Tokenizer
 
