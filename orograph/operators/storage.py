@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """df written once to the session's spark.checkpoint.dir (one is set only where there is none)."""
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints")
+    """df written once to the session's spark.checkpoint.dir. Only a local master, where driver and executors are one
+    machine, may do without that setting."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        there = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not there and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        context.setCheckpointDir(there or tempfile.mkdtemp(prefix="checkpoints-"))
     return df.checkpoint()
