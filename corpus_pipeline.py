@@ -35,7 +35,7 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """All documents, with surrogates for personal data; n_chars follows the new text."""
     from pyspark.sql import functions as F
 
-    out = surrogates.replaced(docs)
+    out = surrogates.replaced(docs, surrogates.query_key(spark))
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
