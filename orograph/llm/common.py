@@ -7,6 +7,7 @@ documents are found and hashed by a few numpy calls, with no Python loop over wo
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -18,35 +19,65 @@ from pyspark.sql import functions as F
 
 CHUNK_BYTES = 2 << 20
 """Bytes of text that are worked on at once; one longer text is a chunk by itself."""
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = 250) -> None:
-    """Arrow batches of few rows, so that a batch of long texts fits a Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most BATCH_BYTES, one longer row aside, whatever the length of texts. All operators here ask for
+    the same bound, so none depends on which was called last; a lower one that the session has stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(key, str(1 << 30)).rstrip("bB")) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
+_made: dict[str, str] = {}
+"""Folders of this process in shared storage, by application."""
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: the session's spark.checkpoint.dir, else one set here."""
-    there = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not there:
-        there = "/tmp/checkpoints"
-        spark.sparkContext.setCheckpointDir(there)
-    return there
+    """This application's folder in the one that all executors share, spark.checkpoint.dir. Only a local master, where
+    driver and executors are one machine, may do without that setting. The folder goes when the driver's JVM ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _made:
+        there = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+        if not there:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+            there = tempfile.mkdtemp(prefix="checkpoints-")
+            spark.sparkContext.setCheckpointDir(there)
+        _made[app] = f"{there.rstrip('/')}/orograph-{app}-{uuid.uuid4().hex[:8]}"
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_made[app])
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+    return _made[app]
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df written once as Parquet in the shared folder and reread: later readers neither
     compute it again nor lose it with an executor."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(name: str, *frames: DataFrame) -> str:
+    """name, with underscores added until no column of the frames has it."""
+    there = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in there:
+        name += "_"
+    return name
+
+
+def quoted(name: str) -> str:
+    return f"`{name.replace('`', '``')}`"
+
+
 def bucket_crc(column: Column, mod: int) -> Column:
     """crc32 of the column's text form, modulo mod; null counts as the empty text."""
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % mod
@@ -167,7 +198,7 @@ def arrow_map(df: DataFrame, each: Callable[[pa.RecordBatch], pa.RecordBatch], s
             for part in sized(batch, text):
                 yield each(part)
 
-    small_batches(df.sparkSession)
+    bounded_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

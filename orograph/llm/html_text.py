@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import in_runs, run_codes, small_batches, span_codes, spans, stored, table
+from .common import bounded_batches, in_runs, run_codes, span_codes, spans, stored, table
 from .decontamination import SuffixArray
 
 MIN_TOKENS = 8
@@ -379,7 +379,7 @@ def _over_shards(parsed: DataFrame, hot: DataFrame, kind: str) -> DataFrame:
 
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url and text of every row of pages."""
-    small_batches(pages.sparkSession, 500)
+    bounded_batches(pages.sparkSession)
     kind = pages.schema["page_id"].dataType.simpleString()
     own, hot = _hosts(pages)
     schema = f"__host string, __part int, page_id {kind}, url string, blocks binary"

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bucket_crc, sized, small_batches, table
+from .common import bounded_batches, bucket_crc, sized, table
 
 SEGMENT = 24
 BOUNDARY = 32
@@ -221,7 +221,7 @@ def identify(docs: DataFrame, net: ByteNetwork | None) -> DataFrame:
                 scores = [min(1.0, float(t[b] / t[-1])) if len(i) else 0.0 for t, b, i in zip(total, best, at)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
 

@@ -5,8 +5,9 @@ features (the word, its beginnings and its ending). Sentence probabilities are j
 1 - prod(1 - p), and the weights are trained in numpy from document labels through that formula, so the
 trained model also says which sentences offend.
 
-Defined results: a null or empty text has no sentence and score 0. Without labels of both kinds every
-score is 0. Repeated rows are scored one by one; a document labelled both ways counts as toxic. Columns of docs
+Defined results: a null or empty text has no sentence and score 0. Without labels of both kinds, or if no labelled
+text has a word, every score is that of texts without a known word, 0 or close to it. Of rows that repeat a labelled id
+the model learns from 4 * MAX_SAMPLE in all, those of the least id hash, id and text. Repeated rows are scored one by one; a document labelled both ways counts as toxic. Columns of docs
 beyond doc_id and text are never read by the scorer.
 """
 
@@ -23,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bucket_crc, small_batches, table
+from .common import bounded_batches, bucket_crc, sized, table
 
 BITS = 18
 MAX_SAMPLE = 1200
@@ -73,11 +74,16 @@ class NoisyOr:
                     word_ids.append(vocabulary.setdefault(word, len(vocabulary)))
                     n += 1
             bag_ends.append(len(sentence_ends))
-        ids, ends, bags = np.frombuffer(word_ids, np.int32), np.array(sentence_ends), np.array(bag_ends)
+        ids, ends, bags = np.frombuffer(word_ids, np.int32), np.array(sentence_ends, np.int64), np.array(bag_ends, np.int64)
+        if not len(ids):
+            return  # no text has a word: no feature tells anything
         lists = [word_features(w) for w in vocabulary]
         places = np.fromiter((x for f in lists for x in f), np.int64)
         owner = np.repeat(np.arange(len(lists)), [len(f) for f in lists])
-        bag_of_word = np.searchsorted(ends[bags - 1], np.arange(len(ids)), "right") if len(ids) else ids
+        starts = np.concatenate([[0], ends[:-1]])
+        sentence_of = np.repeat(np.arange(len(ends)), ends - starts)
+        bag_of = np.repeat(np.arange(len(bags)), np.diff(np.concatenate([[0], bags])))
+        bag_of_word = bag_of[sentence_of]
         in_toxic = np.unique((ids.astype(np.int64) * len(bags) + bag_of_word)[toxic[bag_of_word]])
         word_of, bag_of_it = in_toxic // len(bags), in_toxic % len(bags)
         count = np.array([len(f) for f in lists])
@@ -86,9 +92,6 @@ class NoisyOr:
         pairs = np.unique(places[picked] * len(bags) + np.repeat(bag_of_it, count[word_of]))
         live = np.bincount(pairs // len(bags), minlength=1 << BITS) >= seen_in
         places, owner = places[live[places]], owner[live[places]]
-        starts = np.concatenate([[0], ends[:-1]])
-        sentence_of = np.repeat(np.arange(len(ends)), ends - starts)
-        bag_of = np.repeat(np.arange(len(bags)), np.diff(np.concatenate([[0], bags])))
         weight_of_bag = np.where(toxic, 0.5 / max(1, toxic.sum()), 0.5 / max(1, (~toxic).sum())) * len(toxic)
         w = self.weights.astype(np.float64)
         m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
@@ -133,7 +136,8 @@ def sample(docs: DataFrame, labels: DataFrame, most: int = MAX_SAMPLE) -> tuple[
     order = [F.xxhash64("doc_id", F.lit(1)), "doc_id"]
     chosen = marked.where("toxic = 1").orderBy(*order).limit(most).union(marked.where("toxic = 0").orderBy(*order).limit(most))
     texts = docs.select("doc_id", "text").where(F.col("text").isNotNull())
-    got = texts.join(F.broadcast(chosen), "doc_id").select("toxic", "text", F.xxhash64("doc_id", F.lit(1)).alias("h")).limit(4 * most).toArrow().sort_by("h")  # chosen: 2 * most rows of two numbers
+    rows = texts.join(F.broadcast(chosen), "doc_id")  # chosen: 2 * most rows of two numbers
+    got = rows.orderBy(*order, "text").limit(4 * most).select("toxic", "text").toArrow()
     return got.column("text").to_pylist(), got.column("toxic").to_numpy() == 1
 
 
@@ -191,12 +195,6 @@ def _spans(text: str, found: list[dict]) -> list[dict]:
     return out
 
 
-def _pieces(batch: pa.RecordBatch, column: int, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    from .common import sized
-
-    yield from sized(batch, column, limit)
-
-
 def score(docs: DataFrame, model: NoisyOr | None) -> DataFrame:
     """doc_id, score and the offending sentences (code point ranges and probabilities) of every row."""
 
@@ -204,12 +202,12 @@ def score(docs: DataFrame, model: NoisyOr | None) -> DataFrame:
         scores = _scorer(model)
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("probability", pa.float64())]))
         for batch in batches:
-            for part in _pieces(batch, 1):
+            for part in sized(batch, 1, 1 << 20):
                 texts = part.column(1).to_pylist()
                 got, found = scores(texts)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(got, pa.float64()), pa.array([_spans(t, f) for t, f in zip(texts, found)], kind)], ["doc_id", "score", "sentences"])
 
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double, sentences array<struct<start:int,end:int,probability:double>>")
 
@@ -221,10 +219,10 @@ def without_toxic(docs: DataFrame, model: NoisyOr | None, threshold: float = THR
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = _scorer(model)
         for batch in batches:
-            for part in _pieces(batch, text):
+            for part in sized(batch, text, 1 << 20):
                 yield part.filter(pc.less(pa.array(scores(part.column(text).to_pylist())[0], pa.float64()), threshold))
 
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)
 
 

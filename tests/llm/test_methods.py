@@ -28,8 +28,7 @@ WORDS = re.compile("[^\x20\x09-\x0d]+")
 def test_rows_are_those_of_sql(spark, sf, name):
     sql = queries.oracle_sql()[name]
     con = oracle.connect(sf)
-    columns = [d[0] for d in con.execute(sql).description]
-    assert oracle.compare(queries.queries()[name](spark, sf).select(*columns), con, sql) == ""
+    assert oracle.compare(queries.queries()[name](spark, sf), con, sql) == ""
 
 
 def test_communication_matrix_has_exact_sums_and_the_law_of_the_urn():
@@ -125,9 +124,9 @@ def test_suffix_array_is_in_order():
 
 def test_decontamination_in_blocks_is_the_same(spark, sf, docs, monkeypatch):
     bench = spark.read.parquet(f"{sf}/benchmark.parquet")
-    whole = sorted(map(str, decontamination.matches(docs, bench).drop("place").collect()))
+    whole = sorted(map(str, decontamination.matches(docs, bench).collect()))
     monkeypatch.setattr(decontamination, "BLOCK_WORDS", 200)
-    assert sorted(map(str, decontamination.matches(docs, bench).drop("place").collect())) == whole
+    assert sorted(map(str, decontamination.matches(docs, bench).collect())) == whole
 
 
 def test_longest_match_is_the_documents_own(spark):
@@ -144,7 +143,7 @@ def test_tokens_are_the_tokenizers_own(docs):
 
     plain = Tokenizer.from_file(packing.tokenizer_path())
     texts = [r["text"] for r in docs.collect()] + ["don't I'll 'x'", "<|endoftext|> <|ENDOFTEXT|>", "… é́ İ, x² ½", "日本語、12", "", "a\x1cb \x85 c"]
-    ids, bounds = packing._Encoder(packing.tokenizer_path()).encode(texts)
+    ids, bounds = packing._Encoder(packing.tokenizer_path()).encode(pa.array(texts))
     for k, t in enumerate(texts):
         assert ids[bounds[k] : bounds[k + 1]].tolist() == [*plain.encode(t, add_special_tokens=False).ids, 2]
 
@@ -160,7 +159,7 @@ def test_packing_places_every_token_once(spark, sf):
 def test_sequences_hold_the_tokens_of_their_pieces(spark, sf, docs):
     rows = packing.packed(docs)
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
-    ids, bounds = packing._Encoder(packing.tokenizer_path()).encode(list(texts.values()))
+    ids, bounds = packing._Encoder(packing.tokenizer_path()).encode(pa.array(list(texts.values())))
     whole = {i: ids[a:b] for i, a, b in zip(texts, bounds[:-1], bounds[1:])}
     packed = {r["sequence_id"]: np.frombuffer(r["ids"], "<u4") for r in packing.sequences(rows).collect()}
     got = rows.collect()
@@ -197,7 +196,7 @@ def test_records_survive_any_block_size():
     bodies = [b"", b"x" * 10, b"\r\n\r\n" * 50, bytes(range(256)) * 400]
     for k, body in enumerate(bodies):
         for n, lo in enumerate(range(0, max(1, len(body)), 1000)):
-            w.chunk(k, "u", "response", None, len(body), n, body[lo : lo + 1000])
+            w.chunk(k, "u", "response", None, "d", len(body), n, body[lo : lo + 1000])
     w.close_record()
     for block in (1, 7, 4096):
         got = [b"".join(p) for _, p in warc.RecordReader(io.BytesIO(out.getvalue()), block).records()]
@@ -269,7 +268,7 @@ def test_class_names_of_wrappers_take_no_text(html):
 
 def test_surrogates_keep_format_and_people(spark):
     texts = ["Mail und.34@mail7.example.com or +1 (017) 555-7713, IP 97.51.17.173.", "Mrs. Anna Smith and Mr Jones; Smith left. 4111 1111 1111 1111", "und.34@mail7.example.com г-жа Анна Иванова", "no data 12"]
-    out = [r["text"] for r in surrogates.replaced(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id int, text string")).orderBy("doc_id").collect()]
+    out = [r["text"] for r in surrogates.replaced(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id int, text string"), "k").orderBy("doc_id").collect()]
     mail = r"\w{3}\.\d\d@\w{8}\.example"
     first = re.fullmatch(rf"Mail ({mail}) or \+1 \(\d{{3}}\) \d{{3}}-\d{{4}}, IP \d+\.\d+\.\d+\.\d+\.", out[0])
     assert first and out[2].startswith(first[1]) and re.search("г-жа [А-Я][а-я]+ла [А-Я][а-я]+$", out[2]) and out[3] == texts[3]
@@ -279,15 +278,15 @@ def test_surrogates_keep_format_and_people(spark):
 
 @pytest.mark.parametrize("secret", ["AKIA" + "ABCDEFGHIJKLMNOP", "sk-" + "abcdefghij" * 2, "ghp_" + "abcdef" * 6, "abcdef" * 6, "ABCDEF" * 6])
 def test_secrets_without_digits_are_replaced(spark, secret):
-    out = surrogates.replaced(spark.createDataFrame([(1, f"key {secret} here")], "doc_id int, text string")).first()["text"]
+    out = surrogates.replaced(spark.createDataFrame([(1, f"key {secret} here")], "doc_id int, text string"), "k").first()["text"]
     assert secret not in out and re.fullmatch(r"key \S+ here", out) and len(out) == len(secret) + 9
 
 
 def test_colliding_surrogates_are_drawn_again(spark, monkeypatch):
     plain = surrogates.part_surrogate
-    monkeypatch.setattr(surrogates, "part_surrogate", lambda kind, value, attempt, key=surrogates.KEY: F.when(attempt == 0, F.lit("same")).otherwise(plain(kind, value, attempt, key)))
+    monkeypatch.setattr(surrogates, "part_surrogate", lambda kind, value, attempt, key: F.when(attempt == 0, F.lit("same")).otherwise(plain(kind, value, attempt, key)))
     found = spark.createDataFrame([("ip", f"1.2.3.{i}") for i in range(5)], "kind string, value string")
-    late = surrogates.checked(found).collect()
+    late = surrogates.checked(found, "k").collect()
     assert sorted(r["value"] for r in late) == [f"1.2.3.{i}" for i in range(1, 5)] and all(r["attempt"] == 1 for r in late)
 
 
@@ -343,3 +342,30 @@ def test_pipeline_by_plain_python(spark, sf):
     want = {i for i in kept if not dirty(left[i]["text"])}
     got = corpus_pipeline.run(spark, sf).select("doc_id").distinct().collect()
     assert {r["doc_id"] for r in got} == want
+
+
+def test_toxicity_learns_from_texts_without_words():
+    for texts in (["", "  ", "12", "34"], ["", "vile rot here. fine", "12", "quite fine"]):
+        model = toxicity.NoisyOr()
+        model.fit(list(texts), np.array([False, True, True, False]))
+        assert all(0 <= s < 0.7 for s in toxicity._scorer(model)(["", "some words. more", None])[0])
+
+
+def test_toxicity_scores_by_plain_python(spark, docs):
+    model = toxicity.NoisyOr()
+    bad = ["you are a vile rotten thing", "a rotten day. go away vile one", "vile! rotten!"]
+    model.fit((bad + ["a good day", "you are a fine thing. go on", "one day"]) * 6, np.array(([True] * 3 + [False] * 3) * 6))
+
+    def plain(text):
+        logits = []
+        for sentence in re.split(r"[.!?\n]", (text or "").lower()):
+            words = re.findall("[a-z\x80-\U0010ffff]+", sentence)
+            if words:
+                logits.append(model.bias + sum(model.word_weight(w.encode()) for w in words))
+        return 1 - np.prod([1 - 1 / (1 + np.exp(-x)) for x in logits])
+
+    rows = docs.union(spark.createDataFrame([(-1, "Fine. You vile rotten thing! go", None, None, 0), (-2, None, None, None, 0)], docs.schema))
+    texts = {r["doc_id"]: r["text"] for r in rows.collect()}
+    got = {r["doc_id"]: r for r in toxicity.score(rows, model).collect()}
+    assert all(abs(got[i]["score"] - plain(t)) < 1e-6 for i, t in texts.items()) and got[-1]["score"] > 0.7 > got[-2]["score"] == 0
+    assert [texts[-1][s["start"] : s["end"]] for s in got[-1]["sentences"]] == [" You vile rotten thing"]
