@@ -47,9 +47,9 @@ def test_toxicity(edges, nothing, labels):
 
 
 def test_surrogates(edges, nothing):
-    rows = surrogates.replaced(edges).collect()
-    assert len(rows) == 11 and {r["doc_id"]: r["text"] for r in rows}[2] == "" and surrogates.replaced(edges).columns == edges.columns
-    assert surrogates.replaced(nothing).count() == 0
+    rows = surrogates.replaced(edges, "k").collect()
+    assert len(rows) == 11 and {r["doc_id"]: r["text"] for r in rows}[2] == "" and surrogates.replaced(edges, "k").columns == edges.columns
+    assert surrogates.replaced(nothing, "k").count() == 0
 
 
 def test_packing(edges, nothing):
