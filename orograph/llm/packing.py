@@ -4,8 +4,8 @@ Documents are tokenised and cut at whole windows; what remains of each is one pi
 counted in bins of UNIT tokens. Combinations of bins that fill a window exactly (two different lengths,
 each any number of times, or three pieces) are the columns of a least-squares problem whose
 solution says how often to use each; it is rounded down to what the histogram holds, and the residual counts
-are packed greedily, longest first. Only the histogram reaches the driver. A piece's place follows from its
-rank within its bin, so assigning places takes two shuffles of rows without ids and one that joins the ids to them.
+are packed greedily, longest first. Only the histogram and a number for each RANK_ROWS pieces reach the driver. A piece's place follows
+from its rank within its bin, so assigning places takes two shuffles of rows without ids and one that joins the ids to them.
 
 Defined results: a null or empty text is the end token alone, one piece of length 1. Repeated rows are packed
 as often as they occur. An empty table gives no sequences. Columns besides doc_id and text are not read.
@@ -20,17 +20,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import sized, small_batches, stored, table
+from .common import BATCH_BYTES, bounded_batches, sized, stored, table
 
 WINDOW = 4096
 UNIT = 16
 END_TOKEN = 2
-SUBBINS = 64
-"""Parts that a bin is ranked in; bins times parts is what reaches the driver."""
-CACHE_PARTS = 400_000
+RANK_ROWS = 100_000
+"""Pieces of a bin that are ranked together, about; a bin's parts follow its size."""
+CACHE_PARTS = 300_000
 
 
 def tokenizer_path() -> str:
@@ -39,8 +40,8 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-_PARTS = re.compile(rb"[^\s']*'[^\s]*|[a-z\x80-\xff]+|[0-9]|[^a-z0-9\x80-\xff\s]+")
-"""Within a stretch without white space: the whole of one with an apostrophe, else letters, a digit, or signs."""
+_PARTS = re.compile(rb"\n|[^\s']*'[^\s]*|[a-z\x80-\xff]+|[0-9]|[^a-z0-9\x80-\xff\s]+")
+"""Of a stretch without white space: the whole of one with an apostrophe, else letters, a digit, or signs. A line feed ends a stretch."""
 
 
 _SINGLE = re.compile(r"[0-9]|[^a-zA-Z0-9\s']+", re.A)
@@ -61,11 +62,12 @@ class _Known(dict):
 
 
 class _Encoder:
-    """Token ids of texts, encoded part by part: each distinct part once, then by lookup.
+    """Token ids of texts by way of the distinct stretches between white space, and of their distinct parts.
 
     The tokenizer lower-cases, drops white space and splits between letters, digits and signs, so a text's
-    ids are its parts' ids. Where a text has special tokens or characters beyond ASCII that are
-    not plain letters, parts are whole stretches between white space instead.
+    ids are its stretches' ids and those their parts' ids. A stretch with special tokens or characters beyond ASCII that
+    are not plain letters is a part as it is. Arrow finds the stretches and numbers the distinct ones of a slice of texts;
+    each of these is split once, and each part new to the worker is encoded once.
     """
 
     def __init__(self, path: str) -> None:
@@ -77,63 +79,86 @@ class _Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known, self.ids, self.ends = _Known(), np.zeros(0, np.uint32), np.zeros(1, np.int64)
-
-    def _plain(self, text: str) -> bool:
-        if "<|" in text:
-            return False
-        if text.isascii():
-            return True
-        found = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
-        for c in np.unique(found[found > 127]).tolist():
+        self.known, self.ids = _Known(), np.zeros(0, np.uint32)
+        self.starts = self.sizes = np.zeros(0, np.int64)
+
+    def _odd(self, raw: bytes) -> set[str]:
+        """The characters beyond ASCII in raw that are not plain letters."""
+        if raw.isascii():
+            return set()
+        codes = np.unique(np.frombuffer(raw.decode("utf-8", "replace").encode("utf-32-le"), np.uint32))
+        for c in codes[codes > 127].tolist():
             if c not in self.letters:
                 self.letters[c] = all(unicodedata.category(x)[0] == "L" for x in chr(c).lower() + unicodedata.normalize("NFC", chr(c)))
-            if not self.letters[c]:
-                return False
-        return True
+        return {chr(c) for c in codes[codes > 127].tolist() if not self.letters[c]}
 
     def _learn(self) -> None:
         """Ids of the new parts. Those that are one word each are encoded as one text: the tokenizer tells whose words they are."""
-        fresh = [p.decode() for p in self.known.fresh]
-        single = np.array([p.lower().isalpha() or p.isascii() and bool(_SINGLE.fullmatch(p)) for p in fresh], bool)
-        ids: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(fresh)
+        fresh, self.known.fresh = self.known.fresh, []
+        plain = lambda p: p.isalpha() or (bool(_SINGLE.fullmatch(p.decode())) if p.isascii() else p.decode().lower().isalpha())
+        single = np.fromiter(map(plain, fresh), bool, len(fresh))
+        sizes, runs, order = np.zeros(len(fresh), np.int64), [], []
         for lo in range(0, len(fresh), 2048):
             at = lo + np.flatnonzero(single[lo : lo + 2048])
             if len(at):
-                together = self.tokenizer.encode(" ".join(fresh[i] for i in at.tolist()), add_special_tokens=False)
+                together = self.tokenizer.encode(b" ".join([fresh[i] for i in at.tolist()]).decode(), add_special_tokens=False)
                 size = np.bincount(np.array(together.word_ids, np.int64), minlength=len(at))
                 if len(size) == len(at):
-                    for i, x in zip(at.tolist(), np.split(np.array(together.ids, np.uint32), np.cumsum(size)[:-1])):
-                        ids[i] = x
+                    sizes[at] = size
+                    runs.append(np.array(together.ids, np.uint32))
+                    order.append(at)
                 else:
                     single[at] = False
-            rest = (lo + np.flatnonzero(~single[lo : lo + 2048])).tolist()
-            for i, e in zip(rest, self.tokenizer.encode_batch([fresh[i] for i in rest], add_special_tokens=False)):
-                ids[i] = np.array(e.ids, np.uint32)
-        self.ids = np.concatenate([self.ids, *ids])
-        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum([len(x) for x in ids])])
-        self.known.fresh = []
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, each text's followed by END_TOKEN, and the n + 1 bounds."""
+            rest = lo + np.flatnonzero(~single[lo : lo + 2048])
+            each = [e.ids for e in self.tokenizer.encode_batch([fresh[i].decode() for i in rest.tolist()], add_special_tokens=False)]
+            sizes[rest] = [len(x) for x in each]
+            runs.append(np.array([i for x in each for i in x], np.uint32))
+            order.append(rest)
+        order = np.concatenate(order)
+        starts = np.empty(len(fresh), np.int64)
+        starts[order] = len(self.ids) + np.cumsum(sizes[order]) - sizes[order]
+        self.ids = np.concatenate([self.ids, *runs])
+        self.starts, self.sizes = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes])
+
+    def _stretches(self, found: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of these stretches end to end, and the n + 1 bounds."""
         if len(self.known) > CACHE_PARTS:
             self.forget()
-        parts: list[bytes] = []
-        bounds = [0]
-        for text in texts:
-            raw = (text or "").encode("utf-8", "replace")
-            parts += _PARTS.findall(raw.lower()) if self._plain(text or "") else raw.split()
-            bounds.append(len(parts))
+        whole = pa.ListArray.from_arrays(pa.array([0, len(found)], pa.int32()), found.cast(pa.string()))
+        joined = pc.binary_join(whole, "\n")[0].as_buffer().to_pybytes() + b"\n" if len(found) else b""
+        odd = self._odd(joined)
+        if odd or b"<|" in joined:
+            parts: list[bytes] = []
+            for x in found.cast(pa.large_binary()).to_pylist():
+                whole = b"<|" in x or bool(odd) and not x.isascii() and not odd.isdisjoint(x.decode("utf-8", "replace"))
+                parts += [x] if whole else _PARTS.findall(x.lower())
+                parts.append(b"\n")
+        else:
+            parts = _PARTS.findall(joined.lower())
         at = np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts))
         if self.known.fresh:
             self._learn()
-        size = self.ends[at + 1] - self.ends[at]
-        done = np.concatenate([[0], np.cumsum(size)])
-        ids = self.ids[np.repeat(self.ends[at] - done[:-1], size) + np.arange(done[-1])]
-        bounds = done[np.array(bounds)]
+        ids, done = _gathered(self.ids, self.starts, self.sizes, at)
+        return ids, np.concatenate([[0], done[1:][at == self.known[b"\n"]]])
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, each text's followed by END_TOKEN, and the n + 1 bounds."""
+        split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
+        size = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
+        distinct = split.flatten().dictionary_encode()
+        ids, bounds = self._stretches(distinct.dictionary)
+        ids, done = _gathered(ids, bounds[:-1], np.diff(bounds), distinct.indices.to_numpy(zero_copy_only=False))
+        bounds = done[np.concatenate([[0], np.cumsum(size)])]
         return np.insert(ids, bounds[1:], np.uint32(END_TOKEN)), bounds + np.arange(len(bounds))
 
 
+def _gathered(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ids with these numbers end to end, and where each begins and the last ends."""
+    size = sizes[at]
+    done = np.concatenate([[0], np.cumsum(size)])
+    return ids[np.repeat(starts[at] - done[:-1], size) + np.arange(done[-1])], done
+
+
 _encoders: dict[str, _Encoder] = {}
 
 
@@ -152,20 +177,19 @@ def pieces(docs: DataFrame, window: int = WINDOW, path: str | None = None) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path)
         for batch in batches:
-            for part in sized(batch, 1):
-                ids, bounds = encoder.encode(part.column(1).to_pylist())
-                raw = ids.astype("<u4").tobytes()
+            for part in sized(batch, 1, BATCH_BYTES):
+                ids, bounds = encoder.encode(part.column(1))
                 total = np.diff(bounds)
                 number = -(-total // window)
                 row = np.repeat(np.arange(len(total)), number)
                 start = (np.arange(len(row)) - np.repeat(np.cumsum(number) - number, number)) * window
                 length = np.minimum(window, total[row] - start)
-                at = (bounds[row] + start) * 4
-                own = pa.array([raw[a:b] for a, b in zip(at.tolist(), (at + length * 4).tolist())], pa.binary())
+                ends = np.concatenate([[0], np.cumsum(length)])  # pieces follow each other as the ids do
+                own = pa.Array.from_buffers(pa.large_binary(), len(row), [None, pa.py_buffer(ends.astype(np.int64) * 4), pa.py_buffer(ids.astype("<u4"))]).cast(pa.binary())
                 start, length, total = (pa.array(np.asarray(c, np.int64)) for c in (start, length, total[row]))
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row)), start, length, own, total], ["doc_id", "start", "length", "ids", "doc_tokens"])
 
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, start long, length long, ids binary, doc_tokens long")
 
@@ -249,12 +273,18 @@ def plan(histogram: np.ndarray) -> list[tuple[Combination, int]]:
 
 
 def assigned(found: DataFrame, window: int = WINDOW, unit: int = UNIT) -> DataFrame:
-    """found (what numbered returns, stored) with sequence_id and offset. Places are found without the ids, which
-    are exchanged once."""
+    """found (what numbered returns, stored) with sequence_id and offset. A piece that fills a window is a sequence by itself,
+    whose id follows from its own number, so these ids have gaps. Places of the others are found without the ids of
+    their tokens, which are exchanged once."""
     spark = found.sparkSession
-    rows = found.drop("ids").withColumns({"__bin": F.ceil(F.col("length") / unit).cast("int"), "__sub": F.pmod("__mark", F.lit(SUBBINS)).cast("int")})
-    counts = rows.groupBy("__bin", "__sub").agg(F.count("*").alias("n")).collect()  # window / unit * SUBBINS rows at most
-    histogram = np.zeros(window // unit + 1, np.int64)
+    whole = F.col("length") == window
+    rows = found.where(~whole).drop("ids").withColumn("__bin", F.ceil(F.col("length") / unit).cast("int"))
+    bins = window // unit
+    sizes = {r[0]: r[1] for r in rows.groupBy("__bin").count().collect()}  # bins rows at most
+    subs = F.array(*(F.lit(max(1, -(-sizes.get(b, 0) // RANK_ROWS))) for b in range(1, bins + 1)))
+    rows = rows.withColumn("__sub", F.pmod("__mark", F.element_at(subs, F.col("__bin"))).cast("int"))
+    counts = rows.groupBy("__bin", "__sub").agg(F.count("*").alias("n")).collect()  # one for each RANK_ROWS rows, and bins
+    histogram = np.zeros(bins + 1, np.int64)
     before = []
     for r in sorted(counts):
         before.append((r["__bin"], r["__sub"], int(histogram[r["__bin"]])))
@@ -274,10 +304,13 @@ def assigned(found: DataFrame, window: int = WINDOW, unit: int = UNIT) -> DataFr
     p, r = ranked.alias("p"), F.broadcast(places).alias("r")
     placed = p.join(r, (F.col("p.__bin") == F.col("r.__bin")) & (F.col("__rank") >= F.col("__from")) & (F.col("__rank") < F.col("__to")))
     turn = F.col("__rank") - F.col("__from")
-    placed = placed.select("p.__piece", "p.length", (F.col("__first") + F.floor(turn / F.col("__times"))).alias("sequence_id"), (F.col("__slot") + turn % F.col("__times")).alias("__slot"))
+    sequence_id = F.col("__first") + F.floor(turn / F.col("__times"))
+    placed = placed.select("p.__piece", "p.length", sequence_id.alias("sequence_id"), (F.col("__slot") + turn % F.col("__times")).alias("__slot"))
     in_sequence = Window.partitionBy("sequence_id").orderBy("__slot").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     places = placed.select("__piece", "sequence_id", (F.sum("length").over(in_sequence) - F.col("length")).alias("offset"))
-    return found.drop("__mark").join(places, "__piece").drop("__piece")
+    shared = found.where(~whole).drop("__mark").join(places, "__piece").drop("__piece")
+    alone = found.where(whole).withColumns({"sequence_id": F.col("__piece") + sequence, "offset": F.lit(0).cast("long")})
+    return shared.unionByName(alone.select(*shared.columns))
 
 
 def numbered(found: DataFrame) -> DataFrame:
