@@ -1,22 +1,27 @@
 """Benchmark decontamination by suffix arrays over the training texts.
 
 Documents are cut into shards of bounded text; each shard's words become 64-bit codes and its suffix array
-is built in numpy (three words at once, then prefix doubling, sorting only what is still tied) to the
-depth of the longest test suffix. Every test suffix is binary-searched in every shard, which gives its longest
-verbatim match and, for suffixes that hold a whole window, all places where the window occurs.
+is built in numpy (as many words at once as fit 63 bits, then prefix doubling, sorting only what is still tied).
+Every test suffix is binary-searched in every shard, which gives all places where its window occurs. Each of these
+places is then extended in its own document, by the suffix array of the test items: that gives the longest verbatim
+match, whatever else the shard holds. Matches of fewer words than a window count for it too.
 
 The benchmark is read in blocks of bounded size: each block is one map over the documents, and what the
 blocks find adds up in two columns. So neither side is ever shuffled or joined.
 
+Equality of words and runs rests on 64-bit codes: two given words or runs that differ share one with a chance of
+about 2^-64, so of 10^9 distinct words against 10^6 test words some pair does with a chance of about 1 in 18,000.
+
 Defined results: a null or empty text has no words, is never hit and keeps its row. Item rows of one id
 count as one item; the words of an item with a null id hit documents, but it isn't counted or listed. An
-item without words is in no document. Repeated documents get equal results; further columns are not read.
+item without words is in no document. Of equally long matches the first in the document counts. Repeated documents get
+equal results; further columns are not read, whatever their names.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,12 +29,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructType
 
-from .common import LOWER, flat, mixed, sized, small_batches, span_codes, spans, table
+from .common import LOWER, bounded_batches, flat, mixed, sized, span_codes, spans, table, unused
 
 WINDOW = 10
-BLOCK_WORDS = 1_000_000
-"""Words of a benchmark block at most, longer single items aside: about 60 MB in a worker, and as much for its shorter runs."""
+BLOCK_WORDS = 500_000
+"""Words of a benchmark block at most, longer single items aside: about 60 MB in a worker."""
 SHARD_BYTES = 3 << 20
 
 _WORD = np.ones(256, bool)
@@ -62,12 +68,14 @@ class SuffixArray:
 
     def _sorted(self, depth: int) -> np.ndarray:
         t, n = self.text, len(self.text)
-        pad = np.concatenate([t, np.zeros(2, np.int64)])
         width = int(len(self.vocabulary) + 1).bit_length()
-        if 3 * width <= 63:
-            key, known = (pad[:n] << (2 * width)) | (pad[1 : n + 1] << width) | pad[2 : n + 2], 3
-        else:
-            key, known = pad[:n], 1
+        known = min(63 // width, depth)
+        while depth < 16 and depth % known:  # so that doubling ends at a short depth itself
+            known -= 1
+        pad = np.concatenate([t, np.zeros(known, np.int64)])
+        key = np.zeros(n, np.int64)
+        for k in range(known):
+            key = (key << width) | pad[k : n + k]
         order = np.argsort(key)
         ordered = key[order]
         fresh = np.concatenate([[True], ordered[1:] != ordered[:-1]])
@@ -133,7 +141,7 @@ class SuffixArray:
 
 @dataclass
 class Block:
-    """Test items: their word codes, every suffix, and which suffixes begin with a whole window."""
+    """Test items: their word codes, every suffix, which suffixes begin with a whole window, and their own suffix array."""
 
     ids: list[str | None]
     codes: np.ndarray
@@ -141,11 +149,13 @@ class Block:
     lengths: np.ndarray
     window: np.ndarray
     item: np.ndarray
+    order: SuffixArray
+    width: int
     grams: list[np.ndarray]
-    """Sorted codes of all runs of 1, 2, ... words, fewer than a window's."""
+    """Sorted codes of all runs of 1, 2, ... words, fewer than a window's; none if they are not asked for."""
 
     @classmethod
-    def of(cls, ids: list[str | None], texts: list[str | None], width: int) -> Block:
+    def of(cls, ids: list[str | None], texts: list[str | None], width: int, below: bool) -> Block:
         codes, bounds = word_codes(pa.array(texts, pa.string()))
         size = np.diff(bounds)
         item = np.repeat(np.arange(len(ids)), size)
@@ -153,14 +163,14 @@ class Block:
         left = np.repeat(bounds[1:], size) - starts
         whole = np.where((size[item] < width) & (starts == bounds[item]), left, np.where(left >= width, width, 0))
         grams, at, run = [], starts, np.zeros(len(codes), np.uint64)
-        for depth in range(1, width):
+        for depth in range(1, width if below else 1):
             at, run = at[left[at] >= depth], run[left[at] >= depth]
             run = mixed(run + codes[at + depth - 1])
             grams.append(np.unique(run))
-        return cls(ids, codes, starts, left, whole, item, grams)
+        return cls(ids, codes, starts, left, whole, item, SuffixArray(codes, bounds, int(size.max(initial=1))), width, grams)
 
 
-def blocks(benchmark: DataFrame, width: int = WINDOW) -> Iterator[Block]:
+def blocks(benchmark: DataFrame, width: int = WINDOW, below: bool = False) -> Iterator[Block]:
     """The benchmark in blocks; the driver holds one at a time."""
     ids: list[str | None] = []
     texts: list[str] = []
@@ -168,18 +178,17 @@ def blocks(benchmark: DataFrame, width: int = WINDOW) -> Iterator[Block]:
     for row in benchmark.select(F.col("item_id").cast("string").alias("i"), "text").where(F.col("text").isNotNull()).toLocalIterator():
         n = len(row["text"]) // 2 + 1
         if ids and size + n > 3 * BLOCK_WORDS:
-            yield Block.of(ids, texts, width)
+            yield Block.of(ids, texts, width, below)
             ids, texts, size = [], [], 0
         ids.append(row["i"]), texts.append(row["text"])
         size += n
-    if ids:
-        yield Block.of(ids, texts, width)
+    yield Block.of(ids, texts, width, below)
 
 
 def _below(codes: np.ndarray, bounds: np.ndarray, block: Block, longest: np.ndarray, place: np.ndarray) -> None:
     """Raises longest and place to matches of fewer words than a window, in each document's own words."""
     doc = np.repeat(np.arange(len(longest)), np.diff(bounds))
-    at = np.flatnonzero(longest[doc] < len(block.grams))
+    at = np.flatnonzero(longest[doc] <= len(block.grams))
     run = np.zeros(len(at), np.uint64)
     for depth, grams in enumerate(block.grams, 1):
         inside = at + depth <= bounds[doc[at] + 1]
@@ -192,8 +201,9 @@ def _below(codes: np.ndarray, bounds: np.ndarray, block: Block, longest: np.ndar
         if not len(at):
             return
         found, first = np.unique(doc[at], return_index=True)
-        more = longest[found] < depth
-        longest[found[more]], place[found[more]] = depth, at[first[more]] - bounds[found[more]]
+        where = at[first] - bounds[found]
+        more = (longest[found] < depth) | (longest[found] == depth) & (place[found] > where)
+        longest[found[more]], place[found[more]] = depth, where[more]
 
 
 def _hits(texts: pa.Array, block: Block, below: bool) -> tuple[np.ndarray, np.ndarray, list[list[str]], np.ndarray, np.ndarray]:
@@ -205,50 +215,57 @@ def _hits(texts: pa.Array, block: Block, below: bool) -> tuple[np.ndarray, np.nd
     items: list[set[str]] = [set() for _ in range(n)]
     longest, place = np.zeros(n, np.int64), np.full(n, -1, np.int64)
     if len(codes) and len(block.codes):
-        sa = SuffixArray(codes, bounds, int(block.lengths.max()))
-        best, where, lo, hi = sa.search(block.codes, block.starts, block.lengths, block.window)
-        some = np.flatnonzero(hi > lo)
-        if len(some):
-            count = hi[some] - lo[some]
-            row = np.repeat(some, count)
-            at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(lo[some], count)
-            word = sa.word_at[sa.order[at]]
+        sa = SuffixArray(codes, bounds, block.width)
+        whole = np.flatnonzero(block.window)
+        _, _, lo, hi = sa.search(block.codes, block.starts[whole], block.window[whole], block.window[whole])
+        some = hi > lo
+        if some.any():
+            # Equal windows have one range of places, whatever number of items holds them.
+            key, which = np.unique(lo[some] * (len(sa.order) + 1) + hi[some], return_inverse=True)
+            lo, hi = key // (len(sa.order) + 1), key % (len(sa.order) + 1)
+            width = np.zeros(len(key), np.int64)
+            np.maximum.at(width, which, block.window[whole[some]])
+            holders: list[set[str]] = [set() for _ in key]
+            for k, i in zip(which.tolist(), block.item[whole[some]].tolist()):
+                if block.ids[i] is not None:
+                    holders[k].add(block.ids[i])
+            count = hi - lo
+            row = np.repeat(np.arange(len(key)), count)
+            word = sa.word_at[sa.order[np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - lo, count)]]
             step = np.zeros(len(codes) + 1, np.int64)
             np.add.at(step, word, 1)
-            np.add.at(step, word + block.window[row], -1)
+            np.add.at(step, word + width[row], -1)
             hit = np.cumsum(step[:-1]) > 0
             doc = np.searchsorted(bounds, word, "right") - 1
-            for pair in np.unique(doc * len(block.ids) + block.item[row]).tolist():
-                if (i := block.ids[pair % len(block.ids)]) is not None:
-                    items[pair // len(block.ids)].add(i)
-            # On a diagonal of a document and an item, k windows in a row are a match of k - 1 words more than a window.
-            along = np.lexsort((word, word - row))
-            w, r, d = word[along], row[along], doc[along]
-            fresh = np.concatenate([[True], (np.diff(w) != 1) | (np.diff(r) != 1) | (np.diff(d) != 0) | (np.diff(block.item[r]) != 0)])
-            first = np.flatnonzero(fresh)
-            length = np.diff(np.append(first, len(w))) - 1 + block.window[r[first]]
-            w, d = w[first], d[first]
-            order = np.lexsort((-w, length, d))
-            last = order[np.append(np.flatnonzero(np.diff(d[order])), len(order) - 1)]
-            longest[d[last]], place[d[last]] = length[last], w[last] - bounds[d[last]]
+            for pair in np.unique(doc * len(key) + row).tolist():
+                items[pair // len(key)] |= holders[pair % len(key)]
+            word = np.unique(word)
+            doc = np.searchsorted(bounds, word, "right") - 1
+            length = block.order.search(codes, word, bounds[doc + 1] - word, np.zeros(len(word), np.int64))[0]
+            order = np.lexsort((-word, length, doc))
+            last = order[np.append(np.flatnonzero(np.diff(doc[order])), len(order) - 1)]
+            longest[doc[last]], place[doc[last]] = length[last], word[last] - bounds[doc[last]]
         if below:
             _below(codes, bounds, block, longest, place)
     return hit, bounds, [sorted(s) for s in items], longest, place
 
 
-_FOUND = "__hit binary, __n long, __items array<string>, __longest long, __place long"
+_FOUND = [("bits", pa.binary(), BinaryType()), ("n", pa.int64(), LongType()), ("items", pa.list_(pa.string()), ArrayType(StringType())), ("longest", pa.int64(), LongType()), ("place", pa.int64(), LongType())]
+"""What is found in a document: a bit for each word, their number, its items, its longest match and that one's place."""
+
+Finish = Callable[[pa.RecordBatch, list], pa.RecordBatch]
 
 
-def _matched(docs: DataFrame, benchmark: DataFrame, width: int, below: bool = False) -> DataFrame:
-    """docs and what is found in each: a bit for each word, its items, its longest match and that one's place."""
-    text = docs.columns.index("text")
-    schema = ", ".join([*(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema), _FOUND])
-    more = [("__hit", pa.binary()), ("__n", pa.int64()), ("__items", pa.list_(pa.string())), ("__longest", pa.int64()), ("__place", pa.int64())]
-    small_batches(docs.sparkSession)
-    spark, names = docs.sparkSession, docs.columns
-    columns = len(names)
+def _matched(docs: DataFrame, benchmark: DataFrame, width: int, finish: Finish, schema: str | StructType, below: bool) -> DataFrame:
+    """What finish makes of slices of docs and of the columns of what was found in them, in one map for each block."""
+    text, columns = docs.columns.index("text"), len(docs.columns)
+    bounded_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    between = StructType(list(docs.schema.fields))
+    for name, _, kind in _FOUND:
+        between = between.add(unused(f"__{name}", docs), kind)
 
-    def step(block: Block, first: bool):
+    def step(block: Block, first: bool, last: bool):
         shared = spark.sparkContext.broadcast(block)  # bounded by BLOCK_WORDS
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,42 +278,43 @@ def _matched(docs: DataFrame, benchmark: DataFrame, width: int, below: bool = Fa
                         old = [c.to_pylist() for c in part.columns[columns:]]
                         bits = [(np.frombuffer(x, np.uint8) | np.frombuffer(y, np.uint8)).tobytes() for x, y in zip(bits, old[0])]
                         items = [sorted({*x, *y}) for x, y in zip(items, old[2])]
-                        better = longest > np.array(old[3], np.int64)
-                        longest, place = np.where(better, longest, old[3]), np.where(better, place, old[4])
-                    found = [pa.array(v, t) for v, (_, t) in zip((bits, np.diff(bounds), items, longest, place), more)]
-                    yield pa.RecordBatch.from_arrays([*part.columns[:columns], *found], [*names, *(name for name, _ in more)])
+                        most, at = np.array(old[3], np.int64), np.array(old[4], np.int64)
+                        better = (longest > most) | (longest == most) & (place < at)
+                        longest, place = np.where(better, longest, most), np.where(better, place, at)
+                    found = [bits, np.diff(bounds), items, longest, place]
+                    if last:
+                        yield finish(pa.RecordBatch.from_arrays(part.columns[:columns], docs_names), found)
+                    else:
+                        yield pa.RecordBatch.from_arrays([*part.columns[:columns], *(pa.array(v, t) for v, (_, t, _) in zip(found, _FOUND))], between.names)
 
         return run
 
-    out, first = docs, True
-    for block in blocks(benchmark, width):
-        out, first = out.mapInArrow(step(block, first), schema), False
-    return out.mapInArrow(step(Block.of([], [], width), True), schema) if first else out
+    docs_names, out, held = docs.columns, docs, None
+    for number, block in enumerate(blocks(benchmark, width, below)):
+        if held is not None:
+            out = out.mapInArrow(step(held, number == 1, False), between)
+        held, many = block, number
+    return out.mapInArrow(step(held, many == 0, True), schema)
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
     """For every row of docs: doc_id, n_words, n_hit, the items found in it, its longest verbatim match in
     words and the word at which that begins (-1: none)."""
-    found = _matched(docs.select("doc_id", "text"), benchmark, width, True)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            hits = pa.array([int(np.bitwise_count(np.frombuffer(x, np.uint8)).sum()) for x in b.column("__hit").to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("__n"), hits, b.column("__items"), b.column("__longest"), b.column("__place")], ["doc_id", "n_words", "n_hit", "items", "longest", "place"])
+    def finish(part: pa.RecordBatch, found: list) -> pa.RecordBatch:
+        bits, n, items, longest, place = found
+        hits = [int(np.bitwise_count(np.frombuffer(x, np.uint8)).sum()) for x in bits]
+        own = [pa.array(n, pa.int64()), pa.array(hits, pa.int64()), pa.array(items, pa.list_(pa.string())), pa.array(longest, pa.int64()), pa.array(place, pa.int64())]
+        return pa.RecordBatch.from_arrays([part.column(0), *own], ["doc_id", "n_words", "n_hit", "items", "longest", "place"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return found.drop("text").mapInArrow(run, f"doc_id {kind}, n_words long, n_hit long, items array<string>, longest long, place long")
+    return _matched(docs.select("doc_id", "text"), benchmark, width, finish, f"doc_id {kind}, n_words long, n_hit long, items array<string>, longest long, place long", True)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
     """The rows of docs, all columns, in which no window of any item occurs."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keep = pa.array([not any(x) for x in b.column(b.num_columns - 5).to_pylist()], pa.bool_())
-            yield pa.RecordBatch.from_arrays([c.filter(keep) for c in b.columns[: b.num_columns - 5]], b.schema.names[: b.num_columns - 5])
-
-    return _matched(docs, benchmark, width).mapInArrow(run, docs.schema)
+    finish = lambda part, found: part.filter(pa.array([not any(x) for x in found[0]], pa.bool_()))
+    return _matched(docs, benchmark, width, finish, docs.schema, False)
 
 
 def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -306,21 +324,27 @@ def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE = r"""
-WITH low AS (
+WITH low AS MATERIALIZED (
   SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
-items AS (
+items AS MATERIALIZED (
   SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
-windows AS (
+windows AS MATERIALIZED (
   SELECT DISTINCT item_id, least(10, len(w)) AS k, array_to_string(w[i : i + least(10, len(w)) - 1], ' ') AS s
   FROM items, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS t(i) WHERE len(w) > 0),
 sizes AS (SELECT DISTINCT k FROM windows),
 runs AS (
   SELECT r, i, k, array_to_string(w[i : i + k - 1], ' ') AS s
   FROM low, sizes, unnest(range(1, len(w) - k + 2)) AS t(i) WHERE len(w) >= k),
-found AS (SELECT runs.r, runs.i, runs.k, windows.item_id FROM runs JOIN windows USING (k, s)),
+found AS MATERIALIZED (SELECT runs.r, runs.i, runs.k, windows.item_id FROM runs JOIN windows USING (k, s)),
 hit AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + k)) AS p FROM (SELECT DISTINCT r, i, k FROM found)) GROUP BY r),
-named AS (SELECT r, count(*) AS n, string_agg(x, ',' ORDER BY x) AS ids FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS x FROM found) GROUP BY r)
+named AS (SELECT r, count(x) AS n, string_agg(x, ',' ORDER BY x) AS ids FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS x FROM found) GROUP BY r),
+here AS (SELECT r, unnest(w) AS x, generate_subscripts(w, 1) - 1 AS i FROM low),
+there AS (SELECT b, unnest(w) AS x, generate_subscripts(w, 1) AS j FROM (SELECT row_number() OVER () AS b, w FROM items)),
+same AS (SELECT r, b, i - j AS d, i, i - row_number() OVER (PARTITION BY r, b, i - j ORDER BY i) AS run FROM here JOIN there USING (x)),
+longest AS (SELECT r, n AS longest, place FROM (SELECT r, count(*) AS n, min(i) AS place FROM same GROUP BY r, b, d, run)
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY n DESC, place) = 1)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(hit.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(named.n, 0) AS BIGINT) AS n_items,
-  sha256(coalesce(ids, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
-FROM low LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated,
+  CAST(coalesce(longest, 0) AS BIGINT) AS longest, CAST(coalesce(place, -1) AS BIGINT) AS place
+FROM low LEFT JOIN hit USING (r) LEFT JOIN named USING (r) LEFT JOIN longest USING (r)
 """
