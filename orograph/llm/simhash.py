@@ -2,7 +2,7 @@
 
 Fingerprints that differ in 2 bits or fewer agree on two of four 16-bit blocks, so each distinct
 fingerprint stands in six buckets of two blocks. A bucket's members are compared with each other and only
-a spanning set of its links goes on. A bucket of more than BUCKET members is not compared pair by pair: its
+a spanning set of its links goes on. Buckets are counted first; one of more than BUCKET members is not brought together: its
 members are looked up exactly through the values one bit away. Fingerprints that differ in at most 2
 bits share such a value, at most 65 fingerprints stand at one, and all of those are linked. Documents with
 equal fingerprints are one node throughout, so copies cost one row.
@@ -21,12 +21,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, components, stored, table
+from .common import arrow_map, components, stored, table, unused
 
 SHINGLE = 3
 SEED = 42
 DISTANCE = 2
 BUCKET = 256
+BROADCAST_ROWS = 200_000
+"""Rows of two numbers that are broadcast at most."""
 _PAIRS = [(0, 1), (0, 2), (0, 3), (1, 2), (1, 3), (2, 3)]
 
 
@@ -93,29 +95,23 @@ def _star(members: np.ndarray, distance: int) -> list[tuple[int, int]]:
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over rows sorted by bucket: links (a, b), or (fp, null) for each member of a large bucket."""
+    """Links (a, b) of rows (pair, key, fp) sorted by bucket; a bucket has BUCKET members at most."""
     held: list[int] = []
-    at, large = None, False
+    at = None
 
-    def out(rows: list[tuple[int, int | None]]) -> pa.RecordBatch:
+    def out(rows: list[tuple[int, int]]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64())], ["a", "b"])
 
     for batch in batches:
-        rows: list[tuple[int, int | None]] = []
+        rows: list[tuple[int, int]] = []
         for pair, key, fp in zip(*(c.to_pylist() for c in batch.columns)):
             if (pair, key) != at:
-                if len(held) > 1 and not large:
+                if len(held) > 1:
                     rows += _star(np.array(held, np.int64), DISTANCE)
-                held, at, large = [], (pair, key), False
-            if large:
-                rows.append((fp, None))
-                continue
+                held, at = [], (pair, key)
             held.append(fp)
-            if len(held) > BUCKET:
-                rows += [(x, None) for x in held]
-                held, large = [], True
         yield out(rows)
-    if len(held) > 1 and not large:
+    if len(held) > 1:
         yield out(_star(np.array(held, np.int64), DISTANCE))
 
 
@@ -124,13 +120,21 @@ def _one_bit_away(fp: Column) -> Column:
 
 
 def links(distinct: DataFrame) -> DataFrame:
-    """Links (a, b) between distinct fingerprints (fp): they join what all links of DISTANCE join."""
+    """Links (a, b) between distinct fingerprints (fp): they join what all links of DISTANCE join.
+
+    Buckets are counted first; members of those over BUCKET never meet in a task."""
     rows = distinct.select(F.explode(_buckets(F.col("fp"))).alias("x"), "fp").select("x.pair", "x.key", "fp")
-    found = stored(rows.repartition("pair", "key").sortWithinPartitions("pair", "key").mapInArrow(_verify, "a long, b long"), "found")
-    hot = found.where("b is null").select(F.col("a").alias("fp")).distinct()
+    large = stored(rows.groupBy("pair", "key").agg(F.count("*").alias("n")).where(F.col("n") > BUCKET).select("pair", "key"), "large")
+    many = large.limit(BROADCAST_ROWS + 1).count()
+    if not many:
+        return stored(rows.repartition("pair", "key").sortWithinPartitions("pair", "key").mapInArrow(_verify, "a long, b long"), "found")
+    large = F.broadcast(large) if many <= BROADCAST_ROWS else large
+    small = rows.join(large, ["pair", "key"], "left_anti")
+    found = stored(small.repartition("pair", "key").sortWithinPartitions("pair", "key").mapInArrow(_verify, "a long, b long"), "found")
+    hot = rows.join(large, ["pair", "key"], "left_semi").select("fp").distinct()
     away = hot.select(F.explode(_one_bit_away(F.col("fp"))).alias("v"), "fp").groupBy("v").agg(F.collect_list("fp").alias("fps"))  # 65 at most
     more = away.where(F.size("fps") > 1).select(F.explode("fps").alias("a"), F.array_min("fps").alias("b")).where("a <> b")
-    return found.where("b is not null").union(more)
+    return found.union(more)
 
 
 def _grouped(fps: DataFrame) -> DataFrame:
@@ -151,13 +155,29 @@ def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """docs, all columns, with one row of each component: the one of the least doc_id, null ids last.
 
-    Rows that repeat both the id and the text of the row that stays are one row.
+    Rows that repeat both the id and the text of the row that stays are one row. Texts are not exchanged but for
+    those rows, or if more than BROADCAST_ROWS rows go.
     """
-    of = _grouped(stored(fingerprints(docs), "fingerprints"))
-    stay = of.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("__id"), F.col("first.text_hash").alias("__text"))
-    mine = docs.withColumns({"__id": F.col("doc_id"), "__text": F.xxhash64("text")})
-    kept = mine.alias("d").join(stay.alias("s"), F.col("d.__id").eqNullSafe(F.col("s.__id")) & (F.col("d.__text") == F.col("s.__text")), "left_semi")
-    return kept.dropDuplicates(["__id", "__text"]).drop("__id", "__text")
+    fps = stored(fingerprints(docs), "fingerprints")
+    of = _grouped(fps)
+    stay = of.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("doc_id"), F.col("first.text_hash").alias("text_hash"))
+    rows = fps.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n"))
+    same = F.col("r.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("r.text_hash") == F.col("s.text_hash"))
+    marked = rows.alias("r").join(stay.alias("s"), same, "left").select("r.doc_id", "r.text_hash", "n", F.col("s.text_hash").isNotNull().alias("stays"))
+    marked = stored(marked.where("not stays or n > 1"), "marked")
+    own, text = unused("__id", docs), unused("__text", docs)
+    key = lambda df: _few(df.select(F.col("doc_id").alias(f"{own}k"), F.col("text_hash").alias(f"{text}k")))
+    on = F.col(own).eqNullSafe(F.col(f"{own}k")) & (F.col(text) == F.col(f"{text}k"))
+    mine = docs.withColumns({own: F.col("doc_id"), text: F.xxhash64("text")})
+    left = mine.join(key(marked.where("not stays")), on, "left_anti")
+    again = marked.where("stays")
+    if not again.isEmpty():
+        left = left.join(key(again), on, "left_anti").union(left.join(key(again), on, "left_semi").dropDuplicates([own, text]))
+    return left.drop(own, text)
+
+
+def _few(rows: DataFrame) -> DataFrame:
+    return F.broadcast(rows) if rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else rows
 
 
 def op8_simhash_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
