@@ -18,6 +18,7 @@ are passed on by ``replaced`` and never read, whatever their names.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,6 +72,11 @@ def kind_of(value: Column) -> Column:
     )
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use of value, which stands in the plan and is computed once however often use names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _characters(value: Column) -> Column:
     return F.split(value, "(?!^)(?=.)")
 
@@ -97,8 +103,11 @@ def _turned(account: Column) -> Column:
 
 def valid(value: Column) -> Column:
     """Whether what the pattern found is an entity: check digits of cards and accounts have to be right."""
-    kind = kind_of(value)
-    return F.when(kind == "card", _luhn(_plain(value)) % 10 == 0).when(kind == "iban", _mod97(_turned(_plain(value))) == 1).otherwise(True)
+
+    def by_kind(kind: Column) -> Column:
+        return F.when(kind == "card", _luhn(_plain(value)) % 10 == 0).when(kind == "iban", _mod97(_turned(_plain(value))) == 1).otherwise(True)
+
+    return _let(kind_of(value), by_kind)
 
 
 def _digest(kind: Column, value: Column, attempt: Column, key: str) -> Column:
@@ -120,32 +129,34 @@ def _formatted(value: Column, digest: Column, keep: Column, hexadecimal: Column)
     """value with every digit and letter from place keep on replaced by another of its sort."""
 
     def one(c: Column, i: Column) -> Column:
-        n = _number(digest, i)
-        return (
-            F.when(i < keep, c)
-            .when(hexadecimal & c.rlike("[0-9a-f]"), _pick("0123456789abcdef", n))
-            .when(hexadecimal & c.rlike("[A-F]"), _pick("0123456789ABCDEF", n))
-            .when(c.rlike(r"\d"), _pick("0123456789", n))
-            .when(c.rlike(r"\p{IsCyrillic}"), F.when(c.rlike(r"\p{Lu}"), F.upper(_pick(_CYRILLIC, n))).otherwise(_pick(_CYRILLIC, n)))
-            .when(c.rlike(r"\p{IsGreek}"), F.when(c.rlike(r"\p{Lu}"), F.upper(_pick(_GREEK, n))).otherwise(_pick(_GREEK, n)))
-            .when(c.rlike(r"\p{Lu}"), _pick(_LATIN.upper(), n))
-            .when(c.rlike(r"\p{L}"), _pick(_LATIN, n))
-            .otherwise(c)
-        )
+        return F.when(i < keep, c).otherwise(_let(_number(digest, i), lambda n: _alike(c, n, hexadecimal)))
 
     return F.array_join(F.transform(_characters(value), one), "")
 
 
+def _alike(c: Column, n: Column, hexadecimal: Column) -> Column:
+    """The n-th character of c's sort."""
+    of_case = lambda alphabet: F.when(c.rlike(r"\p{Lu}"), _pick(alphabet.upper(), n)).otherwise(_pick(alphabet, n))
+    return (
+        F.when(hexadecimal & c.rlike("[0-9a-f]"), _pick("0123456789abcdef", n))
+        .when(hexadecimal & c.rlike("[A-F]"), _pick("0123456789ABCDEF", n))
+        .when(c.rlike(r"\d"), _pick("0123456789", n))
+        .when(c.rlike(r"\p{IsCyrillic}"), of_case(_CYRILLIC))
+        .when(c.rlike(r"\p{IsGreek}"), of_case(_GREEK))
+        .when(c.rlike(r"\p{L}"), of_case(_LATIN))
+        .otherwise(c)
+    )
+
+
 def _checked_card(made: Column) -> Column:
     """made with its last digit such that the number is right."""
-    last = F.pmod(-_luhn(F.concat(F.substr(_plain(made), F.lit(1), F.length(_plain(made)) - 1), F.lit("0"))), F.lit(10))
-    return F.concat(F.substr(made, F.lit(1), F.length(made) - 1), last.cast("string"))
+    open_ = F.concat(F.substr(made, F.lit(1), F.length(made) - 1), F.lit("0"))
+    return F.concat(F.substr(made, F.lit(1), F.length(made) - 1), F.pmod(-_luhn(_plain(open_)), F.lit(10)).cast("string"))
 
 
 def _checked_iban(made: Column) -> Column:
-    bare = _plain(made)
-    open_ = F.concat(F.substr(bare, F.lit(1), F.lit(2)), F.lit("00"), F.substr(bare, F.lit(5)))
-    check = F.lpad((98 - _mod97(_turned(open_))).cast("string"), 2, "0")
+    open_ = F.concat(F.substr(made, F.lit(1), F.lit(2)), F.lit("00"), F.substr(made, F.lit(5)))
+    check = F.lpad((98 - _let(_plain(open_), lambda bare: _mod97(_turned(bare)))).cast("string"), 2, "0")
     return F.concat(F.substr(made, F.lit(1), F.lit(2)), check, F.substr(made, F.lit(5)))
 
 
@@ -158,50 +169,58 @@ def _script(value: Column) -> Column:
     return F.when(value.rlike(r"\p{IsCyrillic}"), "cyrillic").when(value.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
 
 
-def _name_part(kind: Column, value: Column, attempt: Column, key: str) -> Column:
-    """A family name, or a given name that ends as its gender's do, of four syllables of the value's script."""
-    d = _digest(kind, value, attempt, key)
-    out = None
-    for script, text in _SYLLABLES.items():
-        table_, (family, male, female) = _array(text.split()), _ENDS[script]
-        body = F.concat(*(F.element_at(table_, F.pmod(_number(d, k), F.lit(len(text.split()))) + 1) for k in range(4)))
-        more = F.when(_extra(attempt) > 0, F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), _extra(attempt))), lambda i: F.element_at(table_, F.pmod(_number(d, i + 3), F.lit(len(text.split()))) + 1)), "")).otherwise("")  # noqa: B023
-        made = F.initcap(F.concat(body, more, F.when(kind == "family", family).when(kind == "given_m", male).otherwise(female)))
-        out = made if out is None else F.when(_script(value) == script, made).otherwise(out)
-    return out
+def _name_part(kind: Column, value: Column, extra: Column, d: Column) -> Column:
+    """A family name, or a given name that ends as its gender's do, of four syllables of the value's script, and extra ones."""
+
+    def of(script: str) -> Column:
+        syllables, (family, male, female) = _SYLLABLES[script].split(), _ENDS[script]
+        one = lambda i: F.element_at(_array(syllables), F.pmod(_number(d, i), F.lit(len(syllables))) + 1)
+        body = F.array_join(F.transform(F.sequence(F.lit(0), extra + 3), one), "")
+        return F.initcap(F.concat(body, F.when(kind == "family", family).when(kind == "given_m", male).otherwise(female)))
+
+    return _let(_script(value), lambda script: F.when(script == "cyrillic", of("cyrillic")).when(script == "greek", of("greek")).otherwise(of("latin")))
 
 
 def parts_of(value: Column) -> Column:
     """What of an entity is replaced as a unit, as (kind, value) structs: a name's parts, a mail address's two
     sides, else all of it."""
-    kind = kind_of(value)
     item = lambda k, v: F.struct((F.lit(k) if isinstance(k, str) else k).alias("kind"), v.alias("value"))
-    bare = F.regexp_replace(value, rf"^(?:{_MALE}|{_FEMALE})\.? ", "")
     gender = F.when(value.rlike(rf"^(?:{_FEMALE})\.? "), "given_f").otherwise("given_m")
-    names = F.split(bare, " ")
-    return (
-        F.when(kind == "name", F.when(F.size(names) == 2, F.array(item(gender, names[0]), item("family", names[1]))).otherwise(F.array(item("family", names[0]))))
-        .when(kind == "email", F.array(item("mailbox", F.lower(value)), item("domain", F.lower(F.substring_index(value, "@", -1)))))
-        .otherwise(F.array(item(kind, value)))
-    )
+    family = lambda names: F.array(item("family", F.element_at(names, -1)))
+    name = lambda names: F.when(F.size(names) == 2, F.concat(F.array(item(gender, names[0])), family(names))).otherwise(family(names))
+    bare = F.regexp_replace(value, rf"^(?:{_MALE}|{_FEMALE})\.? ", "")
+
+    def by_kind(kind: Column) -> Column:
+        return (
+            F.when(kind == "name", _let(F.split(bare, " "), name))
+            .when(kind == "email", F.array(item("mailbox", F.lower(value)), item("domain", F.lower(F.substring_index(value, "@", -1)))))
+            .otherwise(F.array(item(kind, value)))
+        )
+
+    return _let(kind_of(value), by_kind)
 
 
 def part_surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
-    d = _digest(kind, value, attempt, key)
+    return _let(_digest(kind, value, attempt, key), lambda d: _from_digest(kind, value, _extra(attempt), d))
+
+
+def _from_digest(kind: Column, value: Column, extra: Column, d: Column) -> Column:
     octet = lambda k, lo, n: (F.pmod(_number(d, k), F.lit(n)) + lo).cast("string")
-    keep = F.when((kind == "phone") & value.startswith("+"), F.length(F.regexp_extract(value, r"^\+\d{1,3}", 0))).when(kind == "iban", 2).when(kind == "card", 1).otherwise(F.when(value.startswith("AKIA"), 4).when(value.rlike("^(?:gh[pousr]_|sk-)"), 3).otherwise(0))
-    text = F.when(kind == "mailbox", F.substring_index(value, "@", 1)).otherwise(value)
-    text = F.concat(text, F.repeat(F.when(text.rlike(r"\d$"), "0").otherwise("a"), _extra(attempt)))
-    formatted = _formatted(text, d, keep, (kind == "secret") & value.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"))
-    made = (
-        F.when(kind.isin("family", "given_m", "given_f"), _name_part(kind, value, attempt, key))
+    country = F.length(F.regexp_extract(value, r"^\+\d{1,3}", 0))
+    prefix = F.when(value.startswith("AKIA"), 4).when(value.rlike("^(?:gh[pousr]_|sk-)"), 3).otherwise(0)
+    keep = F.when((kind == "phone") & value.startswith("+"), country).when(kind == "iban", 2).when(kind == "card", 1).when(kind == "secret", prefix).otherwise(0)
+    text = F.when(kind == "domain", "abcdefgh").when(kind == "mailbox", F.substring_index(value, "@", 1)).otherwise(value)
+    longer = lambda t: F.concat(t, F.repeat(F.when(t.rlike(r"\d$"), "0").otherwise("a"), extra))
+    formatted = _formatted(_let(text, longer), d, keep, (kind == "secret") & value.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"))
+
+    def checked_digits(made: Column) -> Column:
+        return F.when(kind == "card", _checked_card(made)).when(kind == "iban", _checked_iban(made)).when(kind == "domain", F.concat(made, F.lit(".example"))).otherwise(made)
+
+    return (
+        F.when(kind.isin("family", "given_m", "given_f"), _name_part(kind, value, extra, d))
         .when(kind == "ip", F.concat_ws(".", octet(0, 1, 223), octet(1, 0, 256), octet(2, 0, 256), octet(3, 1, 254)))
-        .when(kind == "domain", F.concat(_formatted(F.lit("abcdefgh"), d, F.lit(0), F.lit(False)), F.lit(".example")))
-        .when(kind == "card", _checked_card(formatted))
-        .when(kind == "iban", _checked_iban(formatted))
-        .otherwise(formatted)
+        .otherwise(_let(formatted, checked_digits))
     )
-    return made
 
 
 def entities(text: Column) -> Column:
@@ -251,22 +270,28 @@ def _tried(parts: Column, attempt_of) -> Column:
 
 def _surrogate(value: Column, attempt_of, key: str) -> Column:
     """An entity's surrogate; attempt_of gives a part's attempt."""
-    parts = _tried(parts_of(value), attempt_of)
-    made = F.transform(parts, lambda p: part_surrogate(p["kind"], p["value"], p["attempt"], key))
     address = F.regexp_extract(value, rf"^(?:{_MALE}|{_FEMALE})\.? ", 0)
-    whole = F.when(parts[0]["kind"] == "mailbox", F.array_join(made, "@")).otherwise(F.concat(address, F.array_join(made, " ")))
-    return F.when(valid(value), whole).otherwise(value)
+
+    def joined(parts: Column) -> Column:
+        made = F.transform(parts, lambda p: part_surrogate(p["kind"], p["value"], p["attempt"], key))
+        between = F.when(parts[0]["kind"] == "mailbox", "@").otherwise(" ")
+        return F.concat(address, F.aggregate(F.slice(made, 2, 1), F.element_at(made, 1), lambda a, b: F.concat(a, between, b)))
+
+    return F.when(valid(value), _let(_tried(parts_of(value), attempt_of), joined)).otherwise(value)
 
 
 def _rewritten(text: Column, attempt_of, key: str) -> Column:
-    found = _matched(text)
-    between = F.split(text, ENTITY, -1)
-    made = F.concat(F.transform(found, lambda e: _surrogate(e, attempt_of, key)), F.array(F.lit("")))
-    joined = F.array_join(F.zip_with(between, made, lambda a, b: F.concat(a, b)), "")
-    names = F.array_distinct(F.flatten(F.transform(F.filter(found, lambda e: kind_of(e) == "name"), parts_of)))
-    names = _tried(names, attempt_of)
-    alone = lambda t, p: F.regexp_replace(t, F.concat(F.lit(rf"(?<![{_IN}])(?<!\b(?:{ARTICLES}) )\Q"), p["value"], F.lit(rf"\E(?![{_IN}])")), part_surrogate(p["kind"], p["value"], p["attempt"], key))
-    return F.when(F.size(names) > 0, F.aggregate(F.filter(names, lambda p: F.length(p["value"]) >= 3), joined, alone)).otherwise(joined)
+    def alone(t: Column, p: Column) -> Column:
+        pattern = F.concat(F.lit(rf"(?<![{_IN}])(?<!\b(?:{ARTICLES}) )\Q"), p["value"], F.lit(rf"\E(?![{_IN}])"))
+        return F.regexp_replace(t, pattern, part_surrogate(p["kind"], p["value"], p["attempt"], key))
+
+    def with_entities(found: Column) -> Column:
+        made = F.concat(F.transform(found, lambda e: _surrogate(e, attempt_of, key)), F.array(F.lit("")))
+        joined = F.array_join(F.zip_with(F.split(text, ENTITY, -1), made, lambda a, b: F.concat(a, b)), "")
+        names = F.array_distinct(F.flatten(F.transform(F.filter(found, lambda e: e.rlike(rf"^(?:{_MALE}|{_FEMALE})\.? ")), parts_of)))
+        return F.aggregate(_tried(F.filter(names, lambda p: F.length(p["value"]) >= 3), attempt_of), joined, alone)
+
+    return _let(_matched(text), with_entities)
 
 
 def replaced(docs: DataFrame, key: str, map_rows: int = MAP_ROWS) -> DataFrame:
