@@ -1,49 +1,69 @@
 """Language identification: a bidirectional gated recurrent network over bytes.
 
-The network reads one word at a time (lower-case letters as UTF-8, a boundary byte at either end)
-and labels every byte position with a language distribution; a document's distribution is the mean
-over the positions of all its words. It is trained in numpy by backpropagation through time. Words are
-independent inputs, so a word's positions are computed once in a worker and reused wherever it recurs:
-that changes no result. Bytes that aren't letters are read as the boundary; a run of more than
-SEGMENT bytes is read as several words.
-
-Defined results: null text, empty text or text without a letter is ``und`` with score 0. If no row may be
-learned from, every text is ``und`` with score 0. Repeated rows get equal results; other columns of
+The network reads running text in windows: CORE bytes that it labels and MARGIN bytes of context on either side, so that
+every position of a text is labelled once and sees at least MARGIN bytes around it, words before and after its own
+included. It gives a language distribution for every byte position; a document's distribution is the mean over all its
+positions. It is trained in numpy by backpropagation through time on windows of a bounded sample.
+
+Text is read in lower case as UTF-8; what isn't a letter or beyond ASCII is a boundary byte, and boundaries in a row are one.
+
+Defined results: null text, empty text or text without a letter (Unicode category L) is ``und`` with score 0. If no
+row may be learned from, every text is ``und`` with score 0. Repeated rows get equal results; other columns of
 docs are not read.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, bucket_crc, sized, table
+from .common import bounded_batches, bucket_crc, flat, sized, table
 
-SEGMENT = 24
+CORE = 112
+MARGIN = 16
 BOUNDARY = 32
-CACHE_WORDS = 700_000
 TRAIN_DOCS = 500
-"""Documents of each language, about and at most twice that, that the network learns from."""
-
-_KEEP = bytes(c if c >= 0x80 or 0x61 <= c <= 0x7A else BOUNDARY for c in range(256))
-_LETTER = re.compile(r"[^\W\d_]")
-
-
-def words_of(text: str) -> list[bytes]:
-    """The letter runs of a text in lower case, long ones cut at SEGMENT bytes."""
-    found = text.lower().encode("utf-8", "replace").translate(_KEEP).split()
-    if any(len(w) > SEGMENT for w in found):
-        found = [w[i : i + SEGMENT] for w in found for i in range(0, len(w), SEGMENT)]
-    return found
-
-
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+"""Documents of each language, at most, that the network learns from: those of the least id hash."""
+PIECES = 12
+"""Pieces of each of these documents, at hashed places, that a window is taken of."""
+PIECE = 96
+TRAIN_BYTES = 48
+"""Bytes of a window that the network is trained on."""
+WINDOWS_AT_ONCE = 2048
+
+_KEEP = np.full(256, BOUNDARY, np.uint8)
+_KEEP[0x61:0x7B] = np.arange(0x61, 0x7B)
+_KEEP[0x80:] = np.arange(0x80, 0x100)
+
+
+def byte_streams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """What the network reads of all texts end to end, and the n + 1 bounds."""
+    data, at = flat(pc.utf8_lower(texts.cast(pa.large_string())))
+    data = _KEEP[data]
+    keep = data != BOUNDARY
+    keep[1:] |= data[:-1] != BOUNDARY
+    keep[at[:-1][at[:-1] < len(data)]] = True
+    done = np.concatenate([[0], np.cumsum(keep)])
+    return data[keep], done[at]
+
+
+def windows(data: np.ndarray, bounds: np.ndarray, core: int = CORE, margin: int = MARGIN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows over all texts (one a row; boundaries where a text has no byte), each one's text, and how many of its
+    core's positions are the text's."""
+    size = np.diff(bounds)
+    number = -(-size // core)
+    text = np.repeat(np.arange(len(size)), number)
+    first = (np.arange(len(text)) - np.repeat(np.cumsum(number) - number, number)) * core
+    at = first[:, None] + np.arange(-margin, core + margin)[None, :]
+    inside = (at >= 0) & (at < size[text, None])
+    seq = np.full(at.shape, BOUNDARY, np.uint8)
+    seq[inside] = data[(at + bounds[text, None])[inside]]
+    return seq, text, np.minimum(core, size[text] - first)
 
 
 class ByteNetwork:
@@ -57,49 +77,51 @@ class ByteNetwork:
         self.p |= {f"c{d}": np.zeros(3 * hidden, np.float32) for d in "fb"}
         self.p |= {"o": (rng.normal(size=(2 * hidden, len(languages))) * 0.2).astype(np.float32), "ob": np.zeros(len(languages), np.float32)}
 
-    def _direction(self, d: str, seq: np.ndarray, keep: list | None) -> np.ndarray:
-        """States after each byte, (time, word, hidden); keep gets what backpropagation needs."""
-        n, t = seq.shape
-        h, out, k = np.zeros((n, self.hidden), np.float32), np.empty((t, n, self.hidden), np.float32), self.hidden
-        by_byte, inner = self.p[f"x{d}"] + self.p[f"c{d}"], self.p[f"u{d}"]
+    def _states(self, d: str, seq: np.ndarray) -> Iterator[tuple]:
+        """Position, the state before it, what the gates make of it and the state after it, in direction d."""
+        k, t = self.hidden, seq.shape[1]
+        # One array for each gate; sigmoid(x) is (1 + tanh(x / 2)) / 2, and the halves are in the weights.
+        split = lambda w: [np.ascontiguousarray(w[:, i * k : (i + 1) * k] * w.dtype.type(0.5 if i < 2 else 1)) for i in range(3)]
+        by_byte, inner = split(self.p[f"x{d}"] + self.p[f"c{d}"]), split(self.p[f"u{d}"])
+        h = np.zeros((len(seq), k), by_byte[0].dtype)
         for i in range(t) if d == "f" else range(t - 1, -1, -1):
-            a = by_byte[seq[:, i]]
-            u = h @ inner
-            zr = _sigmoid(a[:, : 2 * k] + u[:, : 2 * k])
-            z, r = zr[:, :k], zr[:, k:]
-            new = np.tanh(a[:, 2 * k :] + r * u[:, 2 * k :])
-            if keep is not None:
-                keep.append((i, h, z, r, new, u[:, 2 * k :]))
-            h = h + z * (new - h)
-            out[i] = h
-        return out
+            byte = seq[:, i]
+            z, r = ((np.tanh(by_byte[g][byte] + h @ inner[g]) + 1) * h.dtype.type(0.5) for g in (0, 1))
+            uc = h @ inner[2]
+            new = np.tanh(by_byte[2][byte] + r * uc)
+            after = h + z * (new - h)
+            yield i, h, z, r, new, uc, after
+            h = after
 
     def positions(self, seq: np.ndarray, keep: dict | None = None) -> np.ndarray:
-        """Language probabilities of every position, (time, word, language)."""
-        sides = [self._direction(d, seq, None if keep is None else keep.setdefault(d, [])) for d in "fb"]
-        both = np.concatenate(sides, axis=2)
-        s = both @ self.p["o"] + self.p["ob"]
-        e = np.exp(s - s.max(axis=2, keepdims=True))
-        if keep is not None:
-            keep["both"] = both
-        return e / e.sum(axis=2, keepdims=True)
+        """Language probabilities of every position, (time, window, language). keep gets what backpropagation needs."""
+        s = np.zeros((seq.shape[1], len(seq), len(self.languages)), self.p["o"].dtype)
+        for d, o in (("f", self.p["o"][: self.hidden]), ("b", self.p["o"][self.hidden :])):
+            for step in self._states(d, seq):
+                s[step[0]] += step[-1] @ o
+                if keep is not None:
+                    keep.setdefault(d, []).append(step)
+        s += self.p["ob"]
+        s -= s.max(axis=2, keepdims=True)
+        np.exp(s, out=s)
+        s /= s.sum(axis=2, keepdims=True)
+        return s
 
     def gradients(self, seq: np.ndarray, label: np.ndarray) -> dict[str, np.ndarray]:
+        """Of the mean negative log-probability of the label over all positions."""
         keep: dict = {}
-        prob = self.positions(seq, keep)
-        (n, t), k = seq.shape, self.hidden
-        d_s = prob
+        d_s = self.positions(seq, keep)
+        n, t = seq.shape
         d_s[:, np.arange(n), label] -= 1
         d_s /= n * t
         g = {name: np.zeros_like(v) for name, v in self.p.items()}
-        g["o"] = np.einsum("tnh,tnl->hl", keep["both"], d_s)
         g["ob"] = d_s.sum((0, 1))
-        d_both = d_s @ self.p["o"].T
-        for d, part in (("f", d_both[:, :, :k]), ("b", d_both[:, :, k:])):
-            back = np.zeros((n, k), np.float32)
-            u_t = self.p[f"u{d}"].T
-            for i, h, z, r, new, uc in reversed(keep[d]):
-                d_h = part[i] + back
+        for d, half in (("f", slice(0, self.hidden)), ("b", slice(self.hidden, None))):
+            back = np.zeros((n, self.hidden), self.p["o"].dtype)
+            u_t, o_t = self.p[f"u{d}"].T, self.p["o"][half].T
+            for i, h, z, r, new, uc, after in reversed(keep[d]):
+                g["o"][half] += after.T @ d_s[i]
+                d_h = d_s[i] @ o_t + back
                 d_new = d_h * z * (1 - new * new)
                 d_z = d_h * (new - h) * z * (1 - z)
                 d_r = d_new * uc * r * (1 - r)
@@ -111,94 +133,74 @@ class ByteNetwork:
                 back = d_h * (1 - z) + d_u @ u_t
         return g
 
-    def train(self, words: list[bytes], labels: np.ndarray, steps: int = 700, batch: int = 256, rate: float = 0.01, seed: int = 11) -> None:
-        """Adam over batches of words of one length, lengths drawn by their share."""
+    def train(self, seq: np.ndarray, labels: np.ndarray, steps: int = 500, batch: int = 160, rate: float = 0.02, seed: int = 11) -> None:
+        """Adam over batches of windows; every language has the same share of a batch's windows."""
         rng = np.random.default_rng(seed)
-        by_length = {}
-        lengths = np.array([len(w) for w in words])
-        for n in np.unique(lengths):
-            at = np.flatnonzero(lengths == n)
-            by_length[n] = _padded([words[i] for i in at], int(n)), labels[at]
-        names, share = list(by_length), np.array([len(v[1]) for v in by_length.values()], float)
-        share /= share.sum()
+        by_language = [np.flatnonzero(labels == k) for k in range(len(self.languages))]
+        by_language = [at for at in by_language if len(at)]
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         v2 = {k: np.zeros_like(v) for k, v in self.p.items()}
         for step in range(1, steps + 1):
-            seq, label = by_length[names[rng.choice(len(names), p=share)]]
-            at = rng.integers(0, len(label), min(batch, 4 * len(label)))
-            g = self.gradients(seq[at], label[at])
+            of = rng.integers(0, len(by_language), batch)
+            at = np.array([by_language[k][rng.integers(0, len(by_language[k]))] for k in of.tolist()])
+            g = self.gradients(seq[at], labels[at])
             now = rate * (1 - 0.95 * step / steps)
             for k in self.p:
                 m[k] = 0.9 * m[k] + 0.1 * g[k]
                 v2[k] = 0.99 * v2[k] + 0.01 * g[k] ** 2
                 self.p[k] -= (now * (m[k] / (1 - 0.9**step)) / (np.sqrt(v2[k] / (1 - 0.99**step)) + 1e-7)).astype(np.float32)
 
-    def pooled(self, words: list[bytes]) -> np.ndarray:
-        """For each word the sums over its positions of the language probabilities, then their number."""
-        out = np.empty((len(words), len(self.languages) + 1), np.float32)
-        by_length: dict[int, list[int]] = {}
-        for i, w in enumerate(words):
-            by_length.setdefault(len(w), []).append(i)
-        for n, at in by_length.items():
-            for lo in range(0, len(at), 2048):
-                part = at[lo : lo + 2048]
-                out[part, :-1] = self.positions(_padded([words[i] for i in part], n)).sum(0)
-                out[part, -1] = n + 2
-        return out
-
-
-def _padded(words: list[bytes], n: int) -> np.ndarray:
-    seq = np.full((len(words), n + 2), BOUNDARY, np.uint8)
-    seq[:, 1:-1] = np.frombuffer(b"".join(words), np.uint8).reshape(len(words), n)
-    return seq
-
-
-class _Known(dict):
-    """Word to row number; a word that isn't there is noted and gets the next row."""
-
-    def __init__(self) -> None:
-        super().__init__()
-        self.fresh: list[bytes] = []
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = at = len(self)
-        self.fresh.append(word)
-        return at
+    def pooled(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """For each text the mean over its positions of the language probabilities; 0 for a text without positions."""
+        total = np.zeros((len(bounds) - 1, len(self.languages)))
+        seq, text, own = windows(data, bounds)
+        for lo in range(0, len(seq), WINDOWS_AT_ONCE):
+            at = slice(lo, lo + WINDOWS_AT_ONCE)
+            prob = self.positions(seq[at])[MARGIN : MARGIN + CORE]
+            prob[np.arange(CORE)[:, None] >= own[None, at]] = 0
+            np.add.at(total, text[at], prob.sum(0, dtype=np.float64))
+        return total / np.maximum(1, np.diff(bounds))[:, None]
 
 
-def sample_words(docs: DataFrame, train_docs: int = TRAIN_DOCS, words_each: int = 120) -> tuple[list[bytes], np.ndarray, list[str]]:
-    """Words of a bounded number of documents of each language, with the language's number.
+def sample_windows(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Windows of a bounded number of documents of each language, with the language's number.
 
-    Languages that have fewer documents are used whole; of others those of the least id hash.
+    Languages that have fewer documents are used whole. A document gives PIECES pieces of PIECE characters, at places
+    that a hash of its id tells, so what reaches the driver is bounded for texts of any length. The driver holds a number for each language.
     """
-    usable = docs.select("doc_id", "lang", "text").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (bucket_crc(F.col("doc_id"), 4) != 2))
+    usable = docs.select("doc_id", "lang", "text").where(F.col("lang").isNotNull() & (F.length("text") > 0) & (bucket_crc(F.col("doc_id"), 4) != 2))
     share = {r["lang"]: min(1.0, 1.5 * train_docs / r["n"]) for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not share:
-        return [], np.zeros(0, int), []
+        return np.zeros((0, TRAIN_BYTES), np.uint8), np.zeros(0, int), []
     top = float(1 << 63)
     chosen = F.lit(False)
-    mark = F.xxhash64("doc_id", F.lit(3)).cast("double")
+    mark = F.xxhash64("doc_id", F.lit(3))
     for lang, s in share.items():
-        chosen = chosen | ((F.col("lang") == lang) & (mark < F.lit((2 * s - 1) * top if s < 1 else 2 * top)))
-    rng = np.random.default_rng(5)
+        chosen = chosen | ((F.col("lang") == lang) & (mark.cast("double") < F.lit((2 * s - 1) * top if s < 1 else 2 * top)))
+    place = lambda k: F.pmod(F.xxhash64("doc_id", k), F.length("text")).cast("int") + 1
+    pieces = F.transform(F.sequence(F.lit(1), F.lit(PIECES)), lambda k: F.substring(F.col("text"), place(k), F.lit(PIECE)))
     languages, taken = sorted(share), dict.fromkeys(share, 0)
-    words, labels = [], []
-    for r in usable.where(chosen).select("lang", "text").limit(2 * train_docs * len(languages)).toLocalIterator():
-        found = words_of(r["text"]) if taken[r["lang"]] < 2 * train_docs else []
-        taken[r["lang"]] += 1
-        if len(found) > words_each:
-            found = [found[i] for i in rng.choice(len(found), words_each, replace=False)]
-        words += found
-        labels += [languages.index(r["lang"])] * len(found)
-    return words, np.array(labels, int), languages
-
-
-def fitted(docs: DataFrame, train_docs: int = TRAIN_DOCS, steps: int = 700) -> ByteNetwork | None:
-    words, labels, languages = sample_words(docs, train_docs)
-    if not words:
+    rows = usable.where(chosen).select("lang", pieces.alias("pieces"), mark.alias("mark"), "doc_id", F.xxhash64("text").alias("hash"))
+    found: list[str] = []
+    labels: list[int] = []
+    for r in rows.orderBy("mark", "doc_id", "hash", "lang").limit(2 * train_docs * len(languages)).toLocalIterator():
+        if taken[r["lang"]] < train_docs:
+            taken[r["lang"]] += 1
+            found += r["pieces"]
+            labels += [languages.index(r["lang"])] * len(r["pieces"])
+    data, bounds = byte_streams(pa.array(found, pa.string()))
+    seq, text, _ = windows(data, bounds, TRAIN_BYTES, 0)
+    first = np.unique(text, return_index=True)[1]  # one window a piece: the first
+    first = first[np.diff(bounds)[text[first]] >= 4]
+    return seq[first], np.array(labels, int)[text[first]], languages
+
+
+def fitted(docs: DataFrame, train_docs: int = TRAIN_DOCS, steps: int = 500) -> ByteNetwork | None:
+    seq, labels, languages = sample_windows(docs, train_docs)
+    if not len(seq):
         return None
     net = ByteNetwork(languages)
-    net.train(words, labels, steps)
+    net.train(seq, labels, steps)
     return net
 
 
@@ -206,19 +208,16 @@ def identify(docs: DataFrame, net: ByteNetwork | None) -> DataFrame:
     """doc_id, lang_pred and score of every row of docs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, pooled = _Known(), np.zeros((0, len(net.languages) + 1 if net else 1), np.float32)
         for batch in batches:
             for part in sized(batch, 1):
-                if len(known) > CACHE_WORDS:
-                    known, pooled = _Known(), pooled[:0]
-                bags = [words_of(t) if net and t and _LETTER.search(t) else [] for t in part.column(1).to_pylist()]
-                at = [np.fromiter(map(known.__getitem__, words), np.int64, len(words)) for words in bags]
-                if known.fresh:  # all new words of the slice at once
-                    pooled, known.fresh = np.concatenate([pooled, net.pooled(known.fresh)]), []
-                total = np.array([pooled[i].sum(0, dtype=np.float64) for i in at])
-                best = total[:, :-1].argmax(1) if net else np.zeros(len(at), int)
-                langs = [net.languages[b] if len(i) else "und" for b, i in zip(best, at)]
-                scores = [min(1.0, float(t[b] / t[-1])) if len(i) else 0.0 for t, b, i in zip(total, best, at)]
+                texts = part.column(1)
+                lettered = pc.fill_null(pc.match_substring_regex(texts, r"\p{L}"), False).to_numpy(zero_copy_only=False) & (net is not None)
+                langs, scores = ["und"] * len(part), np.zeros(len(part))
+                if lettered.any():
+                    mean = net.pooled(*byte_streams(texts))
+                    best = mean.argmax(1)
+                    langs = [net.languages[b] if has else "und" for b, has in zip(best.tolist(), lettered.tolist())]
+                    scores = np.where(lettered, np.minimum(1.0, mean[np.arange(len(best)), best]), 0.0)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 
     bounded_batches(docs.sparkSession)

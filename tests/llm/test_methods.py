@@ -304,6 +304,40 @@ def test_language_on_held_out_documents(spark, sf):
     assert (rows.lang == rows.lang_pred).mean() > 0.97
 
 
+def test_language_by_a_plain_network(spark, docs):
+    """Every window through a network written out gate by gate, one byte at a time."""
+    net = language_id.ByteNetwork(["a", "b", "c"], hidden=3)
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+
+    def labelled(window):
+        side = {}
+        for d in "fb":
+            h, states, p = np.zeros(3), [], {n: net.p[n + d].astype(float) for n in "xuc"}
+            for byte in window if d == "f" else window[::-1]:
+                x, u = p["x"][byte] + p["c"], h @ p["u"]
+                z, r = sigmoid(x[:3] + u[:3]), sigmoid(x[3:6] + u[3:6])
+                h = (1 - z) * h + z * np.tanh(x[6:] + r * u[6:])
+                states.append(h)
+            side[d] = states if d == "f" else states[::-1]
+        s = np.exp(np.concatenate([side["f"], side["b"]], axis=1) @ net.p["o"] + net.p["ob"])
+        return s / s.sum(1, keepdims=True)
+
+    def plain(text):
+        read = re.sub(rb"[^a-z\x80-\xff]+", b" ", text.lower().encode())
+        total = np.zeros(3)
+        for lo in range(0, len(read), language_id.CORE):
+            window = [read[i] if 0 <= i < len(read) else 32 for i in range(lo - language_id.MARGIN, lo + language_id.CORE + language_id.MARGIN)]
+            total += labelled(window)[language_id.MARGIN :][: min(language_id.CORE, len(read) - lo)].sum(0)
+        return total / len(read)
+
+    some = docs.where("length(text) < 3000").limit(12).union(spark.createDataFrame([(-1, "½ ² 12 —", None, None, 0), (-2, "½ é", None, None, 0), (-3, None, None, None, 0)], docs.schema))
+    got = {r["doc_id"]: r for r in language_id.identify(some, net).collect()}
+    for r in some.collect():
+        mean = plain(r["text"]) if r["text"] and any(map(str.isalpha, r["text"])) else None
+        mine = got[r["doc_id"]]
+        assert (mine["lang_pred"], mine["score"]) == ("und", 0.0) if mean is None else mine["lang_pred"] == "abc"[mean.argmax()] and abs(mine["score"] - mean.max()) < 1e-4
+
+
 def test_network_gradients_by_differences():
     net = language_id.ByteNetwork(["a", "b", "c"], hidden=3)
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
