@@ -3,8 +3,8 @@
 A uniform shuffle with exact shard sizes: rows are dealt to parts by a keyed hash; how many rows of each part go
 to each shard is drawn exactly (each part's row of the matrix is multivariate hypergeometric given
 what the shards still lack); a part's rows are permuted and cut at those counts, exchanged, and
-permuted again within their shard. The driver holds the matrix, parts times shards numbers, and no rows.
-The number of parts follows the row count, so a part stays small and no task holds a whole shard.
+permuted again within their shard. The driver holds the matrix, parts times shards numbers (a million at most for 16
+shards), and no rows. The number of parts follows the row count, so a part stays small and no task holds a whole shard.
 
 Defined results: a null text has size 1 and the checksum of the empty text. A null doc_id is dealt like any
 other. Repeated rows are dealt one by one. An empty table gives no rows. All columns of a row go along through
@@ -21,7 +21,8 @@ from .common import table
 
 SHARDS = 16
 PART_ROWS = 50_000
-MAX_PARTS = 1 << 12
+MAX_PARTS = 1 << 16
+"""Beyond MAX_PARTS * PART_ROWS rows (3.3 billion) parts grow with the rows; a part is sorted by one task, which spills."""
 SEED = 20_26
 
 
@@ -43,14 +44,22 @@ def communication_matrix(rows: np.ndarray, shards: int, seed: int = SEED) -> np.
 
 
 def _draw(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
-    """Good ones among n drawn of good + bad. numpy takes fewer than 10**9 of either; from a larger urn
-    the draw is the normal one of the same mean and variance, whose error there is far below one in a million."""
+    """Good ones among n drawn of good + bad. numpy takes fewer than 10**9 of either; from a larger urn the draw inverts the
+    law itself, whose ratios from one count to the next are exact numbers."""
+    if not n or not good or not bad:
+        return n if not bad else 0
     if good < 10**9 and bad < 10**9:
-        return int(rng.hypergeometric(good, bad, n)) if n and good else 0
+        return int(rng.hypergeometric(good, bad, n))
     total = good + bad
-    share = good / total
-    spread = (n * share * (1 - share) * (total - n) / (total - 1)) ** 0.5
-    return int(min(good, n, max(0, n - bad, round(rng.normal(n * share, spread)))))
+    low, high = max(0, n - bad), min(n, good)
+    mode = min(high, max(low, (n + 1) * (good + 1) // (total + 2)))
+    # 40 standard deviations on either side: what lies beyond has less weight than the last bit of a draw's 53.
+    reach = 64 + int(40 * (n * (good / total) * (bad / total) * ((total - n) / (total - 1))) ** 0.5)
+    k = np.arange(max(low, mode - reach), min(high, mode + reach) + 1)
+    up = np.log((good - k[:-1]).astype(float)) + np.log((n - k[:-1]).astype(float)) - np.log((k[:-1] + 1).astype(float)) - np.log((bad - n + k[:-1] + 1).astype(float))
+    weight = np.concatenate([[0.0], np.cumsum(up)])
+    weight = np.cumsum(np.exp(weight - weight.max()))
+    return int(k[np.searchsorted(weight, rng.random() * weight[-1], "right")])
 
 
 def sharded(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, part_rows: int = PART_ROWS) -> DataFrame:
