@@ -53,7 +53,8 @@ def word_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class SuffixArray:
-    """Suffixes of a shard's words in order, to a given depth; no suffix goes on over a text's end."""
+    """Suffixes of a shard's words in order, to a given depth; no suffix goes on over a text's end. fresh: which differ
+    from the one before within depth words (a depth that is a power of two: within just that many)."""
 
     def __init__(self, codes: np.ndarray, bounds: np.ndarray, depth: int) -> None:
         n = len(bounds) - 1
@@ -100,6 +101,7 @@ class SuffixArray:
             first = at[new]
             rank[s] = np.repeat(first, np.diff(np.append(np.flatnonzero(new), len(at))))
             known *= 2
+        self.fresh = fresh
         return order
 
     def search(self, suffixes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, window: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

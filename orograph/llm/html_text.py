@@ -1,15 +1,19 @@
 """Main text of web pages: markup roles and a suffix array over each host's pages.
 
 A page is read into blocks, each within the article, within a part that is named as boilerplate, or
-open (neither). The words of a host's pages, those of articles too, are streams whose suffix array is built; it
-groups equal runs of MIN_TOKENS words, and a run's pages are counted. A run on HOST_SHARE of the host's pages
-and on HOST_PAGES at least is host-wide: its words are boilerplate wherever they stand, in articles too. A run
-that two pages share outside articles is boilerplate in open blocks of which it and its like cover half or more; a
-passage that a few articles quote, or that is a lesser part of an open block, stays. The text of a page is what
-is left of its article and its open blocks, in page order.
+open (neither). All words of a host's pages are streams (a page's words within articles, and its others) whose suffix
+array is built; it groups equal runs of MIN_TOKENS words, and a run's pages are counted. Coverage decides first:
+
+* a run on HOST_SHARE of the host's pages and on HOST_PAGES at least is host-wide: its words go wherever they stand, in articles too;
+* a run that two pages share outside articles goes from named blocks, and from open blocks of which it and its like
+  cover half or more; a passage that a few articles quote, or that is a lesser part of an open block, stays.
+
+What the array leaves of named blocks goes by their markup, which is the hint that takes boilerplate of one page alone. The text
+of a page is what is left of its article and its open blocks, in page order; by_array and by_markup say how many words went either way.
 
 A host with more pages or bytes than a shard takes is cut by page into shards of bounded size; counts of pages are
-those of the whole host all the same, so where the cuts fall doesn't change a text.
+those of the whole host all the same, so where the cuts fall doesn't change a text. Equality of runs rests on 64-bit codes: two given
+runs that differ share one with a chance of about 2^-64.
 
 An article or main part inside a named one is an article again, except in comments, asides, lists of related pages and
 what is hidden.
@@ -21,18 +25,17 @@ tag, comment or quotation ends with the page. Columns besides page_id, url and h
 
 from __future__ import annotations
 
-import json
 import re
-import zlib
 from collections.abc import Iterator
 from html import unescape
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, in_runs, run_codes, span_codes, spans, stored, table
+from .common import bounded_batches, in_runs, run_codes, span_codes, spans, stored, table, text_chunks
 from .decontamination import SuffixArray
 
 MIN_TOKENS = 8
@@ -170,21 +173,19 @@ class Runs:
 
     def __init__(self, tokens: np.ndarray, bounds: np.ndarray, owner_of: np.ndarray, least: int = MIN_TOKENS) -> None:
         """owner_of: the owner's number for each stream."""
-        self.tokens, self.bounds, self.least = tokens, bounds, least
+        self.tokens, self.least = tokens, least
         self.starts = self.group = self.owner = np.zeros(0, np.int64)
         self.n_owners = int(owner_of.max()) + 1 if len(owner_of) else 0
+        size = np.diff(bounds)
         if len(tokens) >= least:
             sa = SuffixArray(tokens, bounds, least)
-            n = len(sa.order)
-            same, whole = np.ones(n - 1, bool), np.ones(n, bool)
-            for d in range(least):
-                word = sa.text[np.minimum(sa.order + d, n - 1)]
-                same &= word[1:] == word[:-1]
-                whole &= word > 0
-            group = np.concatenate([[0], np.cumsum(~same)])[whole]
-            self.group = np.unique(group, return_inverse=True)[1].astype(np.int64)
+            left = np.repeat(bounds[1:], size) - np.arange(len(tokens))
+            whole = sa.word_at[sa.order]
+            whole = (whole >= 0) & (left[whole] >= least)
             self.starts = sa.word_at[sa.order[whole]]
-            self.owner = owner_of[np.searchsorted(bounds, self.starts, "right") - 1]
+            group = np.cumsum(sa.fresh)[whole]
+            self.group = np.cumsum(np.diff(group, prepend=group[:1]) > 0)
+            self.owner = np.repeat(owner_of, size)[self.starts]
         self.n_groups = int(self.group[-1]) + 1 if len(self.group) else 0
 
     def owners(self, where: np.ndarray | None = None) -> np.ndarray:
@@ -194,10 +195,13 @@ class Runs:
 
     def covered(self, groups: np.ndarray, where: np.ndarray | None = None) -> np.ndarray:
         """Which tokens lie in a run of the flagged groups."""
-        chosen = groups[self.group] if where is None else groups[self.group] & where
-        begins = np.zeros(len(self.tokens), bool)
-        begins[self.starts[chosen]] = True
-        return in_runs(begins, self.least, len(self.tokens))
+        return _covered(self.starts[groups[self.group] if where is None else groups[self.group] & where], self.least, len(self.tokens))
+
+
+def _covered(starts: np.ndarray, least: int, n: int) -> np.ndarray:
+    begins = np.zeros(n, bool)
+    begins[starts] = True
+    return in_runs(begins, least, n)
 
 
 def _numbered(owners: list[str]) -> np.ndarray:
@@ -215,45 +219,71 @@ def repeated(streams: list[list[str]], owners: list[str], least: int = MIN_TOKEN
     return [covered[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
 
 
-def _codes(texts: list[str]) -> np.ndarray:
-    """Codes of all words of texts whose words are parted by single spaces."""
-    raw = np.frombuffer(" ".join(texts).encode("utf-8", "replace"), np.uint8)
-    return span_codes(raw, *spans(raw != 0x20, np.array([0, len(raw)])))
+def _codes(streams: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of all words of streams whose words are parted by single spaces, and the n + 1 bounds."""
+    codes, sizes = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
+    raw = [s.encode("utf-8", "replace") for s in streams]
+    for lo, hi in text_chunks(np.array([len(r) for r in raw])):
+        at = np.concatenate([[0], np.cumsum([len(r) for r in raw[lo:hi]])])
+        data = np.frombuffer(b"".join(raw[lo:hi]), np.uint8)
+        starts, ends = spans(data != 0x20, at)
+        codes.append(span_codes(data, starts, ends))
+        sizes.append(np.diff(np.searchsorted(starts, at)))
+    return np.concatenate(codes), np.cumsum(np.concatenate(sizes))
 
 
 class Shard:
     """Pages of one host. Each page is two streams of one owner, the words outside articles and those within."""
 
     def __init__(self, pages: list[list[tuple[int, str]]], owners: list[str]) -> None:
-        self.pages = pages
-        streams = [_codes([text for kind, text in page if (kind == ARTICLE) == article]) for page in pages for article in (False, True)]
-        self.bounds = np.concatenate([[0], np.cumsum([len(s) for s in streams])]).astype(np.int64)
-        tokens = np.concatenate(streams) if streams else np.zeros(0, np.uint64)
-        self.runs = Runs(tokens, self.bounds, np.repeat(_numbered(owners), 2))
-        self.outside = (np.searchsorted(self.bounds, self.runs.starts, "right") - 1) % 2 == 0
+        self.pages, self.owner = pages, np.repeat(_numbered(owners), 2)
+        self.tokens, self.bounds = _codes([" ".join(text for kind, text in page if (kind == ARTICLE) == article) for page in pages for article in (False, True)])
+
+    def counted(self) -> None:
+        """Builds the suffix array and counts the pages of each run."""
+        self.runs = Runs(self.tokens, self.bounds, self.owner)
+        stream = np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
+        self.outside = stream[self.runs.starts] % 2 == 0
         self.n_all, self.n_outside = self.runs.owners(), self.runs.owners(self.outside)
 
-    def texts(self, wide: np.ndarray, shared: np.ndarray) -> list[str]:
-        """Main texts, given the groups of runs that are host-wide and those that two pages share outside articles."""
-        wide, shared = self.runs.covered(wide), self.runs.covered(shared, self.outside)
+    def own_texts(self) -> list[tuple[str, int, int]]:
+        """Main texts of a host that is this shard alone."""
+        self.counted()
+        wide = self.runs.covered(self.n_all >= least_pages(self.runs.n_owners))
+        return self.texts(wide, self.runs.covered(self.n_outside > 1, self.outside))
+
+    def coded(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where each run begins, its code (equal in all shards) and its stream, without a suffix array."""
+        size = np.diff(self.bounds)
+        codes = run_codes(self.tokens, MIN_TOKENS)
+        at = np.flatnonzero((np.repeat(self.bounds[1:], size) - np.arange(len(self.tokens)) >= MIN_TOKENS)[: len(codes)])
+        return at, codes[at].view(np.int64), np.repeat(np.arange(len(size)), size)[at]
+
+    def texts(self, wide: np.ndarray, shared: np.ndarray) -> list[tuple[str, int, int]]:
+        """Main texts and how many words went by the array and by markup alone, given which tokens are covered by runs that are
+        host-wide and by those that two pages share outside articles."""
         out = []
         for k, page in enumerate(self.pages):
-            at, left = [int(self.bounds[2 * k]), int(self.bounds[2 * k + 1])], []
+            at, left, by_array, by_markup = [int(self.bounds[2 * k]), int(self.bounds[2 * k + 1])], [], 0, 0
             for kind, text in page:
                 words = text.split(" ")
                 side = int(kind == ARTICLE)
                 a, b = at[side], at[side] + len(words)
                 at[side] = b
-                if kind == NAMED:
-                    continue
                 gone = wide[a:b]
-                if kind == OPEN and 2 * ((both := gone | shared[a:b]).sum()) >= len(words):
+                both = gone if kind == ARTICLE else gone | shared[a:b]
+                if kind == NAMED or 2 * int(both.sum()) >= len(words):
                     gone = both
-                if gone.any():
+                n = int(gone.sum())
+                by_array += n
+                if kind == NAMED:
+                    by_markup += len(words) - n
+                    continue
+                if n:
                     text = " ".join(w for w, g in zip(words, gone) if not g)
                 if text:
                     left.append(text)
-            out.append("\n".join(left))
+            out.append(("\n".join(left), by_array, by_markup))
         return out
 
 
@@ -276,19 +306,22 @@ def _hosts(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    pack = zstandard.ZstdCompressor(level=1).compress
     for batch in batches:
-        packed = [zlib.compress(json.dumps(blocks(h), ensure_ascii=False).encode("utf-8", "replace"), 1) for h in batch.column(4).to_pylist()]
+        packed = [pack("\n".join(f"{kind}{text}" for kind, text in blocks(h)).encode("utf-8", "replace")) for h in batch.column(4).to_pylist()]
         yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(packed, pa.binary())], ["__host", "__part", "page_id", "url", "blocks"])
 
 
 def _shard(rows: pa.Table) -> Shard:
-    pages = [json.loads(zlib.decompress(b)) for b in rows.column("blocks").to_pylist()]
+    unpack = zstandard.ZstdDecompressor().decompress
+    pages = [[(int(line[0]), line[1:]) for line in unpack(b).decode().split("\n") if line] for b in rows.column("blocks").to_pylist()]
     ids, urls = rows.column("page_id").to_pylist(), rows.column("url").to_pylist()
     return Shard(pages, [f"#{i}" if i is not None else f"@{u}" for i, u in zip(ids, urls)])
 
 
-def _out(rows: pa.Table, texts: list[str]) -> pa.Table:
-    return pa.table([rows.column("page_id"), rows.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
+def _out(rows: pa.Table, texts: list[tuple[str, int, int]]) -> pa.Table:
+    own = [pa.array([t[k] for t in texts], kind) for k, kind in enumerate((pa.string(), pa.int64(), pa.int64()))]
+    return pa.table([rows.column("page_id"), rows.column("url"), *own], ["page_id", "url", "text", "by_array", "by_markup"])
 
 
 def _by_host(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,8 +330,7 @@ def _by_host(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def out() -> Iterator[pa.RecordBatch]:
         rows = pa.Table.from_batches(held)
-        shard = _shard(rows)
-        yield from _out(rows, shard.texts(shard.n_all >= least_pages(shard.runs.n_owners), shard.n_outside > 1)).combine_chunks().to_batches()
+        yield from _out(rows, _shard(rows).own_texts()).combine_chunks().to_batches()
 
     last = None
     for batch in batches:
@@ -315,30 +347,25 @@ def _by_host(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from out()
 
 
-# Hosts of several shards. A run on a share of all pages of a host is on that share of the pages of a shard at
-# least: those runs of the shards are the only candidates. Each shard then counts the candidates of its host, and the
-# sums tell which are host-wide. Runs outside articles are all brought together by their codes, once a shard.
-
-
-def _codes_of(runs: Runs) -> np.ndarray:
-    """The code of each group, equal in all shards."""
-    out = np.zeros(runs.n_groups, np.int64)
-    if runs.n_groups:
-        first = runs.starts[np.unique(runs.group, return_index=True)[1]]
-        out[:] = run_codes(runs.tokens, runs.least)[first].view(np.int64)
-    return out
+# Hosts of several shards. Each shard's suffix array gives its runs by their codes. A run on a share of all pages of a host is
+# on that share of the pages of a shard at least: those runs of the shards are the only candidates for host-wide ones. Each
+# shard then counts the candidates of its host, and the sums tell which are host-wide. Runs outside articles are brought
+# together by their codes, once a shard. The codes that are host-wide or shared mark the words of each shard.
 
 
 def _found(rows: pa.Table) -> pa.Table:
     """A shard's candidates and runs outside articles by code; the row of a null code has the shard's pages."""
     shard = _shard(rows)
-    likely = shard.n_all >= HOST_SHARE * shard.runs.n_owners
+    shard.counted()
+    runs = shard.runs
+    likely = shard.n_all >= HOST_SHARE * runs.n_owners
     at = np.flatnonzero(likely | (shard.n_outside > 0))
     n = len(at) + 1
-    codes = pa.array([*_codes_of(shard.runs)[at].tolist(), None], pa.int64())
+    first = np.unique(runs.group, return_index=True)[1][at] if len(at) else at
+    codes = run_codes(runs.tokens, MIN_TOKENS)[runs.starts[first]].view(np.int64) if len(at) else np.zeros(0, np.int64)
     key = [pa.array([rows.column(k)[0].as_py()] * n, t) for k, t in (("__host", pa.string()), ("__part", pa.int32()))]
-    counts = pa.array([*np.minimum(shard.n_outside[at], 2).tolist(), shard.runs.n_owners], pa.int64())
-    return pa.table([*key, codes, pa.array([*likely[at].tolist(), False], pa.bool_()), counts], ["__host", "__part", "code", "likely", "n"])
+    counts = pa.array([*np.minimum(shard.n_outside[at], 2).tolist(), runs.n_owners], pa.int64())
+    return pa.table([*key, pa.array([*codes.tolist(), None], pa.int64()), pa.array([*likely[at].tolist(), False], pa.bool_()), counts], ["__host", "__part", "code", "likely", "n"])
 
 
 def _counted(rows: pa.Table, candidates: pa.Table) -> pa.Table:
@@ -346,44 +373,56 @@ def _counted(rows: pa.Table, candidates: pa.Table) -> pa.Table:
     if not len(rows) or not len(candidates):
         return pa.table([pa.array([], pa.string()), pa.array([], pa.int64()), pa.array([], pa.int64())], ["__host", "code", "n"])
     shard = _shard(rows)
-    codes = _codes_of(shard.runs)
-    at = np.flatnonzero(np.isin(codes, candidates.column("code").to_numpy()))
-    return pa.table([pa.array([rows.column("__host")[0].as_py()] * len(at), pa.string()), pa.array(codes[at]), pa.array(shard.n_all[at].astype(np.int64))], ["__host", "code", "n"])
+    _, codes, stream = shard.coded()
+    asked = np.unique(candidates.column("code").to_numpy())
+    hit = np.isin(codes, asked)
+    which = np.searchsorted(asked, codes[hit])
+    pages = np.unique(which * len(shard.owner) + shard.owner[stream[hit]]) // max(1, len(shard.owner))
+    n = np.bincount(pages, minlength=len(asked))
+    at = np.flatnonzero(n)
+    return pa.table([pa.array([rows.column("__host")[0].as_py()] * len(at), pa.string()), pa.array(asked[at]), pa.array(n[at].astype(np.int64))], ["__host", "code", "n"])
 
 
 def _marked(rows: pa.Table, marks: pa.Table) -> pa.Table:
-    """Main texts of a shard, given the codes of host-wide runs and of those shared with other shards."""
+    """Main texts of a shard, given the codes of runs that are host-wide and of those that two pages share outside articles."""
     if not len(rows):
         return _out(rows, [])
     shard = _shard(rows)
-    codes = _codes_of(shard.runs)
+    at, codes, stream = shard.coded()
     code, wide = marks.column("code").to_numpy(), marks.column("wide").to_numpy(zero_copy_only=False).astype(bool)
-    return _out(rows, shard.texts(np.isin(codes, code[wide]), (shard.n_outside > 1) | np.isin(codes, code[~wide])))
+    n = len(shard.tokens)
+    everywhere = _covered(at[np.isin(codes, code[wide])], MIN_TOKENS, n)
+    return _out(rows, shard.texts(everywhere, _covered(at[np.isin(codes, code[~wide]) & (stream % 2 == 0)], MIN_TOKENS, n)))
 
 
 def _over_shards(parsed: DataFrame, hot: DataFrame, kind: str) -> DataFrame:
-    """page_id, url and text of the pages of hosts of several shards."""
+    """The results for pages of hosts of several shards."""
     shards = parsed.groupBy("__host", "__part")
     found = stored(shards.applyInArrow(_found, "__host string, __part int, code long, likely boolean, n long"), "runs")
     every = F.explode(F.sequence(F.lit(0), F.col("__parts") - 1)).alias("__part")
     to_all = lambda df: df.join(hot, "__host").select("__host", every, "code")
-    candidates = to_all(found.where("likely").select("__host", "code").distinct())
-    counted = shards.cogroup(candidates.groupBy("__host", "__part")).applyInArrow(_counted, "__host string, code long, n long")
+    candidates = stored(found.where("likely").select("__host", "code").distinct(), "candidates")
     pages = found.where("code is null").groupBy("__host").agg(F.sum("n").alias("__pages"))
-    wide = counted.groupBy("__host", "code").agg(F.sum("n").alias("n")).join(pages, "__host").where(F.col("n") >= F.greatest(F.lit(float(HOST_PAGES)), HOST_SHARE * F.col("__pages")))
-    outside = found.where("code is not null and n > 0").groupBy("__host", "code").agg(F.count("*").alias("n"), F.collect_list(F.when(F.col("n") == 1, F.col("__part"))).alias("parts"))  # a number for each shard at most
+    wide = candidates
+    if not candidates.isEmpty():
+        counted = shards.cogroup(to_all(candidates).groupBy("__host", "__part")).applyInArrow(_counted, "__host string, code long, n long")
+        wide = counted.groupBy("__host", "code").agg(F.sum("n").alias("n")).join(pages, "__host").where(F.col("n") >= F.greatest(F.lit(float(HOST_PAGES)), HOST_SHARE * F.col("__pages")))
+    outside = found.where("code is not null and n > 0").groupBy("__host", "code").agg(F.sum("n").alias("n"), F.collect_list("__part").alias("parts"))  # a number for each shard at most
     shared = outside.where("n > 1").select("__host", F.explode("parts").alias("__part"), "code")
     marks = to_all(wide.select("__host", "code")).withColumn("wide", F.lit(True)).unionByName(shared.withColumn("wide", F.lit(False)))
-    return shards.cogroup(stored(marks, "marks").groupBy("__host", "__part")).applyInArrow(_marked, f"page_id {kind}, url string, text string")
+    return shards.cogroup(stored(marks, "marks").groupBy("__host", "__part")).applyInArrow(_marked, _RESULT.format(kind))
+
+
+_RESULT = "page_id {}, url string, text string, by_array long, by_markup long"
 
 
 def main_text(pages: DataFrame) -> DataFrame:
-    """page_id, url and text of every row of pages."""
+    """page_id, url and text of every row of pages, and how many words went by the suffix array and by markup alone."""
     bounded_batches(pages.sparkSession)
     kind = pages.schema["page_id"].dataType.simpleString()
     own, hot = _hosts(pages)
     schema = f"__host string, __part int, page_id {kind}, url string, blocks binary"
-    whole = own.where("__part < 0").mapInArrow(_parse, schema).repartition("__host").sortWithinPartitions("__host").mapInArrow(_by_host, f"page_id {kind}, url string, text string")
+    whole = own.where("__part < 0").mapInArrow(_parse, schema).repartition("__host").sortWithinPartitions("__host").mapInArrow(_by_host, _RESULT.format(kind))
     if hot.isEmpty():
         return whole
     parsed = stored(own.where("__part >= 0").mapInArrow(_parse, schema), "blocks")
@@ -391,4 +430,5 @@ def main_text(pages: DataFrame) -> DataFrame:
 
 
 def op1_host_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+    found = main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "by_array", "by_markup")
