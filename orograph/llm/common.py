@@ -7,6 +7,7 @@ documents are found and hashed by a few numpy calls, with no Python loop over wo
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -57,15 +58,23 @@ def shared_dir(spark: SparkSession) -> str:
     return _made[app]
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written once as Parquet in the shared folder and reread: later readers neither
-    compute it again nor lose it with an executor."""
+FILE_ROWS = 200_000
+
+
+def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """df written once as Parquet in the shared folder and reread: later readers neither compute it again nor lose it with
+    an executor. rows: for tables of a few numbers a row that come out of an exchange, about how many rows there
+    are at most; they are written as a file for each FILE_ROWS of these instead of one for each partition."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df if rows is None else df.coalesce(files_for(rows))).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def files_for(rows: int) -> int:
+    return max(1, -(-rows // FILE_ROWS))
+
+
 def unused(name: str, *frames: DataFrame) -> str:
     """name, with underscores added until no column of the frames has it."""
     there = {c.lower() for df in frames for c in df.columns}
@@ -128,16 +137,23 @@ def spans(mask: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_CODED = 1 << 17
+"""Bytes that are coded at once: what that takes stays in a core's cache."""
+_powers: list[np.ndarray] = []
 
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        for k, base in enumerate((_BASE, _INVERSE)):
-            steps = np.full(max(n, CHUNK_BYTES + 4096), base, np.uint64)
-            steps[0] = 1
-            _powers[k] = np.multiply.accumulate(steps)
-    return _powers[0][:n], _powers[1]
+    """The first n powers of the base and of its inverse, or more; those for longer words than _CODED aren't kept."""
+    if _powers and n <= _CODED:
+        return _powers[0], _powers[1]
+    out = []
+    for base in (_BASE, _INVERSE):
+        steps = np.full(max(n, _CODED), base, np.uint64)
+        steps[0] = 1
+        out.append(np.multiply.accumulate(steps))
+    if n <= _CODED:
+        _powers[:] = out
+    return out[0], out[1]
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -148,13 +164,18 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 def span_codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit code of each span's bytes: equal bytes have equal codes wherever they stand."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    up, down = _power(len(data))
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up, out=total[1:])
-    return mixed((total[ends] - total[starts]) * down[starts])
+    """64-bit code of each span's bytes, spans in order: equal bytes have equal codes wherever they stand."""
+    out = np.empty(len(starts), np.uint64)
+    lo = 0
+    while lo < len(starts):
+        hi = max(lo + 1, int(np.searchsorted(ends, starts[lo] + _CODED, "right")))
+        a, b = int(starts[lo]), int(ends[hi - 1])
+        up, down = _power(b - a)
+        total = np.zeros(b - a + 1, np.uint64)
+        np.cumsum((data[a:b].astype(np.uint64) + np.uint64(1)) * up[: b - a], out=total[1:])
+        out[lo:hi] = (total[ends[lo:hi] - a] - total[starts[lo:hi] - a]) * down[starts[lo:hi] - a]
+        lo = hi
+    return mixed(out)
 
 
 def run_codes(codes: np.ndarray, width: int) -> np.ndarray:
@@ -190,6 +211,20 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
 
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, for mapInArrow; when a task ends its worker gives free memory back, since workers outlive tasks and stages."""
+
+    def lean_run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+                trim(0)
+
+    return lean_run
+
+
 def arrow_map(df: DataFrame, each: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, text: int) -> DataFrame:
     """each over slices of bounded text, by mapInArrow; text is the text column's place."""
 
@@ -199,18 +234,19 @@ def arrow_map(df: DataFrame, each: Callable[[pa.RecordBatch], pa.RecordBatch], s
                 yield each(part)
 
     bounded_batches(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lean(run), schema)
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """(node, root): the smallest node reachable from each node of edges (a, b).
+def components(edges: DataFrame, rounds: int = 200) -> DataFrame:
+    """(node, root): the smallest node reachable from each node of edges (a, b), which are counted first.
 
     Alternating large-star and small-star steps: every node links its larger neighbours,
-    then its smaller ones, to its least neighbour, until the links form stars. Links are
-    always spread over hash partitions by node; each round's links are written in
+    then its smaller ones, to its least neighbour, until the links form stars; rounds grow as the square of the
+    logarithm of the longest path at most. Links are always spread over hash partitions by node; each round's links are written in
     the shared folder. A node with no edge is not in the result.
     """
-    now = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "links")
+    n = edges.count()
+    now = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "links", n)
     seen = None
     for _ in range(rounds):
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -218,11 +254,11 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x")).select("x.a", "x.b").where("a <> b").distinct()
-        now = stored(small, "links")
+        now = stored(small, "links", n)
         state = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if state == seen:
             break
-        seen = state
+        seen, n = state, state["n"]
     else:
         raise RuntimeError("links did not settle")
     return now.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select("b", "b").distinct())

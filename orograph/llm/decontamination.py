@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructType
 
-from .common import LOWER, bounded_batches, flat, mixed, sized, span_codes, spans, table, unused
+from .common import LOWER, bounded_batches, flat, lean, mixed, sized, span_codes, spans, table, unused
 
 WINDOW = 10
 BLOCK_WORDS = 500_000
@@ -294,9 +294,9 @@ def _matched(docs: DataFrame, benchmark: DataFrame, width: int, finish: Finish,
     docs_names, out, held = docs.columns, docs, None
     for number, block in enumerate(blocks(benchmark, width, below)):
         if held is not None:
-            out = out.mapInArrow(step(held, number == 1, False), between)
+            out = out.mapInArrow(lean(step(held, number == 1, False)), between)
         held, many = block, number
-    return out.mapInArrow(step(held, many == 0, True), schema)
+    return out.mapInArrow(lean(step(held, many == 0, True)), schema)
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFrame:

@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, in_runs, run_codes, span_codes, spans, stored, table, text_chunks
+from .common import bounded_batches, in_runs, lean, run_codes, span_codes, spans, stored, table, text_chunks
 from .decontamination import SuffixArray
 
 MIN_TOKENS = 8
@@ -422,10 +422,10 @@ def main_text(pages: DataFrame) -> DataFrame:
     kind = pages.schema["page_id"].dataType.simpleString()
     own, hot = _hosts(pages)
     schema = f"__host string, __part int, page_id {kind}, url string, blocks binary"
-    whole = own.where("__part < 0").mapInArrow(_parse, schema).repartition("__host").sortWithinPartitions("__host").mapInArrow(_by_host, _RESULT.format(kind))
+    whole = own.where("__part < 0").mapInArrow(lean(_parse), schema).repartition("__host").sortWithinPartitions("__host").mapInArrow(lean(_by_host), _RESULT.format(kind))
     if hot.isEmpty():
         return whole
-    parsed = stored(own.where("__part >= 0").mapInArrow(_parse, schema), "blocks")
+    parsed = stored(own.where("__part >= 0").mapInArrow(lean(_parse), schema), "blocks")
     return whole.unionByName(_over_shards(parsed, hot, kind))
 
 

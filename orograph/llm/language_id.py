@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, bucket_crc, flat, sized, table
+from .common import bounded_batches, bucket_crc, flat, lean, sized, table
 
 CORE = 112
 MARGIN = 16
@@ -222,7 +222,7 @@ def identify(docs: DataFrame, net: ByteNetwork | None) -> DataFrame:
 
     bounded_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
+    return docs.select("doc_id", "text").mapInArrow(lean(run), f"doc_id {kind}, lang_pred string, score double")
 
 
 def op10_byte_gru(spark: SparkSession, sf_dir: str) -> DataFrame:

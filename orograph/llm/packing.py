@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import BATCH_BYTES, bounded_batches, sized, stored, table
+from .common import BATCH_BYTES, bounded_batches, lean, sized, stored, table
 
 WINDOW = 4096
 UNIT = 16
@@ -191,7 +191,7 @@ def pieces(docs: DataFrame, window: int = WINDOW, path: str | None = None) -> Da
 
     bounded_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, start long, length long, ids binary, doc_tokens long")
+    return docs.select("doc_id", "text").mapInArrow(lean(run), f"doc_id {kind}, start long, length long, ids binary, doc_tokens long")
 
 
 Combination = tuple[tuple[int, int], ...]

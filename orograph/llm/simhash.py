@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, components, stored, table, unused
+from .common import arrow_map, components, files_for, lean, stored, table, unused
 
 SHINGLE = 3
 SEED = 42
@@ -74,6 +74,12 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return arrow_map(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text"), _fingerprints, f"doc_id {kind}, text_hash long, fp long", 2)
 
 
+def _kept(docs: DataFrame) -> tuple[DataFrame, int]:
+    """The fingerprints of docs, stored, and how many there are."""
+    n = docs.count()
+    return stored(fingerprints(docs).repartition(files_for(n)), "fingerprints"), n
+
+
 def _buckets(fp: Column) -> Column:
     block = lambda k: F.shiftrightunsigned(fp, 16 * k).bitwiseAND(F.lit(0xFFFF))
     return F.array(*(F.struct(F.lit(k).alias("pair"), (block(a) * 65536 + block(b)).alias("key")) for k, (a, b) in enumerate(_PAIRS)))
@@ -124,30 +130,32 @@ def links(distinct: DataFrame) -> DataFrame:
 
     Buckets are counted first; members of those over BUCKET never meet in a task."""
     rows = distinct.select(F.explode(_buckets(F.col("fp"))).alias("x"), "fp").select("x.pair", "x.key", "fp")
-    large = stored(rows.groupBy("pair", "key").agg(F.count("*").alias("n")).where(F.col("n") > BUCKET).select("pair", "key"), "large")
+    large = rows.groupBy("pair", "key").agg(F.count("*").alias("n")).where(F.col("n") > BUCKET).select("pair", "key")
     many = large.limit(BROADCAST_ROWS + 1).count()
-    if not many:
-        return stored(rows.repartition("pair", "key").sortWithinPartitions("pair", "key").mapInArrow(_verify, "a long, b long"), "found")
-    large = F.broadcast(large) if many <= BROADCAST_ROWS else large
-    small = rows.join(large, ["pair", "key"], "left_anti")
-    found = stored(small.repartition("pair", "key").sortWithinPartitions("pair", "key").mapInArrow(_verify, "a long, b long"), "found")
-    hot = rows.join(large, ["pair", "key"], "left_semi").select("fp").distinct()
-    away = hot.select(F.explode(_one_bit_away(F.col("fp"))).alias("v"), "fp").groupBy("v").agg(F.collect_list("fp").alias("fps"))  # 65 at most
-    more = away.where(F.size("fps") > 1).select(F.explode("fps").alias("a"), F.array_min("fps").alias("b")).where("a <> b")
-    return found.union(more)
-
-
-def _grouped(fps: DataFrame) -> DataFrame:
+    small = rows
+    if many:
+        large = F.broadcast(large) if many <= BROADCAST_ROWS else large
+        small = rows.join(large, ["pair", "key"], "left_anti")
+    found = small.repartition("pair", "key").sortWithinPartitions("pair", "key").mapInArrow(lean(_verify), "a long, b long")
+    if many:
+        hot = rows.join(large, ["pair", "key"], "left_semi").select("fp").distinct()
+        away = hot.select(F.explode(_one_bit_away(F.col("fp"))).alias("v"), "fp").groupBy("v").agg(F.collect_list("fp").alias("fps"))  # 65 at most
+        found = found.union(away.where(F.size("fps") > 1).select(F.explode("fps").alias("a"), F.array_min("fps").alias("b")).where("a <> b"))
+    return stored(found, "found", len(_PAIRS) * distinct.count())
+
+
+def _grouped(fps: DataFrame, n: int) -> DataFrame:
     """(fp, first, root) of each distinct fingerprint; first is its least row: null ids last."""
     first = fps.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first"))
+    first = stored(first, "distinct", n)
     roots = components(links(first.select("fp"))).withColumnRenamed("node", "fp")
     return first.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
 
 
 def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, text_hash, fp) of every row, and (fp, component_id) of each distinct fingerprint."""
-    fps = stored(fingerprints(docs), "fingerprints")
-    of = _grouped(fps)
+    fps, n = _kept(docs)
+    of = _grouped(fps, n)
     ids = of.groupBy("root").agg(F.min("first.doc_id").alias("component_id"))
     return fps, of.join(ids, "root").select("fp", "component_id")
 
@@ -158,13 +166,13 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     Rows that repeat both the id and the text of the row that stays are one row. Texts are not exchanged but for
     those rows, or if more than BROADCAST_ROWS rows go.
     """
-    fps = stored(fingerprints(docs), "fingerprints")
-    of = _grouped(fps)
+    fps, n = _kept(docs)
+    of = _grouped(fps, n)
     stay = of.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("doc_id"), F.col("first.text_hash").alias("text_hash"))
     rows = fps.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n"))
     same = F.col("r.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("r.text_hash") == F.col("s.text_hash"))
     marked = rows.alias("r").join(stay.alias("s"), same, "left").select("r.doc_id", "r.text_hash", "n", F.col("s.text_hash").isNotNull().alias("stays"))
-    marked = stored(marked.where("not stays or n > 1"), "marked")
+    marked = stored(marked.where("not stays or n > 1"), "marked", n)
     own, text = unused("__id", docs), unused("__text", docs)
     key = lambda df: _few(df.select(F.col("doc_id").alias(f"{own}k"), F.col("text_hash").alias(f"{text}k")))
     on = F.col(own).eqNullSafe(F.col(f"{own}k")) & (F.col(text) == F.col(f"{text}k"))

@@ -20,7 +20,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import quoted, stored, table, unused
@@ -245,21 +245,25 @@ def checked(found: DataFrame, key: str, rounds: int = 200) -> DataFrame:
     settles. Mailboxes have to differ within their domain: no surrogate of a domain is a domain of the corpus. Only what
     has not settled goes into the next round.
     """
-    real = found.where("kind <> 'mailbox'").select("kind", F.col("value").alias("space"))
+    n = found.count()
+    real = found.where("kind <> 'mailbox'").select("kind", F.col("value").alias("space"), F.lit(True).alias("real"))
     settled, pending = None, found.select("kind", "value", F.lit(0).alias("attempt"))
     for _ in range(rounds):
         made = pending.withColumn("made", part_surrogate(F.col("kind"), F.col("value"), F.col("attempt"), key))
         space = F.when(F.col("kind") == "mailbox", F.concat("made", F.lit("@"), F.substring_index("value", "@", -1))).otherwise(F.col("made"))
-        made = stored(made.select("kind", "value", "attempt", space.alias("space")), "surrogates")
-        free = made.groupBy("kind", "space").agg(F.min(F.struct("value", "attempt")).alias("x")).select("kind", "space", "x.value", "x.attempt")
-        free = free.join(real, ["kind", "space"], "left_anti")
+        made = made.select("kind", "value", "attempt", space.alias("space"))
+        least = F.min("value").over(Window.partitionBy("kind", "space")) == F.col("value")
+        made = made.withColumn("least", least).join(real, ["kind", "space"], "left")
+        taken = F.col("real").isNotNull()
         if settled is not None:
-            free = free.join(settled, ["kind", "space"], "left_anti")
-        now = stored(free.select("kind", "value", "attempt", "space"), "settled")
+            made = made.join(settled.select("kind", "space", F.lit(True).alias("used")), ["kind", "space"], "left")
+            taken = taken | F.col("used").isNotNull()
+        made = stored(made.select("kind", "value", "attempt", "space", (F.col("least") & ~taken).alias("settles")), "surrogates", n)
+        now, pending = made.where("settles"), made.where("not settles").select("kind", "value", (F.col("attempt") + 1).alias("attempt"))
         settled = now if settled is None else settled.union(now)
-        pending = stored(made.join(now, ["kind", "value"], "left_anti").select("kind", "value", (F.col("attempt") + 1).alias("attempt")), "pending")
         if pending.isEmpty():
             return settled.where("attempt > 0").select("kind", "value", "attempt")
+        n = pending.count()
     raise RuntimeError("surrogates still collide")
 
 
@@ -296,7 +300,7 @@ def _rewritten(text: Column, attempt_of, key: str) -> Column:
 
 def replaced(docs: DataFrame, key: str, map_rows: int = MAP_ROWS) -> DataFrame:
     """docs, all columns in order, with text rewritten."""
-    late = stored(checked(stored(_found(docs), "entities"), key), "attempts")
+    late = checked(stored(_found(docs), "entities", docs.count()), key)
     text, tag = F.col("text"), lambda p: F.concat_ws("\x1f", p["kind"], p["value"])
     few = late.limit(map_rows + 1).collect()
     if len(few) <= map_rows:

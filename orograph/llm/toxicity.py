@@ -24,12 +24,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, bucket_crc, sized, table
+from .common import bounded_batches, bucket_crc, lean, sized, table
 
 BITS = 18
 MAX_SAMPLE = 1200
 """Labelled documents of each label, at most, that the model is fitted on: those of the least id hash."""
-CACHE_WORDS = 250_000
+CACHE_WORDS = 120_000
 THRESHOLD = 0.7
 
 _END = 10
@@ -209,7 +209,7 @@ def score(docs: DataFrame, model: NoisyOr | None) -> DataFrame:
 
     bounded_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double, sentences array<struct<start:int,end:int,probability:double>>")
+    return docs.select("doc_id", "text").mapInArrow(lean(run), f"doc_id {kind}, score double, sentences array<struct<start:int,end:int,probability:double>>")
 
 
 def without_toxic(docs: DataFrame, model: NoisyOr | None, threshold: float = THRESHOLD) -> DataFrame:
@@ -223,7 +223,7 @@ def without_toxic(docs: DataFrame, model: NoisyOr | None, threshold: float = THR
                 yield part.filter(pc.less(pa.array(scores(part.column(text).to_pylist())[0], pa.float64()), threshold))
 
     bounded_batches(docs.sparkSession)
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def learnable(labels: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, shared_dir, stored, table
+from .common import bounded_batches, lean, shared_dir, stored, table
 
 CHUNK = 1 << 18
 REVISIT = 1000
@@ -120,7 +120,7 @@ def written(rows: DataFrame, folder: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([writer.records], pa.int64())], ["path", "records"])
 
     bounded_batches(rows.sparkSession)
-    return stored(rows.mapInArrow(run, "path string, records long"), "manifest")
+    return stored(rows.mapInArrow(lean(run), "path string, records long"), "manifest")
 
 
 class RecordReader:
@@ -213,7 +213,7 @@ def read_chunks(manifest: DataFrame, folder: str, ends_only: bool = False) -> Da
                     yield batch_of(rows)
 
     spread = manifest.repartition(max(1, min(10_000, manifest.count())), "path")
-    return spread.mapInArrow(run, "page_id long, url string, record_type string, refers_to long, said string, chunk int, n long, digest string, last boolean")
+    return spread.mapInArrow(lean(run), "page_id long, url string, record_type string, refers_to long, said string, chunk int, n long, digest string, last boolean")
 
 
 def archive(pages: DataFrame, folder: str | None = None) -> tuple[DataFrame, str]:
