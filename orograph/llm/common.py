@@ -225,12 +225,12 @@ def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) ->
     return lean_run
 
 
-def arrow_map(df: DataFrame, each: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, text: int) -> DataFrame:
-    """each over slices of bounded text, by mapInArrow; text is the text column's place."""
+def arrow_map(df: DataFrame, each: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, text: int, limit: int = CHUNK_BYTES) -> DataFrame:
+    """each over slices of about limit bytes of text, by mapInArrow; text is the text column's place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in sized(batch, text):
+            for part in sized(batch, text, limit):
                 yield each(part)
 
     bounded_batches(df.sparkSession)

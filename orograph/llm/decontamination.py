@@ -36,7 +36,7 @@ from .common import LOWER, bounded_batches, flat, lean, mixed, sized, span_codes
 WINDOW = 10
 BLOCK_WORDS = 500_000
 """Words of a benchmark block at most, longer single items aside: about 60 MB in a worker."""
-SHARD_BYTES = 3 << 20
+SHARD_BYTES = 2 << 20
 
 _WORD = np.ones(256, bool)
 _WORD[0x00:0x30] = False

@@ -24,14 +24,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import BATCH_BYTES, bounded_batches, lean, sized, stored, table
+from .common import bounded_batches, lean, sized, stored, table
 
 WINDOW = 4096
 UNIT = 16
 END_TOKEN = 2
 RANK_ROWS = 100_000
 """Pieces of a bin that are ranked together, about; a bin's parts follow its size."""
-CACHE_PARTS = 300_000
+CACHE_PARTS = 120_000
+"""Parts in a worker's table, about; it has this one and the last."""
+SLICE = 2 << 20
 
 
 def tokenizer_path() -> str:
@@ -49,10 +51,11 @@ _SINGLE = re.compile(r"[0-9]|[^a-zA-Z0-9\s']+", re.A)
 
 
 class _Known(dict):
-    """Part to number; one that isn't there is noted and gets the next number."""
+    """Part to number; one that isn't there is noted and gets the next number. before: parts known before these."""
 
-    def __init__(self) -> None:
+    def __init__(self, before: dict[bytes, int]) -> None:
         super().__init__()
+        self.before = before
         self.fresh: list[bytes] = []
 
     def __missing__(self, part: bytes) -> int:
@@ -76,11 +79,15 @@ class _Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a core runs one task
         self.tokenizer = Tokenizer.from_file(path)
         self.letters: dict[int, bool] = {}
-        self.forget()
+        self.known: dict[bytes, int] = {}
+        self.ids, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.turn()
 
-    def forget(self) -> None:
-        self.known, self.ids = _Known(), np.zeros(0, np.uint32)
-        self.starts = self.sizes = np.zeros(0, np.int64)
+    def turn(self) -> None:
+        """Begins a new table of parts; of the last one those that come again are taken over, the rest is forgotten at the next turn."""
+        self.before = self.ids, self.starts, self.sizes
+        self.known = _Known(dict(self.known))
+        self.ids, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _odd(self, raw: bytes) -> set[str]:
         """The characters beyond ASCII in raw that are not plain letters."""
@@ -94,7 +101,9 @@ class _Encoder:
 
     def _learn(self) -> None:
         """Ids of the new parts. Those that are one word each are encoded as one text: the tokenizer tells whose words they are."""
-        fresh, self.known.fresh = self.known.fresh, []
+        asked, self.known.fresh = self.known.fresh, []
+        last = np.fromiter((self.known.before.get(p, -1) for p in asked), np.int64, len(asked))
+        fresh = [asked[i] for i in np.flatnonzero(last < 0).tolist()]
         plain = lambda p: p.isalpha() or (bool(_SINGLE.fullmatch(p.decode())) if p.isascii() else p.decode().lower().isalpha())
         single = np.fromiter(map(plain, fresh), bool, len(fresh))
         sizes, runs, order = np.zeros(len(fresh), np.int64), [], []
@@ -114,16 +123,21 @@ class _Encoder:
             sizes[rest] = [len(x) for x in each]
             runs.append(np.array([i for x in each for i in x], np.uint32))
             order.append(rest)
-        order = np.concatenate(order)
+        order = np.concatenate([np.zeros(0, np.int64), *order])
         starts = np.empty(len(fresh), np.int64)
-        starts[order] = len(self.ids) + np.cumsum(sizes[order]) - sizes[order]
-        self.ids = np.concatenate([self.ids, *runs])
-        self.starts, self.sizes = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes])
+        starts[order] = np.cumsum(sizes[order]) - sizes[order]
+        ids = np.concatenate([np.zeros(0, np.uint32), *runs])
+        again, done = _gathered(*self.before, last[last >= 0])
+        all_starts, all_sizes = np.empty(len(asked), np.int64), np.empty(len(asked), np.int64)
+        all_starts[last < 0], all_sizes[last < 0] = starts, sizes
+        all_starts[last >= 0], all_sizes[last >= 0] = len(ids) + done[:-1], np.diff(done)
+        self.starts, self.sizes = np.concatenate([self.starts, all_starts + len(self.ids)]), np.concatenate([self.sizes, all_sizes])
+        self.ids = np.concatenate([self.ids, ids, again])
 
     def _stretches(self, found: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of these stretches end to end, and the n + 1 bounds."""
         if len(self.known) > CACHE_PARTS:
-            self.forget()
+            self.turn()
         whole = pa.ListArray.from_arrays(pa.array([0, len(found)], pa.int32()), found.cast(pa.string()))
         joined = pc.binary_join(whole, "\n")[0].as_buffer().to_pybytes() + b"\n" if len(found) else b""
         odd = self._odd(joined)
@@ -177,7 +191,7 @@ def pieces(docs: DataFrame, window: int = WINDOW, path: str | None = None) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path)
         for batch in batches:
-            for part in sized(batch, 1, BATCH_BYTES):
+            for part in sized(batch, 1, SLICE):
                 ids, bounds = encoder.encode(part.column(1))
                 total = np.diff(bounds)
                 number = -(-total // window)

@@ -71,7 +71,7 @@ def _fingerprints(batch: pa.RecordBatch) -> pa.RecordBatch:
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, a hash of the text and the signed 64-bit fingerprint fp of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return arrow_map(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text"), _fingerprints, f"doc_id {kind}, text_hash long, fp long", 2)
+    return arrow_map(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text"), _fingerprints, f"doc_id {kind}, text_hash long, fp long", 2, 1 << 19)
 
 
 def _kept(docs: DataFrame) -> tuple[DataFrame, int]:
