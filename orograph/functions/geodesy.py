@@ -67,6 +67,16 @@ def longitude_distance(lat: Column, low: Column, high: Column) -> Column:
     return prime_vertical_radius(lat) * F.cos(lat * DEGREE) * ((high - low) * DEGREE)
 
 
+def latitude_angle(low: Column, metres: Column) -> Column:
+    """Degrees of latitude that so many metres go north from a latitude."""
+    return F.degrees(metres / prime_vertical_radius(low))
+
+
+def longitude_angle(lat: Column, metres: Column) -> Column:
+    """Degrees of longitude that so many metres go east along a parallel."""
+    return F.degrees(metres / (prime_vertical_radius(lat) * F.cos(lat * DEGREE)))
+
+
 def mercator(lon: Column, lat: Column) -> tuple[Column, Column]:
     """EPSG:3857 metres of degrees."""
     return lon * DEGREE * EQUATORIAL_RADIUS, F.log(F.tan(F.lit(0.7853981633974483) + lat * (DEGREE / 2))) * EQUATORIAL_RADIUS

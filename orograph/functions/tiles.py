@@ -95,3 +95,41 @@ def children(x: Column, y: Column) -> Column:
 def neighbours(x: Column, y: Column) -> Column:
     """The eight tiles around one, as (x, y) structs; some may lie beyond the grid."""
     return F.array(*(F.struct((x + i).alias("x"), (y + j).alias("y")) for i in (-1, 0, 1) for j in (-1, 0, 1) if i or j))
+
+
+def plain_tile(lon: Column, lat: Column, depth: Column, from_top: bool = False) -> tuple[Column, Column]:
+    """Column and row of a position without regard to the grid's ends; from_top counts rows from the north."""
+    a = angle(depth)
+    return F.floor((lon + 180.0) / a).cast("int"), F.floor((90.0 - lat if from_top else lat + 90.0) / a).cast("int")
+
+
+def extent_from_top(depth: Column, x: Column, y: Column) -> dict[str, Column]:
+    """Extent of a tile whose rows count from the north."""
+    a = angle(depth)
+    return {"min_lon": a * x - 180.0, "min_lat": F.lit(90.0) - a * (y + 1), "max_lon": a * (x + 1) - 180.0, "max_lat": F.lit(90.0) - a * y}
+
+
+def mercator_extent(depth: Column, x: Column, y: Column) -> dict[str, Column]:
+    """Extent in degrees of a Web Mercator tile (2^L x 2^L, rows from the north)."""
+    n = F.pow(F.lit(2.0), depth)
+    lat = lambda row: F.degrees(F.atan(F.sinh(F.lit(3.141592653589793) * (F.lit(1.0) - F.lit(2.0) * row / n))))
+    return {"min_lon": x * (F.lit(360.0) / n) - 180.0, "min_lat": lat(y + 1), "max_lon": (x + 1) * (F.lit(360.0) / n) - 180.0, "max_lat": lat(y)}
+
+
+def square_tile(lon: Column, lat: Column, level: Column) -> tuple[Column, Column]:
+    """Column and row (from the north) of a position in the scheme of 2^L x 2^L tiles over the whole globe, clamped."""
+    n = F.pow(F.lit(2.0), level)
+    at = lambda share: F.least(F.floor(share * n), n - 1).cast("int")
+    within = lambda v, end: F.greatest(F.lit(-end), F.least(F.lit(end), v))
+    return at((within(lon, 180.0) + 180.0) / 360.0), at(F.lit(1.0) - (within(lat, 90.0) + 90.0) / 180.0)
+
+
+def square_extent(level: Column, x: Column, y: Column) -> dict[str, Column]:
+    """Extent of a tile of that scheme."""
+    wide, high = F.lit(360.0) / F.pow(F.lit(2.0), level), F.lit(180.0) / F.pow(F.lit(2.0), level)
+    return {"min_lon": wide * x - 180.0, "min_lat": F.lit(90.0) - high * (y + 1), "max_lon": wide * (x + 1) - 180.0, "max_lat": F.lit(90.0) - high * y}
+
+
+def sweeps(depth: Column) -> Column:
+    """Refinement sweeps of a depth: fixed values."""
+    return F.when(depth.between(0, MAX_DEPTH), 15).otherwise(5)

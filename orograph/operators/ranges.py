@@ -22,6 +22,30 @@ def expanded(df: DataFrame, n: int = 1) -> DataFrame:
     return df.withColumns({"min_x": F.greatest(F.col("min_x") - n, F.lit(0)), "min_y": F.greatest(F.col("min_y") - n, F.lit(0)), "max_x": F.col("max_x") + n, "max_y": F.col("max_y") + n})
 
 
+def moved(df: DataFrame, by_x: int, by_y: int) -> DataFrame:
+    """Ranges moved by so many tiles; the lower sides stop at 0."""
+    to = lambda c, n: F.greatest(F.lit(0), F.col(c) + n) if c[:3] == "min" else F.col(c) + n
+    return df.withColumns({c: to(c, by_x if c[-1] == "x" else by_y) for c in BOUNDS})
+
+
+def split_at(df: DataFrame, axis: str, at: int) -> DataFrame:
+    """Ranges cut before the tile at of an axis: one or two parts of each, column part 0 below and 1 from there on."""
+    low, high = F.col(f"min_{axis}"), F.col(f"max_{axis}")
+    parts = F.array(F.struct(F.lit(0).alias("part"), low.alias("a"), F.least(high, F.lit(at - 1)).alias("b")), F.struct(F.lit(1).alias("part"), F.greatest(low, F.lit(at)).alias("a"), high.alias("b")))
+    cut = df.withColumn("__p", F.explode(F.filter(parts, lambda p: p["a"] <= p["b"])))
+    return cut.withColumns({f"min_{axis}": F.col("__p.a"), f"max_{axis}": F.col("__p.b"), "part": F.col("__p.part")}).drop("__p")
+
+
+def holds(depth: Column, x: Column, y: Column) -> Column:
+    """Is a tile in the range of columns depth, min_x .. max_y?"""
+    return (F.col("depth") == depth) & x.between(F.col("min_x"), F.col("max_x")) & y.between(F.col("min_y"), F.col("max_y"))
+
+
+def deepest(df: DataFrame) -> DataFrame:
+    """The greatest depth of ranges or tiles, -1 if there are none."""
+    return df.agg(F.coalesce(F.max("depth"), F.lit(-1)).alias("depth"))
+
+
 def tiles(df: DataFrame) -> DataFrame:
     """One row (depth, x, y) for each valid tile of each range; the range's other columns go along."""
     keep = [c for c in df.columns if c not in BOUNDS]

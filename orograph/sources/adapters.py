@@ -88,6 +88,6 @@ SQL = {
 }
 
 
-def oracle(*names: str) -> str:
-    """WITH clause of the named projections, open for more."""
-    return "WITH RECURSIVE " + ", ".join(f"{n} AS ({SQL[n]})" for n in names)
+def oracle(*names: str, recursive: bool = False) -> str:
+    """WITH clause of the named projections, open for more; what is named here is computed once."""
+    return f"WITH {'RECURSIVE ' if recursive else ''}" + ", ".join(f"{n} AS MATERIALIZED ({SQL[n]})" for n in names)

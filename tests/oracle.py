@@ -43,5 +43,6 @@ def compare(df, con, sql: str) -> str:
         return f"columns {sorted(df.columns)} and {sorted(names)}"
     if got == want:
         return ""
-    a, b = [r for r in got if r not in set(want)][:3], [r for r in want if r not in set(got)][:3]
+    here, there = set(got), set(want)
+    a, b = [r for r in got if r not in there][:3], [r for r in want if r not in here][:3]
     return f"{len(got)} and {len(want)} rows; only here {a}; only in SQL {b}"
