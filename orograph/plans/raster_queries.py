@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import geodesy as G
+from ..operators import rasters as Q
 from ..operators import sampling as S
 from ..sources import adapters as A
 
@@ -103,3 +104,82 @@ def tile_raster_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     z = F.col("z").cast("double")
     stats = S.tile_rasters(roots, A.rasters(spark, sf_dir), _rows(spark, sf_dir)).groupBy("l", "x", "y")
     return stats.agg(F.count("*").alias("n"), F.count_if(z != 0).alias("hit"), F.round(F.min(z), 3).alias("low"), F.round(F.max(z), 3).alias("high"), F.round(F.avg(z), 3).alias("mean"))
+
+
+_CROP = (-100.0, -31.0, -40.5, 22.0)
+
+
+@query(f"""{A.oracle('cells', 'ras')}, p AS (SELECT *, (max_lon - min_lon) / width AS px, (max_lat - min_lat) / height AS py FROM ras WHERE min_lon <= -40.5 AND max_lon >= -100 AND min_lat <= 22 AND max_lat >= -31),
+  c AS (SELECT *, greatest(0, least(floor((-100.0::DOUBLE - min_lon) / px)::INT, width)) AS x0, greatest(0, least(ceil((-40.5::DOUBLE - min_lon) / px)::INT, width)) AS x1, greatest(0, least(floor((max_lat - 22.0::DOUBLE) / py)::INT, height)) AS y0, greatest(0, least(ceil((max_lat + 31.0::DOUBLE) / py)::INT, height)) AS y1 FROM p)
+  SELECT raster, (row - y0)::INT AS row, count(*) AS n, round(sum(z), 3) AS total, round(min(min_lon + x0 * px), 6) AS west FROM cells JOIN c USING (raster) WHERE row >= y0 AND row < y1 AND col >= x0 AND col < x1 GROUP BY raster, row - y0""")
+def cropped_rasters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row sums of all rasters cut to a window, and their new western ends."""
+    meta, rows = Q.cropped(A.rasters(spark, sf_dir), _rows(spark, sf_dir), _CROP)
+    sums = rows.select("raster", "row", F.size("values").cast("long").alias("n"), F.round(F.aggregate("values", F.lit(0.0), lambda a, b: a + b), 3).alias("total"))
+    return sums.join(meta.select("raster", F.round("min_lon", 6).alias("west")), "raster")
+
+
+def _merc(lat: str) -> str:
+    return f"(ln(tan(0.7853981633974483::DOUBLE + {lat} * 0.008726646259971648::DOUBLE)) * 6378137.0::DOUBLE)"
+
+
+@query(f"""{A.oracle('cells', 'ras')}, w AS (SELECT *, max_lat - (o + 0.5::DOUBLE) / height * (max_lat - min_lat) AS lat FROM ras, unnest(range(0, height)) AS t(o)),
+  s AS (SELECT raster, o, greatest(0, least(floor(({_merc('max_lat')} - {_merc('lat')}) / ({_merc('max_lat')} - {_merc('min_lat')}) * height)::INT, height - 1)) AS src FROM w)
+  SELECT raster, o::INT AS row, round(sum(z), 3) AS total FROM s JOIN cells USING (raster) WHERE cells.row = CASE WHEN raster % 2 = 0 THEN src ELSE o END GROUP BY raster, o""")
+def reprojected_rasters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row sums of rasters of which every second one stands for Mercator rows, evenly spaced in latitude."""
+    meta = A.rasters(spark, sf_dir).withColumn("crs", F.when(F.col("raster") % 2 == 0, 3857).otherwise(4326))
+    _, rows = Q.reprojected(meta, _rows(spark, sf_dir))
+    return rows.select("raster", "row", F.round(F.aggregate("values", F.lit(0.0), lambda a, b: a + b), 3).alias("total"))
+
+
+@query(f"""{A.oracle('cells', 'ras')}, m AS (SELECT *, greatest(24, floor(width * 0.4::DOUBLE))::INT AS w, greatest(24, floor(height * 0.4::DOUBLE))::INT AS h FROM ras),
+  g AS (SELECT raster, w, h, r::INT AS row, c::INT AS col, floor((r + 0.5::DOUBLE) * height / h)::INT AS sr, floor((c + 0.5::DOUBLE) * width / w)::INT AS sc FROM m, unnest(range(0, h)) AS a(r), unnest(range(0, w)) AS b(c))
+  SELECT g.raster, g.row, count(*) AS n, round(sum(z), 3) AS total FROM g JOIN cells k ON k.raster = g.raster AND k.row = sr AND k.col = sc GROUP BY g.raster, g.row""")
+def resized_rasters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row sums of rasters at two fifths of their size."""
+    _, rows = Q.resized(A.rasters(spark, sf_dir), _rows(spark, sf_dir), F.lit(0.4))
+    return rows.select("raster", "row", F.size("values").cast("long").alias("n"), F.round(F.aggregate("values", F.lit(0.0), lambda a, b: a + b), 3).alias("total"))
+
+
+@query(f"""{A.oracle('ras')}, d AS (SELECT depth, 180.0::DOUBLE / pow(2, depth) * 0.017453292519943296::DOUBLE * 6378137.0::DOUBLE / 256 AS pixel FROM range(0, 8) AS t(depth)),
+  n AS (SELECT raster, least((max_lon - min_lon) / width, (max_lat - min_lat) / height) * 0.017453292519943296::DOUBLE * 6378137.0::DOUBLE / sqrt(1.0::DOUBLE - 0.00669437999014::DOUBLE * pow(sin((min_lat + max_lat) / 2.0::DOUBLE * 0.017453292519943296::DOUBLE), 2)) AS native FROM ras)
+  SELECT raster, depth::INT AS depth, round(CASE WHEN pixel <= native THEN 1.0::DOUBLE ELSE native / pixel END, 9) AS share FROM n, d""")
+def resize_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share of each raster's size that each depth reads."""
+    return Q.resize_plan(spark, A.rasters(spark, sf_dir), 7).withColumn("share", F.round("share", 9))
+
+
+@query(f"""{A.oracle('cells', 'ras')}, pts AS (SELECT raster * 1000000 + r * 1000 + c AS id, raster AS own, -180.0::DOUBLE + raster * 30.0::DOUBLE + (c + 0.5::DOUBLE) * 60.0::DOUBLE / width AS lon, 60.0::DOUBLE - (r + 0.5::DOUBLE) * 120.0::DOUBLE / height AS lat, r, c FROM ras, unnest(range(0, height)) AS a(r), unnest(range(0, 64)) AS b(c) WHERE raster = 3), {_HIT.replace('JOIN ras r ON', 'JOIN ras r ON r.raster IN (2, 4) AND')}, {_BILINEAR}, {_BEST},
+  g AS (SELECT k.raster, k.row, k.col, k.z + coalesce(best.z, 0.0::DOUBLE) AS z FROM cells k JOIN pts ON k.raster = own AND k.row = r AND k.col = c LEFT JOIN best USING (id))
+  SELECT raster, row, round(sum(z), 3) AS total FROM g GROUP BY raster, row""")
+def geoid_aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row sums of raster 3 over a geoid that stands on the grids of its neighbours."""
+    meta, rows = A.rasters(spark, sf_dir), _rows(spark, sf_dir)
+    geoid = meta.where("raster IN (2, 4)"), rows.where("raster IN (2, 4)")
+    _, out = Q.standardised(meta.where("raster = 3"), rows.where("raster = 3"), geoid)
+    return out.select("raster", "row", F.round(F.aggregate("values", F.lit(0.0), lambda a, b: a + b), 3).alias("total"))
+
+
+_NODATA = """sampled AS (SELECT hit.id, hit.raster, area, CASE WHEN c00.z <= -200 OR c00.z = 0.125::DOUBLE THEN -200.0::DOUBLE WHEN least(c01.z, c10.z, c11.z) <= -200 THEN c00.z ELSE (c00.z * (1.0::DOUBLE - dx) + c01.z * dx) * (1.0::DOUBLE - dy) + (c10.z * (1.0::DOUBLE - dx) + c11.z * dx) * dy END AS z FROM (SELECT *, fx - floor(fx) AS dx, fy - floor(fy) AS dy FROM hit) hit """ + _C + ")"
+
+
+@query(f"{A.oracle('pts', 'cells', 'ras')}, {_HIT}, {_NODATA}, {_BEST} SELECT pts.id, round(z, 6) AS z, best.id IS NOT NULL AS hit FROM pts LEFT JOIN best USING (id)")
+def samples_beside_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every point's sample and whether a raster holds it, where -200 m and less is no data."""
+    p = A.points(spark, sf_dir)
+    meta = A.rasters(spark, sf_dir).withColumn("no_data", F.lit(0.125))
+    got = S.with_hits(p, S.bilinear(p, meta, _rows(spark, sf_dir), -200.0))
+    return got.select("id", F.round("z", 6).alias("z"), "hit")
+
+
+@query("""WITH t AS (SELECT event_id AS id, (event_id * 7919 % 16)::INT AS x, (event_id * 104729 % 8)::INT AS y, (event_id * 31 % 300) / 10.0::DOUBLE - 3.0::DOUBLE AS a, (event_id * 17 % 260) / 10.0::DOUBLE - 1.0::DOUBLE AS b FROM events),
+  p AS (SELECT *, x * 22.5::DOUBLE - 180 + a AS lon, y * 22.5::DOUBLE - 90 + b AS lat, x * 22.5::DOUBLE - 180 AS w, y * 22.5::DOUBLE - 90 AS s FROM t)
+  SELECT id, CASE WHEN lon < w OR lon > w + 22.5 THEN -1 ELSE least(floor((lon - w) / (22.5::DOUBLE / 256)), 255) END::INT AS col, CASE WHEN lat < s OR lat > s + 22.5 THEN -1 ELSE least(floor((lat - s) / (22.5::DOUBLE / 256)), 255) END::INT AS row FROM p""")
+def tile_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pixels of positions in and beside tiles at depth 3."""
+    i = F.col("event_id")
+    t = A.table(spark, sf_dir, "events").select(i.alias("id"), F.lit(3).alias("l"), (i * 7919 % 16).cast("int").alias("x"), (i * 104729 % 8).cast("int").alias("y"), ((i * 31 % 300) / 10.0 - 3.0).alias("a"), ((i * 17 % 260) / 10.0 - 1.0).alias("b"))
+    lon, lat = F.col("x") * 22.5 - 180 + F.col("a"), F.col("y") * 22.5 - 90 + F.col("b")
+    col, row = Q.pixel_of(lon, lat)
+    return t.select("id", col.alias("col"), row.alias("row"))
