@@ -125,10 +125,17 @@ def edges(faces: DataFrame) -> DataFrame:
 
 
 def twins(faces: DataFrame) -> DataFrame:
-    """Edges with their twin (face, k) that runs the other way: the n-th of one direction with the n-th of the other."""
-    e = edges(faces).withColumn("__n", F.row_number().over(Window.partitionBy("a", "b").orderBy("face", "k")))
-    other = e.select(F.col("face").alias("twin_face"), F.col("k").alias("twin_k"), F.col("a").alias("b"), F.col("b").alias("a"), "__n")
-    return e.join(other, ["a", "b", "__n"], "left").drop("__n")
+    """Edges with their twin (face, k) that runs the other way: the n-th of one direction with the n-th of the other. An edge
+    from a corner to itself is its own twin.
+
+    One exchange brings both directions of an edge together; ranks and twins are found within it.
+    """
+    e = edges(faces).withColumns({"__lo": F.least("a", "b"), "__hi": F.greatest("a", "b"), "__way": (F.col("a") > F.col("b")).cast("int")})
+    ranked = e.repartition("__lo", "__hi").withColumn("__n", F.row_number().over(Window.partitionBy("__lo", "__hi", "__way").orderBy("face", "k")))
+    pair = Window.partitionBy("__lo", "__hi", "__n").orderBy("__way")
+    own = F.col("a") == F.col("b")
+    other = lambda c: F.when(own, F.col(c)).otherwise(F.coalesce(F.lead(c).over(pair), F.lag(c).over(pair)))
+    return ranked.select("a", "b", "face", "k", other("face").alias("twin_face"), other("k").alias("twin_k"))
 
 
 def border(faces: DataFrame) -> DataFrame:
@@ -137,7 +144,7 @@ def border(faces: DataFrame) -> DataFrame:
 
 
 def welded(triangles: DataFrame, cell: float) -> DataFrame:
-    """vertex, x, y of the distinct positions on a grid of cell degrees, numbered in order."""
+    """x, y of the distinct corner positions on a grid of cell degrees and how many corners stand at each."""
     at = lambda c: half_up(c / cell).cast("long")
     rows = triangles.select(F.explode(F.array(*(F.struct(at(F.col(f"x{k}")).alias("x"), at(F.col(f"y{k}")).alias("y")) for k in CORNERS))).alias("v"))
     return rows.groupBy("v.x", "v.y").agg(F.count("*").alias("corners"))
@@ -171,20 +178,27 @@ def morton(ix: Column, iy: Column, iz: Column, depth: int) -> Column:
     return out
 
 
-def face_components(faces: DataFrame, rounds: int = 60) -> DataFrame:
-    """face, root: faces that share corners, directly or through others, have one root, the least corner id.
+def components(links: DataFrame, rounds: int = 200) -> DataFrame:
+    """a, root: the least id that each end of links (a, b) reaches.
 
-    Corners take the least label around them and then their label's label, until none changes; every
+    Ids take the least label around them and then their label's label, until none changes; every
     round is checkpointed, so lineage stays short and an executor's loss costs one round.
     """
-    links = faces.select(F.explode(F.array(F.struct(F.col("v0").alias("a"), F.col("v1").alias("b")), F.struct(F.col("v1").alias("a"), F.col("v2").alias("b")))).alias("e")).select("e.a", "e.b")
     both = checkpointed(links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     label = checkpointed(both.groupBy("a").agg(F.least(F.first("a"), F.min("b")).alias("root")))
     for _ in range(rounds):
         around = both.join(label.select(F.col("a").alias("b"), "root"), "b").groupBy("a").agg(F.min("root").alias("near"))
         step = label.join(around, "a").select("a", "root", F.least("root", "near").alias("now"))
-        jump = checkpointed(step.join(label.select(F.col("a").alias("now"), F.col("root").alias("over")), "now").select("a", F.least("now", "over").alias("root"), (F.col("root") != F.least("now", "over")).alias("new")))
+        over = label.select(F.col("a").alias("now"), F.col("root").alias("over"))
+        jump = checkpointed(step.join(over, "now").select("a", F.least("now", "over").alias("root"), (F.col("root") != F.least("now", "over")).alias("new")))
         label = jump.select("a", "root")
         if jump.where("new").isEmpty():
-            return faces.join(label.withColumnRenamed("a", "v0"), "v0").select("face", "root")
+            return label
     raise RuntimeError("labels did not settle")
+
+
+def face_components(faces: DataFrame, rounds: int = 200) -> DataFrame:
+    """face, root: faces that share corners, directly or through others, have one root, the least corner id."""
+    pairs = F.array(F.struct(F.col("v0").alias("a"), F.col("v1").alias("b")), F.struct(F.col("v1").alias("a"), F.col("v2").alias("b")))
+    label = components(faces.select(F.explode(pairs).alias("e")).select("e.a", "e.b"), rounds)
+    return faces.join(label.withColumnRenamed("a", "v0"), "v0").select("face", "root")

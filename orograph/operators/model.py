@@ -2,25 +2,34 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+LEGEND_ROWS = 10_000
+
+
 def legend_colour(df: DataFrame, legend: DataFrame, value: str) -> DataFrame:
-    """df with r, g, b mixed linearly between the legend's nearest lower and higher keys; an exact key wins.
+    """df with r, g, b mixed linearly between the legend's nearest lower and higher keys; an exact key wins. Beyond
+    its ends the last colour counts.
 
-    The legend is one row of sorted keys; beyond its ends the last colour counts.
+    A legend is a table of keys for people to read: one of more than LEGEND_ROWS is an error.
     """
-    keys = legend.agg(F.array_sort(F.collect_list(F.struct("value", "r", "g", "b"))).alias("__keys"))
-    rows = df.join(F.broadcast(keys), F.lit(True), "left")  # one row: the whole legend
-    low = F.try_element_at(F.filter("__keys", lambda k: k["value"] <= F.col(value)), F.lit(-1))
-    high = F.try_element_at(F.filter("__keys", lambda k: k["value"] >= F.col(value)), F.lit(1))
-    rows = rows.withColumns({"__low": F.coalesce(low, high), "__high": F.coalesce(high, low)})
+    found = legend.select("value", "r", "g", "b").orderBy("value").limit(LEGEND_ROWS + 1).collect()
+    if len(found) > LEGEND_ROWS:
+        raise ValueError(f"a legend of more than {LEGEND_ROWS} keys")
+    if not found:
+        return df.withColumns({c: F.lit(None).cast("double") for c in "rgb"})
+    keys = F.from_json(F.lit(json.dumps([r.asDict() for r in found])), "array<struct<value:double,r:double,g:double,b:double>>")
+    low = F.try_element_at(F.filter(keys, lambda k: k["value"] <= F.col(value)), F.lit(-1))
+    high = F.try_element_at(F.filter(keys, lambda k: k["value"] >= F.col(value)), F.lit(1))
+    rows = df.withColumns({"__a": low, "__b": high}).withColumns({"__low": F.coalesce("__a", "__b"), "__high": F.coalesce("__b", "__a")})
     span = F.col("__high.value") - F.col("__low.value")
     t = F.when(span == 0, 0.0).otherwise((F.col(value) - F.col("__low.value")) / F.nullif(span, F.lit(0.0)))
-    return rows.withColumns({c: F.col(f"__low.{c}") * (1.0 - t) + F.col(f"__high.{c}") * t for c in "rgb"}).drop("__keys", "__low", "__high")
+    return rows.withColumns({c: F.col(f"__low.{c}") * (1.0 - t) + F.col(f"__high.{c}") * t for c in "rgb"}).drop("__a", "__b", "__low", "__high")
 
 
 def any_attribute(conditions: list[tuple[str, str]]) -> Column:
