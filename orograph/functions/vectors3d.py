@@ -95,20 +95,23 @@ def best_plane(normal: Vector) -> Column:
 def polygon_normal(ring: Column) -> Column:
     """Unit normal (x, y, z) of a ring of (x, y, z) structs: the corners' unit normals, weighed by their angles. Corners
     without a direction count for nothing; null if nothing is left."""
+    # Each step is a pass over an array of its own, so that no expression holds another many times.
     n = F.size(ring)
-    part = lambda p: (p["x"], p["y"], p["z"])
-
-    def corner(k: Column) -> Column:
-        at, after, before = F.get(ring, k), F.get(ring, F.pmod(k + 1, n)), F.get(ring, F.pmod(k - 1, n))
-        u, v = G.unit(G.minus(part(at), part(before))), G.unit(G.minus(part(after), part(at)))
-        c = G.unit(G.cross(u, v))
-        turn = F.acos(cosine(u, v))
-        return F.struct(*(F.coalesce(x * turn, F.lit(0.0)).alias(name) for name, x in zip("xyz", c)))
-
-    zero = F.struct(*(F.lit(0.0).alias(c) for c in "xyz"))
-    total = F.aggregate(F.transform(F.sequence(F.lit(0), n - 1), corner), zero, lambda a, b: F.struct(*((a[c] + b[c]).alias(c) for c in "xyz")))
-    size = F.sqrt(total["x"] * total["x"] + total["y"] * total["y"] + total["z"] * total["z"])
-    return F.when((n >= 3) & (size > 0), F.struct(*((total[c] / size).alias(c) for c in "xyz")))
+    every = F.sequence(F.lit(0), n - 1)
+    struct = lambda x, y, z, **more: F.struct(x.alias("x"), y.alias("y"), z.alias("z"), *(c.alias(k) for k, c in more.items()))
+    pair = lambda items, step: F.transform(every, lambda k: F.struct(F.get(items, k).alias("a"), F.get(items, F.pmod(k + step, n)).alias("b")))
+    sized = lambda items: F.transform(items, lambda v: struct(v["x"], v["y"], v["z"], size=F.sqrt(v["x"] * v["x"] + v["y"] * v["y"] + v["z"] * v["z"])))
+    units = lambda items: F.transform(sized(items), lambda v: F.when(v["size"] > 0, struct(v["x"] / v["size"], v["y"] / v["size"], v["z"] / v["size"])))
+    sides = units(F.transform(pair(ring, 1), lambda p: struct(*(p["b"][c] - p["a"][c] for c in "xyz"))))
+
+    def turn(p: Column) -> Column:
+        u, v = (tuple(p[k][c] for c in "xyz") for k in "ab")
+        return F.struct(struct(*G.cross(u, v)).alias("cross"), F.acos(cosine(u, v)).alias("angle"))
+
+    turns = F.filter(F.transform(pair(sides, 1), turn), lambda t: t["angle"].isNotNull())
+    weighed = F.transform(F.arrays_zip(units(F.transform(turns, lambda t: t["cross"])).alias("c"), F.transform(turns, lambda t: t["angle"]).alias("w")), lambda t: struct(*(F.coalesce(t["c"][c] * t["w"], F.lit(0.0)) for c in "xyz")))
+    total = F.aggregate(weighed, struct(*(F.lit(0.0) for _ in "xyz")), lambda a, b: struct(*(a[c] + b[c] for c in "xyz")))
+    return F.when(n >= 3, F.get(units(F.array(total)), F.lit(0)))
 
 
 def is_solid_ring(ring: Column) -> Column:
