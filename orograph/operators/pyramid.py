@@ -4,8 +4,8 @@ Tiles start as two right triangles on a dyadic grid, so a triangle's longest edg
 midpoint is again a grid point. A sweep marks the edges of triangles that deviate from the surface; marks spread
 to the longest edge of every triangle they touch until none is new, and all triangles with marked
 longest edges are halved. That needs no neighbour pointers, and its result doesn't depend on order. A tile's
-mesh conforms within itself; neighbouring tiles are meshed apart, so their common border may have vertices that
-only one of them has.
+mesh conforms within itself. Tiles are meshed apart from samples that reach a pixel beyond them, so heights on common
+borders are equal; ``closed`` then gives each tile the border vertices that its neighbours have, so nothing cracks.
 """
 
 from __future__ import annotations
@@ -15,12 +15,12 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import tiles as T
+from .storage import checkpointed
 
 GRID = 256
 SWEEPS = 15
@@ -95,14 +95,15 @@ def bisected(allowed: float, surface: Surface, sweeps: int = SWEEPS, grid: int =
         heights = surface(col.ravel(), row.ravel()).reshape(grid, grid)
     for _ in range(limits.first if limits else 0):
         tri = _halved(tri, np.ones(len(tri), bool))
-    kept: set[bytes] = set()  # triangles that stay
+    kept = np.zeros(0, np.int64)  # triangles that stay
     for _ in range(sweeps):
-        new = np.fromiter((t.tobytes() not in kept for t in tri), bool, len(tri))
+        names = _names(tri)
+        new = ~np.isin(names, kept)
         split = np.zeros(len(tri), bool)
         split[new] = _must_split(tri[new], allowed, surface, grid, heights, limits, tile)
         if not split.any():
             break
-        kept.update(t.tobytes() for t in tri[new & ~split])
+        kept = np.concatenate([kept, names[new & ~split]])
         tri = _halved(tri, split)
     key, place = np.unique(tri.reshape(-1, 2), axis=0, return_inverse=True)
     return key, place.reshape(-1, 3)
@@ -138,22 +139,27 @@ def _code(p: np.ndarray) -> np.ndarray:
     return (p[..., 0].astype(np.int64) << 32) | p[..., 1].astype(np.int64)
 
 
+def _names(tri: np.ndarray) -> np.ndarray:
+    """A number for each triangle by its corners, whose coordinates are 1,023 at most."""
+    out = np.zeros(len(tri), np.int64)
+    for k in range(6):
+        out = out << 10 | tri.reshape(-1, 6)[:, k]
+    return out
+
+
 def _halved(tri: np.ndarray, split: np.ndarray) -> np.ndarray:
     """Triangles with the split ones halved, and whatever else keeps the mesh conforming. A midpoint is known by
     the sum of its edge's ends."""
-    wanted = set(_code(tri[split, 1] + tri[split, 2]).tolist())
+    wanted = np.unique(_code(tri[split, 1] + tri[split, 2]))
+    middle = _code(tri[:, 1] + tri[:, 2])
+    legs = np.stack([_code(tri[:, 0] + tri[:, 1]), _code(tri[:, 0] + tri[:, 2])], axis=1)
     while True:
-        middle = _code(tri[:, 1] + tri[:, 2])
-        now = np.fromiter((m in wanted for m in middle.tolist()), bool, len(tri))
-        legs = np.stack([_code(tri[:, 0] + tri[:, 1]), _code(tri[:, 0] + tri[:, 2])], axis=1)
-        hit = np.fromiter(((a in wanted or b in wanted) for a, b in legs.tolist()), bool, len(tri))
-        more = hit & ~now
+        more = np.isin(legs, wanted).any(axis=1) & ~np.isin(middle, wanted)
         if not more.any():
             break
-        wanted |= set(middle[more].tolist())
+        wanted = np.union1d(wanted, middle[more])
     while True:
-        middle = _code(tri[:, 1] + tri[:, 2])
-        now = np.fromiter((m in wanted for m in middle.tolist()), bool, len(tri))
+        now = np.isin(_code(tri[:, 1] + tri[:, 2]), wanted)
         if not now.any():
             return tri
         a, b, c = tri[now, 0], tri[now, 1], tri[now, 2]
@@ -161,33 +167,142 @@ def _halved(tri: np.ndarray, split: np.ndarray) -> np.ndarray:
         tri = np.concatenate([tri[~now], np.stack([m, a, b], axis=1), np.stack([m, c, a], axis=1)])
 
 
-def meshes(samples: DataFrame, allowed: float, grid: int = GRID, limits: Limits | None = None) -> DataFrame:
-    """One row (l, x, y, vertices, triangles, u, v, h, indices) for each tile of samples (l, x, y, i, j, z).
+_MESH = "l int, x int, y int, vertices int, triangles int, u array<int>, v array<int>, h array<double>, indices array<int>"
+
+
+def _mesh_rows(found: list[tuple]) -> pa.RecordBatch:
+    """A batch of meshes (l, x, y, u, v, h, indices)."""
+    lists = [pa.array([np.asarray(f[k]) for f in found], pa.list_(t)) for k, t in ((3, pa.int32()), (4, pa.int32()), (5, pa.float64()), (6, pa.int32()))]
+    keys = [pa.array([f[k] for f in found], pa.int32()) for k in range(3)]
+    sizes = [pa.array([len(f[3]) for f in found], pa.int32()), pa.array([len(f[6]) // 3 for f in found], pa.int32())]
+    return pa.RecordBatch.from_arrays([*keys, *sizes, *lists], ["l", "x", "y", "vertices", "triangles", "u", "v", "h", "indices"])
 
-    A tile's samples are bounded by its grid, so a group is of bounded size; no tile waits for another.
-    """
 
-    def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        n = int(max(pdf["i"].max(), pdf["j"].max())) + 1
-        z = np.zeros((n, n))
-        z[pdf["j"].to_numpy(), pdf["i"].to_numpy()] = pdf["z"].to_numpy()
+def _first_use(tri: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of vertices by first use, as the index code wants them, and triangles with these numbers."""
+    _, first = np.unique(tri.ravel(), return_index=True)
+    order = tri.ravel()[np.sort(first)]
+    rank = np.empty(int(order.max()) + 1, np.int64)
+    rank[order] = np.arange(len(order))
+    return order, rank[tri]
+
+
+def meshes(tiles: DataFrame, limits: dict[int, tuple[float, Limits | None]], grid: int = GRID, halo: int = 1) -> DataFrame:
+    """One mesh (l, x, y, vertices, triangles, u, v, h, indices) for each tile (l, x, y, elev) of ``rasters.sampled_tiles``; no
+    tile waits for another. limits: for each depth what a surface may deviate, and the depth's other limits."""
+
+    def one(l: int, x: int, y: int, elev: np.ndarray) -> tuple:  # noqa: E741
+        n = int(round(len(elev) ** 0.5))
+        whole = elev.astype(float).reshape(n, n)
+        inner = whole[halo : n - halo, halo : n - halo] if halo else whole
+        m = len(inner)
 
         def surface(col: np.ndarray, row: np.ndarray) -> np.ndarray:
-            c, r = np.clip(col * n / grid - 0.5, 0, n - 1), np.clip(row * n / grid - 0.5, 0, n - 1)  # samples are pixel centres
+            # Samples are pixel centres.
+            c, r = np.clip(col * m / grid - 0.5 + halo, 0, n - 1), np.clip(row * m / grid - 0.5 + halo, 0, n - 1)
             i, j = np.minimum(c.astype(int), n - 2), np.minimum(r.astype(int), n - 2)
             dx, dy = c - i, r - j
-            return (z[j, i] * (1 - dx) + z[j, i + 1] * dx) * (1 - dy) + (z[j + 1, i] * (1 - dx) + z[j + 1, i + 1] * dx) * dy
+            return (whole[j, i] * (1 - dx) + whole[j, i + 1] * dx) * (1 - dy) + (whole[j + 1, i] * (1 - dx) + whole[j + 1, i + 1] * dx) * dy
 
-        at, tri = bisected(allowed, surface, grid=grid, heights=z, limits=limits, tile=(int(key[1]), int(key[2])))
-        order = pd.unique(tri.ravel())  # vertices by first use, as the index code wants
-        rank = np.empty(len(at), np.int64)
-        rank[order] = np.arange(len(order))
-        at, tri = at[order], rank[tri]
+        allowed, more = limits[l]
+        at, tri = bisected(allowed, surface, grid=grid, heights=inner, limits=more, tile=(x, y))
+        order, tri = _first_use(tri)
+        at = at[order]
         h = surface(at[:, 0].astype(float), at[:, 1].astype(float))
-        quant = lambda c: (c * 32767 // grid).astype(int).tolist()
-        return pd.DataFrame([{"l": key[0], "x": key[1], "y": key[2], "vertices": len(at), "triangles": len(tri), "u": quant(at[:, 0]), "v": quant(at[:, 1]), "h": h.tolist(), "indices": tri.ravel().tolist()}])
+        return l, x, y, at[:, 0] * 32767 // grid, at[:, 1] * 32767 // grid, h, tri.ravel()
 
-    return samples.groupBy("l", "x", "y").applyInPandas(one, "l int, x int, y int, vertices int, triangles int, u array<int>, v array<int>, h array<double>, indices array<int>")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(b.num_rows):
+                key = (b.column(c)[k].as_py() for c in range(3))
+                yield _mesh_rows([one(*key, b.column(3)[k].values.to_numpy(zero_copy_only=False))])
+
+    return tiles.select("l", "x", "y", "elev").mapInArrow(run, _MESH)
+
+
+_FULL = 32767
+# A tile's sides in the order of the tile format, and the step to the neighbour beyond each.
+_SIDES = {"west": (-1, 0), "south": (0, -1), "east": (1, 0), "north": (0, 1)}
+
+
+def _on_side(side: str, u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which vertices are on a side, and their places along it."""
+    return {"west": (u == 0, v), "south": (v == 0, u), "east": (u == _FULL, v), "north": (v == _FULL, u)}[side]
+
+
+def with_border(u: np.ndarray, v: np.ndarray, h: np.ndarray, tri: np.ndarray, side: str, places: np.ndarray, heights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A mesh with vertices at all these places of a side: triangles with an edge there become fans."""
+    there, along = _on_side(side, u, v)
+    have = dict(zip(along[there].tolist(), np.flatnonzero(there).tolist()))
+    new = [(p, z) for p, z in zip(places.tolist(), heights.tolist()) if p not in have]
+    if not new:
+        return u, v, h, tri
+    fixed = {"west": 0, "south": 0, "east": _FULL, "north": _FULL}[side]
+    p, z = np.array([p for p, _ in new]), np.array([z for _, z in new])
+    flat = np.full(len(new), fixed)
+    have |= dict(zip(p.tolist(), range(len(u), len(u) + len(new))))
+    upright = side in ("west", "east")
+    u, v, h = np.concatenate([u, flat if upright else p]), np.concatenate([v, p if upright else flat]), np.concatenate([h, z])
+    there, along = _on_side(side, u, v)
+    ordered = np.array(sorted(have))
+    on = there[tri]
+    rim = on.sum(axis=1) >= 2
+    out = []
+    for t, o in zip(tri[rim].tolist(), on[rim].tolist()):
+        k = next(k for k in range(3) if o[k] and o[(k + 1) % 3])
+        a, b, c = t[k], t[(k + 1) % 3], t[(k + 2) % 3]
+        low, high = sorted((int(along[a]), int(along[b])))
+        between = ordered[(ordered > low) & (ordered < high)].tolist()
+        line = [a, *(have[q] for q in (between if along[a] < along[b] else between[::-1])), b]
+        out += [(p0, p1, c) for p0, p1 in zip(line, line[1:])]
+    return u, v, h, np.concatenate([tri[~rim], np.array(out, np.int64).reshape(-1, 3)])
+
+
+def closed(tiles: DataFrame) -> DataFrame:
+    """Meshes with the border vertices of their neighbours of the same depth, around the date line too: both sides of a common
+    border have the same vertices and heights. One exchange of border vertices; corners count for both their sides."""
+
+    def borders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows: list[tuple] = []
+            for t in b.to_pylist():
+                u, v, h = np.array(t["u"]), np.array(t["v"]), np.array(t["h"])
+                for side, (dx, dy) in _SIDES.items():
+                    there, along = _on_side(side, u, v)
+                    other = {"west": "east", "east": "west", "south": "north", "north": "south"}[side]
+                    x, y = (t["x"] + dx) % 2 ** (t["l"] + 1), t["y"] + dy
+                    if 0 <= y < 2 ** t["l"]:
+                        rows.append((t["l"], x, y, other, along[there].tolist(), h[there].tolist()))
+            kinds = [pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.float64())]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], ["l", "x", "y", "side", "places", "heights"])
+
+    found = tiles.select("l", "x", "y", "u", "v", "h").mapInArrow(borders, "l int, x int, y int, side string, places array<int>, heights array<double>")
+    around = found.groupBy("l", "x", "y").agg(F.collect_list(F.struct("side", "places", "heights")).alias("around"))  # four sides
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for t in b.to_pylist():
+                u, v, h, tri = np.array(t["u"]), np.array(t["v"]), np.array(t["h"]), np.array(t["indices"]).reshape(-1, 3)
+                for s in sorted(t["around"] or [], key=lambda s: s["side"]):
+                    u, v, h, tri = with_border(u, v, h, tri, s["side"], np.array(s["places"], np.int64), np.array(s["heights"]))
+                order, tri = _first_use(tri)
+                yield _mesh_rows([(t["l"], t["x"], t["y"], u[order], v[order], h[order], tri.ravel())])
+
+    return tiles.join(around, ["l", "x", "y"], "left").select("l", "x", "y", "u", "v", "h", "indices", "around").mapInArrow(join, _MESH)
+
+
+def cracks(tiles: DataFrame) -> DataFrame:
+    """l, pairs, cracked: neighbouring tiles of each depth whose common border differs in its vertices or heights."""
+    on = lambda c, v: F.filter(F.arrays_zip("u", "v", "h"), lambda p: p[c] == v)
+    line = lambda c, v, along: F.array_sort(F.transform(on(c, v), lambda p: F.struct(p[along].alias("at"), p["h"].alias("h"))))
+    out = None
+    for (c, far, along), step in ((("u", _FULL, "v"), (1, 0)), (("v", _FULL, "u"), (0, 1))):
+        wide = F.pow(F.lit(2), F.col("l") + 1).cast("int")
+        own = tiles.select("l", F.pmod(F.col("x") + step[0], wide).alias("x"), (F.col("y") + step[1]).alias("y"), line(c, far, along).alias("a"))
+        other = tiles.select("l", "x", "y", line(c, 0, along).alias("b"))
+        pairs = own.join(other, ["l", "x", "y"]).select("l", (F.col("a") != F.col("b")).alias("cracked"))
+        out = pairs if out is None else out.union(pairs)
+    return out.groupBy("l").agg(F.count("*").alias("pairs"), F.count_if("cracked").alias("cracked"))
 
 
 # The tile format: little-endian, 88 bytes of header, then zig-zag deltas, high-water indices and border lists.
@@ -203,8 +318,8 @@ def _unzigzag(code: np.ndarray) -> np.ndarray:
     return np.cumsum((c >> 1) ^ -(c & 1)) & 0xFFFF
 
 
-def encode_tile(centre: tuple, low: float, high: float, sphere: tuple, occlusion: tuple, u: np.ndarray, v: np.ndarray, h: np.ndarray, indices: np.ndarray) -> bytes:
-    """One tile's bytes; h in metres is quantised between low and high."""
+def encode_tile(centre: tuple, low: float, high: float, sphere: tuple, occlusion: tuple, u: np.ndarray, v: np.ndarray, h: np.ndarray, indices: np.ndarray, normals: np.ndarray | None = None) -> bytes:
+    """One tile's bytes; h in metres is quantised between low and high. normals: two bytes a vertex, an extension of the format."""
     q = np.zeros(len(h), np.int64) if high <= low else ((np.asarray(h) - low) * 32767 / (high - low)).astype(np.int64)
     u, v, indices = np.asarray(u, np.int64), np.asarray(v, np.int64), np.asarray(indices, np.int64)
     kind = "<u4" if len(u) > 65536 else "<u2"
@@ -215,9 +330,30 @@ def encode_tile(centre: tuple, low: float, high: float, sphere: tuple, occlusion
         at = np.flatnonzero(edge)
         at = at[np.argsort(along[at], kind="stable")]
         out += [struct.pack("<i", len(at)), at.astype(kind).tobytes()]
+    if normals is not None:  # fixed value of the format: extension 1 holds normals
+        out += [struct.pack("<BI", 1, 2 * len(u)), np.asarray(normals, np.uint8).tobytes()]
     return b"".join(out)
 
 
+def oct_normals(normals: np.ndarray) -> np.ndarray:
+    """Unit normals (n, 3) as two bytes each: on an octahedron, its lower half folded out."""
+    flat = normals[:, :2] / np.abs(normals).sum(axis=1, keepdims=True)
+    sign = np.where(flat >= 0, 1.0, -1.0)
+    flat = np.where(normals[:, 2:] <= 0, (1.0 - np.abs(flat[:, ::-1])) * sign, flat)
+    return np.floor((np.clip(flat, -1, 1) * 0.5 + 0.5) * 255 + 0.5).astype(np.uint8)
+
+
+def _vertex_normals(at: np.ndarray, tri: np.ndarray) -> np.ndarray:
+    """Unit sums of the unit normals of the faces around each vertex; up where there is no face."""
+    n = np.cross(at[tri[:, 1]] - at[tri[:, 0]], at[tri[:, 2]] - at[tri[:, 0]])
+    n /= np.maximum(np.linalg.norm(n, axis=1, keepdims=True), 1e-300)
+    total = np.zeros_like(at)
+    for k in range(3):
+        np.add.at(total, tri[:, k], n)
+    size = np.linalg.norm(total, axis=1, keepdims=True)
+    return np.where(size > 0, total / np.maximum(size, 1e-300), at / np.linalg.norm(at, axis=1, keepdims=True))
+
+
 def decode_tile(raw: bytes) -> dict:
     """The parts of a tile's bytes."""
     head = struct.unpack_from("<3d2f4d3d", raw)
@@ -238,8 +374,13 @@ def decode_tile(raw: bytes) -> dict:
         indices[k] = highest - c
         highest += c == 0
     edges = [take(kind, int(take("<i4", 1)[0])).astype(np.int64) for _ in range(4)]
+    extensions = {}
+    while at + 5 <= len(raw):
+        name, size = struct.unpack_from("<BI", raw, at)
+        extensions[name] = raw[at + 5 : at + 5 + size]
+        at += 5 + size
     low, high = head[3], head[4]
-    return {"centre": head[:3], "low": low, "high": high, "sphere": head[5:9], "occlusion": head[9:], "u": u, "v": v, "h": low + q * (high - low) / 32767, "indices": indices, "edges": edges}
+    return {"centre": head[:3], "low": low, "high": high, "sphere": head[5:9], "occlusion": head[9:], "u": u, "v": v, "h": low + q * (high - low) / 32767, "indices": indices, "edges": edges, "normals": np.frombuffer(extensions[1], np.uint8).reshape(-1, 2) if 1 in extensions else None}
 
 
 def _ecef(lon: np.ndarray, lat: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -251,8 +392,8 @@ def _ecef(lon: np.ndarray, lat: np.ndarray, h: np.ndarray) -> np.ndarray:
     return np.stack([(n + h) * np.cos(lat) * np.cos(lon), (n + h) * np.cos(lat) * np.sin(lon), (n * (1 - e2) + h) * np.sin(lat)], axis=-1)
 
 
-def blobs(tiles: DataFrame) -> DataFrame:
-    """l, x, y and the bytes of each tile of meshes."""
+def blobs(tiles: DataFrame, normals: bool = False) -> DataFrame:
+    """l, x, y and the bytes of each tile of meshes, with vertex normals if they are asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -268,7 +409,8 @@ def blobs(tiles: DataFrame) -> DataFrame:
                 mid = _ecef(np.array(west + side / 2), np.array(south + side / 2), np.array((low + high) / 2))
                 lat, lon = np.radians(south + side / 2), np.radians(west + side / 2)
                 up = np.array([np.cos(lat) * np.cos(lon), np.cos(lat) * np.sin(lon), np.sin(lat)])
-                raw.append(encode_tile(tuple(mid), low, high, (*box, radius), tuple(box + up * radius), u, v, h, np.array(t["indices"])))
+                codes = oct_normals(_vertex_normals(at, np.array(t["indices"]).reshape(-1, 3))) if normals else None
+                raw.append(encode_tile(tuple(mid), low, high, (*box, radius), tuple(box + up * radius), u, v, h, np.array(t["indices"]), codes))
             yield pa.RecordBatch.from_arrays([batch.column("l"), batch.column("x"), batch.column("y"), pa.array(raw, pa.binary())], ["l", "x", "y", "blob"])
 
     return tiles.select("l", "x", "y", "u", "v", "h", "indices").mapInArrow(run, "l int, x int, y int, blob binary")
@@ -286,17 +428,37 @@ def decoded(tiles: DataFrame) -> DataFrame:
     return tiles.select("l", "x", "y", "blob").mapInArrow(run, "l int, x int, y int, u array<int>, v array<int>, h array<double>, indices array<int>")
 
 
-def pyramid(rasters: DataFrame, cells: DataFrame, max_depth: int, intensity: float = 4.0, samples: int = 256) -> DataFrame:
-    """Meshes of all tiles of depths 0 to max_depth that the rasters touch."""
+def levels(rasters: DataFrame, cells: DataFrame, depths: list[int], tiles: DataFrame | None = None, intensity: float = 4.0, samples: int = 256) -> DataFrame:
+    """Meshes of some depths, borders closed: of these tiles (l, x, y), or of all that the rasters touch. Depths that read the
+    rasters as they are share their blocks; the others read them resized."""
     from . import ranges as R
-    from .sampling import tile_rasters
+    from . import rasters as Q
 
     spark = rasters.sparkSession
+    table = {r["depth"]: r for r in T.thresholds(spark, intensity).where(F.col("depth").isin(depths)).collect()}  # 29 depths at most
+    if tiles is None:
+        boxes = rasters.select("min_lon", "min_lat", "max_lon", "max_lat", F.explode(F.array(*map(F.lit, depths))).alias("at"))
+        tiles = R.union(R.of_extents(boxes, F.col("at")).select("depth", *R.BOUNDS)).select(F.col("depth").alias("l"), "x", "y")
     extent = tuple(rasters.agg(F.min("min_lon"), F.min("min_lat"), F.max("max_lon"), F.max("max_lat")).first())
-    out = None
-    for row in T.thresholds(spark, intensity).where(F.col("depth") <= max_depth).orderBy("depth").collect():
-        cover = R.of_extents(rasters.select("min_lon", "min_lat", "max_lon", "max_lat"), F.lit(row["depth"])).select("depth", *R.BOUNDS)
-        tiles = R.union(cover).select(F.col("depth").alias("l"), "x", "y")
-        level = meshes(tile_rasters(tiles, rasters, cells, samples), row["max_diff"], limits=Limits(row["depth"], row["tile_size"], row["min_side"], row["max_side"], extent))
-        out = level if out is None else out.unionByName(level)
-    return out
+    plan = Q.resize_plan(spark, rasters, max(depths), intensity)
+    small = {r["depth"] for r in plan.where("share < 1").select("depth").distinct().collect()}
+    plain = [d for d in depths if d not in small]
+    found = Q.placed_blocks(rasters, cells, plain, samples, 1) if plain else None
+    for d in depths:
+        if d in small:
+            one = Q.placed_blocks(*Q.at_depth(plan, rasters, cells, d), [d], samples, 1)
+            found = one if found is None else found.unionByName(one)
+    limits = {d: (r["max_diff"], Limits(d, r["tile_size"], r["min_side"], r["max_side"], extent)) for d, r in table.items()}
+    return closed(checkpointed(meshes(Q.sampled(tiles, found, samples, 1), limits)))
+
+
+def pyramid(rasters: DataFrame, cells: DataFrame, max_depth: int, intensity: float = 4.0, samples: int = 256, min_depth: int = 0) -> DataFrame:
+    """Meshes of all tiles of depths min_depth to max_depth that the rasters touch."""
+    return levels(rasters, cells, list(range(min_depth, max_depth + 1)), None, intensity, samples)
+
+
+def max_depth_of(rasters: DataFrame) -> int:
+    """The depth whose tiles are as fine as the finest raster."""
+    from . import rasters as Q
+
+    return rasters.select(T.depth_of_pixel(Q.pixel_metres()).alias("d")).agg(F.coalesce(F.max("d"), F.lit(0))).first()[0]

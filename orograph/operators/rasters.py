@@ -6,6 +6,8 @@ columns stay together in a row, so turning, cutting and resizing are one join of
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -146,6 +148,94 @@ def standardised(rasters: DataFrame, cells: DataFrame, geoid: tuple[DataFrame, D
     return rasters, S.rows_of(S.with_geoid(flat, aligned(*geoid, rasters), no_data))
 
 
+# Tiles sampled block by block
+
+
+def sampled_tiles(tiles: DataFrame, rasters: DataFrame, cells: DataFrame, samples: int = 256, halo: int = 0, no_data: float = S.NO_DATA) -> DataFrame:
+    """Heights (l, x, y, elev) of tiles (l, x, y): samples x samples pixel centres and halo more around them, rows from the south,
+    as ``sampling.bilinear`` and ``sampling.by_priority`` give them. Beyond the date line the globe goes on; beyond a pole the last row does.
+
+    Blocks go to the tiles that they touch, and each tile is sampled by itself from its own: what is exchanged is the
+    rasters' blocks, not a row for each sample. Rasters should be about as fine as the tiles (``at_depth``), so that few blocks touch a tile.
+    """
+    levels = [r[0] for r in tiles.select("l").distinct().limit(T.MAX_DEPTH + 1).collect()]
+    return sampled(tiles, placed_blocks(rasters, cells, levels, samples, halo), samples, halo, no_data)
+
+
+def placed_blocks(rasters: DataFrame, cells: DataFrame, levels: list[int], samples: int = 256, halo: int = 0) -> DataFrame:
+    """The blocks of rasters with the tiles (l, x, y) of these depths that touch them or come near by the halo."""
+    size = S.BLOCK
+    crs = F.col("crs") if "crs" in rasters.columns else F.lit(4326)
+    none = F.col("no_data") if "no_data" in rasters.columns else F.lit(None).cast("double")
+    meta = rasters.select(F.col("raster").alias("__m"), "width", "height", *EXTENT, S.pixel_area().alias("area"), F.coalesce(crs, F.lit(4326)).alias("crs"), none.alias("no_data"))
+    b = S.blocks(cells, size).join(meta, F.col("raster") == F.col("__m")).drop("__m")
+    part = lambda k, n, step: F.least(F.lit(1.0), (F.col(k) + step) * float(size) / F.col(n))
+    (x0, x1), (y0, y1) = ((part(k, n, 0), part(k, n, 1)) for k, n in (("bx", "width"), ("by", "height")))
+    y = lambda lat: G.mercator(F.lit(0.0), lat)[1]
+    west, east = (F.col("min_lon") + s * (F.col("max_lon") - F.col("min_lon")) for s in (x0, x1))
+    flat = lambda s: F.col("max_lat") - s * (F.col("max_lat") - F.col("min_lat"))
+    bent = lambda s: G.from_mercator(F.lit(0.0), y(F.col("max_lat")) - s * (y(F.col("max_lat")) - y(F.col("min_lat"))))[1]
+    lat = lambda s: F.when(F.col("crs") == 3857, bent(s)).otherwise(flat(s))
+    placed = b.withColumns({"__w": west, "__e": east, "__n": lat(y0), "__s": lat(y1)})
+    each = placed.withColumn("l", F.explode(F.array(*map(F.lit, levels)))) if levels else placed.withColumn("l", F.lit(0)).limit(0)
+    d, margin = F.col("l"), T.angle(F.col("l")) / float(samples) * (halo + 1)
+    last = F.pow(F.lit(2), d + 1).cast("int") - 1
+    across = F.sequence(T.tile_x(F.col("__w") - margin, d), T.tile_x(F.col("__e") + margin, d))
+    around = F.concat(across, F.when(F.col("__e") + margin >= 180.0, F.array(F.lit(0))).otherwise(F.array().cast("array<int>")), F.when(F.col("__w") - margin <= -180.0, F.array(last)).otherwise(F.array().cast("array<int>")))
+    each = each.withColumn("x", F.explode(F.array_distinct(around))).withColumn("y", F.explode(F.sequence(T.tile_y(F.col("__s") - margin, d), T.tile_y(F.col("__n") + margin, d))))
+    number = next(f.dataType for f in rasters.schema if f.name == "raster").typeName() in ("integer", "long", "short", "byte")
+    rank = F.lpad(F.col("raster").cast("string"), 20, "0") if number else F.col("raster").cast("string")  # in the order of rasters
+    return each.select("l", "x", "y", "area", rank.alias("raster"), "by", "bx", "width", "height", *EXTENT, "crs", "no_data", F.flatten("data").alias("data"), F.size(F.get("data", F.lit(0))).alias("wide"))
+
+
+def sampled(tiles: DataFrame, blocks: DataFrame, samples: int = 256, halo: int = 0, no_data: float = S.NO_DATA) -> DataFrame:
+    """Heights of tiles from the blocks placed at them."""
+    size = S.BLOCK
+
+    def sample(wanted: pa.Table, found: pa.Table) -> pa.Table:
+        if not len(wanted):
+            return wanted.select(["l", "x", "y"]).append_column("elev", pa.array([], pa.list_(pa.float32())))
+        l, tx, ty = (wanted.column(c)[0].as_py() for c in ("l", "x", "y"))
+        angle, n = 180.0 / 2**l, samples + 2 * halo
+        at = (np.arange(-halo, samples + halo) + 0.5) * (angle / samples)
+        lon = (angle * tx - 180.0 + at + 180.0) % 360.0 - 180.0 if halo else angle * tx - 180.0 + at
+        half = angle / samples / 2
+        lats = np.clip(angle * ty - 90.0 + at, -90.0 + half, 90.0 - half) if halo else angle * ty - 90.0 + at
+        z, known = np.zeros((n, n), np.float32), np.zeros((n, n), bool)
+        about = found.drop(["data"]).to_pylist()
+        for k in sorted(range(len(about)), key=lambda i: (about[i]["area"], about[i]["raster"])):
+            r = about[k]
+            data = found.column("data")[k].values.to_numpy(zero_copy_only=False).astype(float).reshape(-1, r["wide"])
+            inside = lambda v, low, high: (v >= low) & (v <= high)
+            fx = (lon - r["min_lon"]) / (r["max_lon"] - r["min_lon"]) * r["width"]
+            if r["crs"] == 3857:
+                m = lambda v: np.arcsinh(np.tan(np.radians(v)))
+                fy = (1.0 - (m(lats) - m(r["min_lat"])) / (m(r["max_lat"]) - m(r["min_lat"]))) * r["height"]
+            else:
+                fy = (1.0 - (lats - r["min_lat"]) / (r["max_lat"] - r["min_lat"])) * r["height"]
+            cx, cy = np.clip(np.floor(fx), 0, r["width"] - 1).astype(int), np.clip(np.floor(fy), 0, r["height"] - 1).astype(int)
+            i = np.flatnonzero(inside(lon, r["min_lon"], r["max_lon"]) & (cx // size == r["bx"]))
+            j = np.flatnonzero(inside(lats, r["min_lat"], r["max_lat"]) & (cy // size == r["by"]))
+            if not len(i) or not len(j):
+                continue
+            near = lambda c, step, end, block: np.minimum(c + step, end - 1) - block * size
+            rows_, cols = [near(cy[j], s, r["height"], r["by"]) for s in (0, 1)], [near(cx[i], s, r["width"], r["bx"]) for s in (0, 1)]
+            a, b_, c, e = (data[np.ix_(p, q)] for p in rows_ for q in cols)
+            dx, dy = (fx[i] - np.floor(fx[i]))[None, :], (fy[j] - np.floor(fy[j]))[:, None]
+            hole = lambda v: np.isnan(v) | (v <= no_data) | (v == r["no_data"] if r["no_data"] is not None else False)  # noqa: E731, B023
+            mixed = (a * (1 - dx) + b_ * dx) * (1 - dy) + (c * (1 - dx) + e * dx) * dy
+            got = np.where(hole(a), no_data, np.where(hole(b_) | hole(c) | hole(e), a, mixed))
+            here = np.ix_(j, i)
+            z[here] = np.where(known[here], z[here], got)
+            known[here] = True
+        flat_z = pa.ListArray.from_arrays(pa.array([0, n * n], pa.int32()), pa.array(z.ravel()))
+        return pa.table([pa.array([l], pa.int32()), pa.array([tx], pa.int32()), pa.array([ty], pa.int32()), flat_z], ["l", "x", "y", "elev"])
+
+    keys = ["l", "x", "y"]
+    whole = tiles.select(*(F.col(k).cast("int").alias(k) for k in keys)).distinct()
+    return whole.groupBy(*keys).cogroup(blocks.groupBy(*keys)).applyInArrow(sample, "l int, x int, y int, elev array<float>")
+
+
 # A tile's own raster: samples x samples heights, row 0 in the south, as one array of floats
 
 

@@ -102,7 +102,8 @@ def tile_raster_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Heights of the two tiles at depth 0, sampled 256 x 256 times each."""
     roots = spark.range(2).select(F.lit(0).alias("l"), F.col("id").cast("int").alias("x"), F.lit(0).alias("y"))
     z = F.col("z").cast("double")
-    stats = S.tile_rasters(roots, A.rasters(spark, sf_dir), _rows(spark, sf_dir)).groupBy("l", "x", "y")
+    rows = Q.sampled_tiles(roots, A.rasters(spark, sf_dir), _rows(spark, sf_dir)).select("l", "x", "y", F.explode("elev").alias("z"))
+    stats = rows.groupBy("l", "x", "y")
     return stats.agg(F.count("*").alias("n"), F.count_if(z != 0).alias("hit"), F.round(F.min(z), 3).alias("low"), F.round(F.max(z), 3).alias("high"), F.round(F.avg(z), 3).alias("mean"))
 
 
