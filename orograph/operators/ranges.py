@@ -100,8 +100,9 @@ def relation(a: str, b: str) -> Column:
     return out.when(apart, "NO_INTERSECTION").otherwise("UNKNOWN")
 
 
-def layer_json(ranges: DataFrame, name: str = "terrain", normals: bool = False) -> DataFrame:
-    """One row with the layer descriptor of all ranges: its available tiles by depth."""
+def layer_json(ranges: DataFrame, name: str = "terrain", normals: bool = False, extensions: list[str] = ()) -> DataFrame:
+    """One row with the layer descriptor of all ranges: its available tiles by depth, and the extensions that tiles have."""
+    extensions = ["octvertexnormals"] if normals and not extensions else list(extensions)
     each = F.struct(F.col("min_x").alias("startX"), F.col("max_x").alias("endX"), F.col("min_y").alias("startY"), F.col("max_y").alias("endY"))
     by_depth = ranges.groupBy("depth").agg(F.array_sort(F.collect_set(each)).alias("available"))
     filled = F.sequence(F.lit(0), F.max("depth"))
@@ -110,8 +111,8 @@ def layer_json(ranges: DataFrame, name: str = "terrain", normals: bool = False)
     # Fixed values of the descriptor.
     head = {"tilejson": "2.1.0", "name": name, "description": "", "version": "1.1.0", "format": "quantized-mesh-1.0", "attribution": "", "template": "terrain", "legend": "", "scheme": "tms", "projection": "EPSG:4326"}
     parts = [*(F.lit(v).alias(k) for k, v in head.items()), F.array(F.lit("{z}/{x}/{y}.terrain?v={version}")).alias("tiles"), F.array(*map(F.lit, (-180.0, -90.0, 180.0, 90.0))).alias("bounds")]
-    if normals:
-        parts.append(F.array(F.lit("octvertexnormals")).alias("extensions"))
+    if extensions:
+        parts.append(F.array(*map(F.lit, extensions)).alias("extensions"))
     return rows.select(F.to_json(F.struct(*parts, "available")).alias("json"))
 
 

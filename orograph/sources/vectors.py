@@ -43,6 +43,13 @@ def tile_tree(spark: SparkSession, folder: str) -> DataFrame:
     return files.where(F.col("path").rlike(r"/\d+/\d+/\d+\.terrain$")).select(at(1).alias("depth"), at(2).alias("x"), at(3).alias("y"), F.col("content").alias("blob"))
 
 
+def tile_tree_or_none(spark: SparkSession, folder: str) -> DataFrame | None:
+    """The tiles of a tree, or None if there is no such folder yet."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return tile_tree(spark, folder) if files.exists(path) else None
+
+
 def tree_ranges(tiles: DataFrame) -> DataFrame:
     """Available ranges of a tile tree: the hull of each depth."""
     return tiles.groupBy("depth").agg(F.min("x").alias("min_x"), F.max("x").alias("max_x"), F.min("y").alias("min_y"), F.max("y").alias("max_y"))
