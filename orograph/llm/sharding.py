@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 from .common import table
 
 SHARDS = 16
-PART_ROWS = 50_000
+PART_ROWS = 20_000
 MAX_PARTS = 1 << 16
-"""Beyond MAX_PARTS * PART_ROWS rows (3.3 billion) parts grow with the rows; a part is sorted by one task, which spills."""
+"""Beyond MAX_PARTS * PART_ROWS rows (1.3 billion) parts grow with the rows; a part is sorted by one task, which spills."""
 SEED = 20_26
 
 

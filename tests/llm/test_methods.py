@@ -403,3 +403,27 @@ def test_toxicity_scores_by_plain_python(spark, docs):
     got = {r["doc_id"]: r for r in toxicity.score(rows, model).collect()}
     assert all(abs(got[i]["score"] - plain(t)) < 1e-6 for i, t in texts.items()) and got[-1]["score"] > 0.7 > got[-2]["score"] == 0
     assert [texts[-1][s["start"] : s["end"]] for s in got[-1]["sentences"]] == [" You vile rotten thing"]
+
+
+def test_kept_by_plain_python(spark, sf, docs):
+    """Every document through the learned list written out, over statistics counted by hand."""
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    rules = quality_rules.learned(docs, labels)
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    got = {r["doc_id"]: r for r in quality_rules.op9_decision_list(spark, sf).collect()}
+
+    def measured(t):
+        words, lines = WORDS.findall(t), [x for x in t.split("\n") if WORDS.search(x)]
+        n, chars = max(1, len(words)), max(1, sum(map(len, words)))
+        windows = Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+        inside = {i + k for i in range(len(words) - 4) if windows[tuple(words[i : i + 5])] > 1 for k in range(5)}
+        count = lambda kind: len(re.findall(kind, t))
+        shares = {"mean_word": sum(map(len, words)) / n, "symbols": count(r"[#*$%&|<>]") / n, "dup_lines": (len(lines) - len(set(lines))) / max(1, len(lines)), "repeats": len(inside) / n, "line_words": len(words) / max(1, len(lines))}
+        shares |= {"upper": count("[A-Z]") / chars, "digits": count("[0-9]") / chars, "stops": count("[.!?]") / n, "pipes": count(r"\|") / n, "words": float(len(words))}
+        return shares, len(words) < 10 or 100 * len(inside) > 20 * len(words)
+
+    assert rules and len(got) == len(texts)
+    for i, t in texts.items():
+        x, failed = measured(t)
+        rejected = any(all(x[c.feature] >= c.threshold if c.above else x[c.feature] < c.threshold for c in rule) for rule in rules)
+        assert (got[i]["base_failed"], got[i]["kept"]) == (failed, not failed and not rejected)
