@@ -405,8 +405,10 @@ def test_toxicity_scores_by_plain_python(spark, docs):
     assert [texts[-1][s["start"] : s["end"]] for s in got[-1]["sentences"]] == [" You vile rotten thing"]
 
 
-def test_kept_by_plain_python(spark, sf, docs):
+def test_kept_by_plain_python(spark):
     """Every document through the learned list written out, over statistics counted by hand."""
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
     labels = spark.read.parquet(f"{sf}/labels.parquet")
     rules = quality_rules.learned(docs, labels)
     texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
