@@ -139,3 +139,29 @@ def clamped_coordinate(u: Column, margin: float) -> Column:
 def point_count(area: Column, share: float, diameter: float) -> Column:
     """How many points of a diameter fill a share of an area."""
     return (area * share / (diameter * diameter)).cast("int")
+
+
+# Classes of surfaces by kind of city object, and their colours.
+COLOURS = {
+    "WALL": (0.5, 0.5, 0.5, 1.0), "ROOF": (1.0, 0.0, 0.0, 1.0), "DOOR": (0.0, 0.0, 1.0, 1.0), "WINDOW": (0.0, 1.0, 1.0, 0.5), "CEILING": (0.6, 0.6, 0.6, 1.0),
+    "FLOOR": (0.2, 0.2, 0.2, 1.0), "STAIRS": (0.4, 0.4, 0.4, 1.0), "GROUND": (0.0, 1.0, 0.0, 1.0), "WATER": (0.0, 0.0, 1.0, 0.5), "FURNITURE": (1.0, 0.05, 0.05, 1.0),
+    "INSTALLATION": (1.0, 0.5, 0.25, 1.0), "INFRASTRUCTURE": (1.0, 0.25, 0.0, 1.0), "UNKNOWN": (0.5, 0.5, 0.5, 1.0),
+}
+CITY_CLASSES = {
+    "CeilingSurface": "CEILING", "InteriorWallSurface": "WALL", "FloorSurface": "FLOOR", "GroundSurface": "FLOOR", "RoofSurface": "ROOF", "WallSurface": "WALL",
+    "ClosureSurface": "WINDOW", "DoorSurface": "DOOR", "WindowSurface": "WINDOW", "WaterSurface": "WATER", "WaterGroundSurface": "GROUND", "ReliefFeature": "GROUND",
+    "Building": "WALL", "BuildingFurniture": "FURNITURE", "BuildingInstallation": "INSTALLATION", "BuildingPart": "WALL", "BuildingRoom": "WALL",
+    "CityFurniture": "FURNITURE", "Bridge": "INFRASTRUCTURE", "BridgeFurniture": "FURNITURE", "BridgeInstallation": "INSTALLATION", "Tunnel": "INFRASTRUCTURE",
+    "TunnelFurniture": "FURNITURE", "TunnelInstallation": "INSTALLATION", "WaterBody": "WATER", "Railway": "WALL", "GenericOccupiedSpace": "FURNITURE",
+    "SolitaryVegetationObject": "GROUND", "Road": "FLOOR", "PlantCover": "INSTALLATION",
+}
+
+
+def city_class(kind: Column) -> Column:
+    """The class of a city object's or surface's kind; others are walls."""
+    return F.coalesce(F.element_at(F.create_map(*(F.lit(v) for pair in CITY_CLASSES.items() for v in pair)), kind), F.lit("WALL"))
+
+
+def class_colour(name: Column) -> Column:
+    """The colour (r, g, b, a) of a class."""
+    return F.element_at(F.create_map(*(c for k, v in COLOURS.items() for c in (F.lit(k), F.array(*map(F.lit, v))))), name)

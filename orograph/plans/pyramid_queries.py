@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import pyramid as P
 from ..sources import adapters as A
 from .raster_queries import _rows
+from .tile_queries import _range
 
 QUERIES, ORACLE = {}, {}
 
@@ -38,7 +39,10 @@ def quantized_mesh_blob(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.blobs(_meshes(spark, sf_dir)).select("l", "x", "y", F.octet_length("blob").alias("bytes"), F.crc32("blob").alias("crc"))
 
 
-@query()
+_COVER = f"r AS ({' UNION ALL '.join(f'SELECT {d} AS l, {_range(d)} FROM ras' for d in range(3))}), t AS (SELECT DISTINCT l::INT AS l, x::INT AS x, y::INT AS y FROM r, unnest(range(min_x, max_x + 1)) AS a(x), unnest(range(min_y, max_y + 1)) AS b(y) WHERE x < (2 << l) AND y < (1 << l))"
+
+
+@query(f"{A.oracle('ras')}, {_COVER} SELECT l, x, y, true AS same, true AS near FROM t")
 def mesh_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether tiles come back from their bytes as they were, heights within half a step."""
     was = _meshes(spark, sf_dir)

@@ -184,3 +184,19 @@ def test_city_and_indoor_models(spark, tmp_path):
     inside.mkdir()
     (inside / "i.gml").write_text(f'<IndoorFeatures xmlns="i" xmlns:gml="g"><cellSpaceMember><CellSpace gml:id="r1"><gml:Solid><gml:Polygon><gml:exterior><gml:LinearRing><gml:posList>{square}</gml:posList></gml:LinearRing></gml:exterior></gml:Polygon></gml:Solid></CellSpace></cellSpaceMember></IndoorFeatures>')
     assert [(r["id"], r["kind"]) for r in V.indoorgml(spark, str(inside)).collect()] == [("r1", "Polygon")]
+
+
+def test_point_clouds(spark, tmp_path):
+    from orograph.sources import clouds
+
+    rng = np.random.default_rng(3)
+    rows = [(float(x), float(y), float(z), int(r), int(g), int(b), int(i), int(c)) for x, y, z, r, g, b, i, c in zip(*rng.uniform(-50, 50, (3, 500)), *rng.integers(0, 256, (3, 500)), rng.integers(0, 65536, 500), rng.integers(-5, 5, 500))]
+    points = spark.createDataFrame(rows, "x double, y double, z double, r int, g int, b int, intensity int, class int")
+    assert clouds.write(points, str(tmp_path / "c"), 30.0, per_file=20) > 16
+    got = sorted(tuple(r)[1:] for r in clouds.read(spark, str(tmp_path / "c")).collect())
+    assert np.allclose(np.array(got)[:, :3], np.array(sorted(rows))[:, :3], atol=1e-4)
+    assert sorted(g[3:] for g in got) == sorted(r[3:] for r in rows)
+    with pytest.raises(ValueError, match="no number"):
+        clouds.encoded({"x": [float("nan")], "y": [0.0], "z": [0.0], "r": [0], "g": [0], "b": [0], "intensity": [0], "class": [0]}, (1, 1, 1), (0, 0, 0))
+    clouds.write_sets(points.withColumn("id", F.monotonically_increasing_id()), str(tmp_path / "s"), 100)
+    assert clouds.read_sets(spark, str(tmp_path / "s")).count() == 500 and len(list((tmp_path / "s").glob("set=*"))) == 5
