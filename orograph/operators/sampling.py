@@ -26,7 +26,7 @@ def pixel_area() -> Column:
 
 def _placed(points: DataFrame, rasters: DataFrame) -> DataFrame:
     """Each point with each raster that holds it, and its fractional column and row there."""
-    hit = spatial.points_in_extents(points, rasters.withColumn("area", pixel_area()), 30.0)
+    hit = spatial.points_in_extents(points, rasters.withColumn("area", pixel_area()))
     u = (F.col("lon") - F.col("e_min_lon")) / (F.col("e_max_lon") - F.col("e_min_lon"))
     v = F.lit(1.0) - (F.col("lat") - F.col("e_min_lat")) / (F.col("e_max_lat") - F.col("e_min_lat"))
     if "crs" in rasters.columns:

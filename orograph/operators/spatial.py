@@ -9,7 +9,16 @@ BROADCAST_ROWS = 100_000
 
 
 def _cell(v: Column, size: float, low: float) -> Column:
-    return F.floor((v - low) / size).cast("int")
+    return F.floor((v - low) / size).cast("long")
+
+
+def cell_size(*tables: DataFrame) -> float:
+    """Cells about as large as half of the extents are at most, so that a cell's extents are mostly neighbours; and not so small that
+    the largest extent lies in more than 100 by 100 of them."""
+    side = F.greatest(F.col("max_lon") - F.col("min_lon"), F.col("max_lat") - F.col("min_lat"))
+    found = [t.agg(F.percentile_approx(side, 0.5, 1000).alias("half"), F.max(side).alias("most")).first() for t in tables]
+    known = [r for r in found if r["most"] is not None]
+    return max([1e-6, *(max(r["half"], r["most"] / 100) for r in known)])
 
 
 def _in_cells(df: DataFrame, size: float) -> DataFrame:
@@ -23,11 +32,13 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
-def extents_meet(a: DataFrame, b: DataFrame, size: float = 5.0) -> DataFrame:
-    """Pairs of rows whose extents meet; touching counts. b's columns get the prefix b_.
+def extents_meet(a: DataFrame, b: DataFrame, size: float | None = None) -> DataFrame:
+    """Pairs of rows whose extents meet; touching counts. b's columns get the prefix b_. Cells of size degrees (None: as the
+    extents ask for) are joined by equality, and Spark splits those that hold more than others.
 
     A pair is found in one cell only, the one that holds the lower corner of what both share.
     """
+    size = size or cell_size(a, b)
     left = _in_cells(a, size).alias("a")
     right = _in_cells(b, size).select(*(F.col(c).alias(c if c.startswith("__") else f"b_{c}") for c in [*b.columns, "__cx", "__cy"])).alias("b")
     meet = (F.col("min_lon") <= F.col("b_max_lon")) & (F.col("b_min_lon") <= F.col("max_lon")) & (F.col("min_lat") <= F.col("b_max_lat")) & (F.col("b_min_lat") <= F.col("max_lat"))
@@ -35,8 +46,9 @@ def extents_meet(a: DataFrame, b: DataFrame, size: float = 5.0) -> DataFrame:
     return left.join(right, ["__cx", "__cy"]).where(meet & once).drop("__cx", "__cy")
 
 
-def points_in_extents(points: DataFrame, extents: DataFrame, size: float = 5.0) -> DataFrame:
+def points_in_extents(points: DataFrame, extents: DataFrame, size: float | None = None) -> DataFrame:
     """Pairs of a point (lon, lat) and an extent that holds it, both ends inclusive; extents' columns get the prefix e_."""
+    size = size or cell_size(extents)
     right = _in_cells(extents, size).select(*(F.col(c).alias(c if c.startswith("__") else f"e_{c}") for c in [*extents.columns, "__cx", "__cy"]))
     left = points.withColumns({"__cx": _cell(F.col("lon"), size, -180.0), "__cy": _cell(F.col("lat"), size, -90.0)})
     inside = F.col("lon").between(F.col("e_min_lon"), F.col("e_max_lon")) & F.col("lat").between(F.col("e_min_lat"), F.col("e_max_lat"))
