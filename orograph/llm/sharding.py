@@ -68,7 +68,7 @@ def sharded(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, part_rows:
     spark = docs.sparkSession
     size, crc = _size(F.col("text")), _crc(F.col("text"))
     marks = [F.xxhash64("doc_id", size, crc, F.lit(seed * 8 + k)) for k in range(4)]
-    parts = min(MAX_PARTS, max(4 * shards, -(-docs.count() // part_rows)))
+    parts = min(MAX_PARTS, max(16 * shards, -(-docs.count() // part_rows)))
     # Rows of one doc_id and text are told apart by their other columns; maps have no hash.
     rest = F.xxhash64(*(F.col(f"`{f.name.replace('`', '``')}`") for f in docs.schema if "map<" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"))
     dealt = docs.select(F.struct("*").alias("row"), F.pmod(marks[0], F.lit(parts)).alias("__part"), F.struct(marks[1], "doc_id", size, crc, rest).alias("__order"), F.struct(marks[3], "doc_id", size, crc, rest).alias("__again"), F.pmod(marks[2], F.lit(max(1, parts // shards))).alias("__piece"))
