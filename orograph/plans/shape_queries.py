@@ -118,13 +118,13 @@ def shared_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""{A.oracle('tri')}, b AS (SELECT *, {_BOX} FROM tri WHERE id % 5 = 0), n AS (SELECT *, {_N} FROM b)
-  SELECT id, true AS own, (SELECT min(v) <= 0 AND max(v) >= 0 FROM (SELECT nx * (px - x0) + ny * (py - y0) + nz * (pz - z0 - 3.0::DOUBLE) AS v FROM (VALUES (min_x), (max_x)) AS a(px), (VALUES (min_y), (max_y)) AS c(py), (VALUES (min_z), (max_z)) AS d(pz))) AS lifted FROM n""")
+  SELECT id, true AS own, (SELECT min(v) <= 0 AND max(v) >= 0 FROM (SELECT nx * (px - x0) + ny * (py - y0) + nz * (pz - z0 - 2.73::DOUBLE) AS v FROM (VALUES (min_x), (max_x)) AS a(px), (VALUES (min_y), (max_y)) AS c(py), (VALUES (min_z), (max_z)) AS d(pz))) AS lifted FROM n""")
 def box_meetings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each fifth triangle's box: it meets its own triangle; does it meet that one's plane lifted by 3 metres?"""
+    """Each fifth triangle's box: it meets its own triangle; does it meet that one's plane lifted by 2.73 metres?"""
     b, (a, bb, c, d) = B.box(), M.plane()
     corners = [M.corner(k) for k in range(3)]
     rows = _boxes(spark, sf_dir).where("id % 5 = 0")
-    return rows.select("id", B.meets_triangle(b, corners).alias("own"), B.meets_plane(b, (a, bb, c, d - c * 3.0)).alias("lifted"))
+    return rows.select("id", B.meets_triangle(b, corners).alias("own"), B.meets_plane(b, (a, bb, c, d - c * 2.73)).alias("lifted"))
 
 
 @query(f"""{A.oracle('vox')} SELECT seq, (ix // 2 * 100 + iy // 2 * 10 + iz // 2)::INT AS parent, ix + 8 * iy + 64 * iz::BIGINT AS number, (CASE WHEN ix % 2 = 1 THEN CASE WHEN iy % 2 = 1 THEN 2 ELSE 1 END ELSE CASE WHEN iy % 2 = 1 THEN 3 ELSE 0 END END + 4 * (iz % 2))::INT AS child,
