@@ -138,6 +138,19 @@ def twins(faces: DataFrame) -> DataFrame:
     return ranked.select("a", "b", "face", "k", other("face").alias("twin_face"), other("k").alias("twin_k"))
 
 
+def loops(faces: DataFrame) -> DataFrame:
+    """Edges (face, k, a, b) with the number of the next and of the one before in their face, and the corner across from them."""
+    third = F.element_at(F.array("v0", "v1", "v2"), (F.col("k") + 2) % 3 + 1)
+    rows = edges(faces).join(faces, "face")
+    return rows.select("face", "k", "a", "b", ((F.col("k") + 1) % 3).alias("next_k"), ((F.col("k") + 2) % 3).alias("prev_k"), third.alias("across"))
+
+
+def adjacent_faces(faces: DataFrame) -> DataFrame:
+    """Pairs (face, other) of faces that share an edge, each way."""
+    t = twins(faces).where("twin_face IS NOT NULL AND twin_face <> face")
+    return t.select("face", F.col("twin_face").alias("other")).distinct()
+
+
 def border(faces: DataFrame) -> DataFrame:
     """The edges without a twin."""
     return twins(faces).where("twin_face IS NULL").drop("twin_face", "twin_k")

@@ -116,3 +116,19 @@ def compacted(faces: DataFrame) -> tuple[DataFrame, DataFrame]:
     for k in range(3):
         out = out.join(index.select(F.col("vertex").alias(f"v{k}"), F.col("index").alias(f"i{k}")), f"v{k}")
     return index, out.select("face", *(F.col(f"i{k}").alias(f"v{k}") for k in range(3)))
+
+
+def scattered(features: DataFrame, n: Column, seed: int = 0, tries: int = 16) -> DataFrame:
+    """id, k, x, y: up to n points within each feature's outer ring (id, ring), the same for equal ids and seeds on every run.
+
+    Candidates are dealt over the ring's box by a hash, tries for each point wanted; the first n of those inside count. A ring
+    that fills a small part of its box may get fewer.
+    """
+    at = lambda pick, c: pick(F.transform("ring", lambda p: p[c]))
+    rows = features.withColumns({"__n": n, "__x": at(F.array_min, "x"), "__y": at(F.array_min, "y"), "__w": at(F.array_max, "x") - at(F.array_min, "x"), "__h": at(F.array_max, "y") - at(F.array_min, "y")})
+    share = lambda k, axis: F.pmod(F.xxhash64(F.lit(seed), "id", k, F.lit(axis)), F.lit(1 << 30)) / float(1 << 30)
+    each = rows.where("__n > 0").withColumn("__k", F.explode(F.sequence(F.lit(0), F.col("__n") * tries - 1)))
+    each = each.withColumns({"x": F.col("__x") + share(F.col("__k"), 0) * F.col("__w"), "y": F.col("__y") + share(F.col("__k"), 1) * F.col("__h")})
+    inside = each.where(in_ring(F.col("ring"), F.col("x"), F.col("y")))
+    ranked = inside.withColumn("k", F.row_number().over(Window.partitionBy("id").orderBy("__k")) - 1)
+    return ranked.where(F.col("k") < F.col("__n")).select("id", "k", "x", "y")

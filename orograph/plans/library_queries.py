@@ -204,3 +204,33 @@ def up_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.agg(F.count("*").alias("points"), F.every(same).alias("upward"))
 
 
+
+
+@query(f"{A.oracle('face')}, e AS (SELECT face, unnest([v0, v1, v2]) AS a, unnest([v1, v2, v0]) AS b, unnest([v2, v0, v1]) AS c, unnest([0, 1, 2]) AS k FROM (SELECT min(face) AS face, v0, v1, v2 FROM face GROUP BY v0, v1, v2)) SELECT a, count(*) AS n, sum(c)::BIGINT AS across, sum(k)::BIGINT AS places FROM e GROUP BY a")
+def edge_loops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges from each corner, with the corners across from them."""
+    f = A.faces(spark, sf_dir).groupBy("v0", "v1", "v2").agg(F.min("face").alias("__f")).withColumn("face", F.monotonically_increasing_id())
+    g = M.loops(f.select("face", "v0", "v1", "v2"))
+    return g.groupBy("a").agg(F.count("*").alias("n"), F.sum("across").alias("across"), F.sum("k").alias("places"))
+
+
+@query("WITH f AS (SELECT face, unnest([a, b, c]) AS p, unnest([b, c, a]) AS q FROM (SELECT i AS face, a, b, c FROM (SELECT 2 * (j * 39 + i) AS i, j * 40 + i AS a, j * 40 + i + 1 AS b, j * 40 + i + 41 AS c FROM range(0, 39) AS x(i), range(0, 29) AS y(j) UNION ALL SELECT 2 * (j * 39 + i) + 1, j * 40 + i, j * 40 + i + 41, j * 40 + i + 40 FROM range(0, 39) AS x(i), range(0, 29) AS y(j)) AS t(i, a, b, c))) SELECT g.face, count(DISTINCT h.face) AS others FROM f g JOIN f h ON g.p = h.q AND g.q = h.p GROUP BY g.face")
+def face_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many faces each face of a net shares an edge with."""
+    from ..operators.cutting import regular_net
+
+    return M.adjacent_faces(regular_net(spark, 40, 30)).groupBy("face").agg(F.count("*").alias("others"))
+
+
+@query(f"{A.oracle('ext')} SELECT id, (id % 7)::BIGINT AS points, true AS inside FROM ext WHERE id % 7 > 0")
+def scattered_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points by seed in L-shaped rings over extents: as many as asked for, all inside."""
+    from ..operators import model as O
+
+    w, s, e, n = (F.col(c) for c in ("min_lon", "min_lat", "max_lon", "max_lat"))
+    point = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    cx, cy = (w + e) / 2.0, (s + n) / 2.0
+    ring = F.array(point(w, s), point(e, s), point(e, cy), point(cx, cy), point(cx, n), point(w, n))
+    f = A.extents(spark, sf_dir).select("id", ring.alias("ring"), cx.alias("cx"), cy.alias("cy"))
+    p = O.scattered(f, (F.col("id") % 7).cast("int"), 11, 48).join(f.select("id", "cx", "cy"), "id")
+    return p.groupBy("id").agg(F.count("*").alias("points"), F.every((F.col("x") <= F.col("cx")) | (F.col("y") <= F.col("cy"))).alias("inside"))

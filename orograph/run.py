@@ -75,6 +75,12 @@ def convert(spark: SparkSession, options: Options) -> dict[int, int]:
     return out
 
 
+def state(spark: SparkSession, options: Options, depth: int) -> DataFrame:
+    """The meshes (l, x, y, u, v, h, indices) of a depth as the output's finished tiles hold them."""
+    tree = vectors.tile_tree(spark, options.output).where(F.col("depth") == depth)
+    return P.decoded(tree.withColumnRenamed("depth", "l"))
+
+
 def modify(spark: SparkSession, options: Options, added: str) -> dict[int, int]:
     """Tiles that the rasters of a further folder touch, and those beside them, made again from the old rasters and the new;
     a new raster without data in a place leaves the old ones' heights there. How many were written by depth."""
@@ -115,4 +121,4 @@ def main(arguments: list[str]) -> None:
 if __name__ == "__main__":
     main(sys.argv[1:])
 
-__all__ = ["Options", "convert", "described", "main", "modify", "parsed", "prepared", "register", "wanted"]
+__all__ = ["Options", "convert", "described", "main", "modify", "parsed", "prepared", "register", "state", "wanted"]

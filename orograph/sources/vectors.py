@@ -85,3 +85,23 @@ def write_tree(tiles: DataFrame, folder: str) -> int:
 def missing(wanted: DataFrame, done: DataFrame) -> DataFrame:
     """Tiles (depth, x, y) that a tree does not hold yet: what a resumed run has to make."""
     return wanted.join(done.select("depth", "x", "y"), ["depth", "x", "y"], "left_anti")
+
+
+def delete_tiles(tiles: DataFrame, folder: str) -> int:
+    """Deletes the files of tiles (depth, x, y) from a tree; how many there were."""
+    from pyarrow.fs import FileSystem, FileType
+
+    def run(batches):
+        import pyarrow as pa
+
+        files, base = FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
+        n = 0
+        for b in batches:
+            for depth, x, y in zip(*(b.column(c).to_pylist() for c in ("depth", "x", "y"))):
+                path = f"{base}/{depth}/{x}/{y}.terrain"
+                if files.get_file_info(path).type == FileType.File:
+                    files.delete_file(path)
+                    n += 1
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
+
+    return tiles.select("depth", "x", "y").distinct().mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]

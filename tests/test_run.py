@@ -48,6 +48,10 @@ def test_a_run_and_going_on(spark, dem, tmp_path):
     again = run.convert(spark, Options(**{**o.__dict__, "resume": True}))
     assert again == {0: 0, 1: 0, 2: 0, 3: 1} and some[0].exists()
     raw = some[0].read_bytes()
+    state = run.state(spark, o, 3)
+    assert state.count() == first[3]
+    gone = spark.createDataFrame([(3, int(some[0].parent.name), int(some[0].stem)), (3, 0, 0)], "depth int, x int, y int")
+    assert vectors.delete_tiles(gone, o.output) == 1 and not some[0].exists()
     tile = P.decode_tile(raw)
     assert tile["normals"].shape == (len(tile["u"]), 2) and len(tile["edges"]) == 4
 
