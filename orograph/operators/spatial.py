@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,9 +18,9 @@ def cell_size(*tables: DataFrame) -> float:
     """Cells about as large as half of the extents are at most, so that a cell's extents are mostly neighbours; and not so small that
     the largest extent lies in more than 100 by 100 of them."""
     side = F.greatest(F.col("max_lon") - F.col("min_lon"), F.col("max_lat") - F.col("min_lat"))
-    found = [t.agg(F.percentile_approx(side, 0.5, 1000).alias("half"), F.max(side).alias("most")).first() for t in tables]
-    known = [r for r in found if r["most"] is not None]
-    return max([1e-6, *(max(r["half"], r["most"] / 100) for r in known)])
+    sides = [t.select(F.lit(k).alias("k"), side.alias("side")) for k, t in enumerate(tables)]
+    found = reduce(DataFrame.union, sides).groupBy("k").agg(F.percentile_approx("side", 0.5, 1000).alias("half"), F.max("side").alias("most")).collect()  # a row a table
+    return max([1e-6, *(max(r["half"], r["most"] / 100) for r in found if r["most"] is not None)])
 
 
 def _in_cells(df: DataFrame, size: float) -> DataFrame:
