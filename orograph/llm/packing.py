@@ -31,7 +31,7 @@ UNIT = 16
 END_TOKEN = 2
 RANK_ROWS = 100_000
 """Pieces of a bin that are ranked together, about; a bin's parts follow its size."""
-CACHE_PARTS = 120_000
+CACHE_PARTS = 250_000
 """Parts in a worker's table, about; it has this one and the last."""
 SLICE = 2 << 20
 
@@ -42,8 +42,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-_PARTS = re.compile(rb"\n|[^\s']*'[^\s]*|[a-z\x80-\xff]+|[0-9]|[^a-z0-9\x80-\xff\s]+")
-"""Of a stretch without white space: the whole of one with an apostrophe, else letters, a digit, or signs. A line feed ends a stretch."""
+_FEED, _LETTER, _DIGIT, _SIGN, _WHOLE = range(5)
+_SORT = np.full(256, _SIGN, np.uint8)
+_SORT[0x61:0x7B], _SORT[0x80:], _SORT[0x30:0x3A], _SORT[0x0A] = _LETTER, _LETTER, _DIGIT, _FEED
+"""Sorts of bytes in lower case: letters in a row are a part of a stretch, as are signs; each digit is one."""
 
 
 _SINGLE = re.compile(r"[0-9]|[^a-zA-Z0-9\s']+", re.A)
@@ -135,25 +137,37 @@ class _Encoder:
         self.ids = np.concatenate([self.ids, ids, again])
 
     def _stretches(self, found: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of these stretches end to end, and the n + 1 bounds."""
+        """Ids of these stretches end to end, and the n + 1 bounds. Parts are found by the sorts of neighbouring bytes, and Arrow
+        numbers the distinct ones; a stretch with an apostrophe is one part."""
+        n = len(found)
+        if not n:
+            return np.zeros(0, np.uint32), np.zeros(1, np.int64)
         if len(self.known) > CACHE_PARTS:
             self.turn()
-        whole = pa.ListArray.from_arrays(pa.array([0, len(found)], pa.int32()), found.cast(pa.string()))
-        joined = pc.binary_join(whole, "\n")[0].as_buffer().to_pybytes() + b"\n" if len(found) else b""
-        odd = self._odd(joined)
-        if odd or b"<|" in joined:
-            parts: list[bytes] = []
-            for x in found.cast(pa.large_binary()).to_pylist():
-                whole = b"<|" in x or bool(odd) and not x.isascii() and not odd.isdisjoint(x.decode("utf-8", "replace"))
-                parts += [x] if whole else _PARTS.findall(x.lower())
-                parts.append(b"\n")
-        else:
-            parts = _PARTS.findall(joined.lower())
-        at = np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts))
+        listed = pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), found.cast(pa.string()))
+        joined = pc.binary_join(listed, "\n")[0].as_buffer().to_pybytes() + b"\n"
+        raw, data = np.frombuffer(joined, np.uint8), np.frombuffer(joined.lower(), np.uint8)
+        feed = data == 0x0A
+        of = np.cumsum(feed) - feed
+        as_is = np.zeros(n, bool)  # stretches whose letters' case may tell a special token, or that are not plain
+        as_is[of[:-1][(data[:-1] == 0x3C) & (data[1:] == 0x7C)]] = True
+        if odd := self._odd(joined):
+            as_is |= np.fromiter((not x.isascii() and not odd.isdisjoint(x) for x in found.to_pylist()), bool, n)
+        whole = as_is.copy()
+        whole[of[data == 0x27]] = True
+        sort = np.where(whole[of] & ~feed, np.uint8(_WHOLE), _SORT[data])
+        begins = ~feed
+        begins[1:] &= (sort[1:] != sort[:-1]) | (sort[1:] == _DIGIT)
+        starts = np.flatnonzero(begins)
+        letters = np.where(as_is[of], raw, data)[~feed]
+        ends = np.append(starts - of[starts], len(letters)).astype(np.int64)
+        parts = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(letters)]).dictionary_encode()
+        distinct = parts.dictionary.to_pylist()
+        at = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
         if self.known.fresh:
             self._learn()
-        ids, done = _gathered(self.ids, self.starts, self.sizes, at)
-        return ids, np.concatenate([[0], done[1:][at == self.known[b"\n"]]])
+        ids, done = _gathered(self.ids, self.starts, self.sizes, at[parts.indices.to_numpy(zero_copy_only=False)])
+        return ids, done[np.concatenate([[0], np.cumsum(np.bincount(of[starts], minlength=n))])]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's followed by END_TOKEN, and the n + 1 bounds."""
