@@ -252,7 +252,13 @@ def _hits(texts: pa.Array, block: Block, below: bool) -> tuple[np.ndarray, np.nd
     return hit, bounds, [sorted(s) for s in items], longest, place
 
 
-_FOUND = [("bits", pa.binary(), BinaryType()), ("n", pa.int64(), LongType()), ("items", pa.list_(pa.string()), ArrayType(StringType())), ("longest", pa.int64(), LongType()), ("place", pa.int64(), LongType())]
+_FOUND = [
+    ("bits", pa.binary(), BinaryType()),
+    ("n", pa.int64(), LongType()),
+    ("items", pa.list_(pa.string()), ArrayType(StringType())),
+    ("longest", pa.int64(), LongType()),
+    ("place", pa.int64(), LongType()),
+]
 """What is found in a document: a bit for each word, their number, its items, its longest match and that one's place."""
 
 Finish = Callable[[pa.RecordBatch, list], pa.RecordBatch]

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import quoted, table
 
 SHARDS = 16
 PART_ROWS = 20_000
@@ -70,19 +70,29 @@ def sharded(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, part_rows:
     marks = [F.xxhash64("doc_id", size, crc, F.lit(seed * 8 + k)) for k in range(4)]
     parts = min(MAX_PARTS, max(16 * shards, -(-docs.count() // part_rows)))
     # Rows of one doc_id and text are told apart by their other columns; maps have no hash.
-    rest = F.xxhash64(*(F.col(f"`{f.name.replace('`', '``')}`") for f in docs.schema if "map<" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"))
-    dealt = docs.select(F.struct("*").alias("row"), F.pmod(marks[0], F.lit(parts)).alias("__part"), F.struct(marks[1], "doc_id", size, crc, rest).alias("__order"), F.struct(marks[3], "doc_id", size, crc, rest).alias("__again"), F.pmod(marks[2], F.lit(max(1, parts // shards))).alias("__piece"))
+    hashed = [f for f in docs.schema if "map<" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"]
+    rest = F.xxhash64(*(F.col(quoted(f.name)) for f in hashed))
+    order = lambda mark: F.struct(mark, "doc_id", size, crc, rest)
+    dealt = docs.select(
+        F.struct("*").alias("row"),
+        F.pmod(marks[0], F.lit(parts)).alias("__part"),
+        order(marks[1]).alias("__order"),
+        order(marks[3]).alias("__again"),
+        F.pmod(marks[2], F.lit(max(1, parts // shards))).alias("__piece"),
+    )
     counts = {r[0]: r[1] for r in dealt.groupBy("__part").count().collect()}  # parts rows
     matrix = communication_matrix(np.array([counts.get(p, 0) for p in range(parts)], np.int64), shards, seed)
     ends = np.cumsum(matrix, axis=1)
-    cuts = spark.createDataFrame([(int(p), int(j), int(ends[p, j] - matrix[p, j]), int(ends[p, j])) for p, j in zip(*np.nonzero(matrix))], "__p long, shard int, __from long, __to long")
+    rows = [(int(p), int(j), int(ends[p, j] - matrix[p, j]), int(ends[p, j])) for p, j in zip(*np.nonzero(matrix))]
+    cuts = spark.createDataFrame(rows, "__p long, shard int, __from long, __to long")
     local = dealt.withColumn("__n", F.row_number().over(Window.partitionBy("__part").orderBy("__order")) - 1)
     there = (F.col("__part") == F.col("__p")) & (F.col("__n") >= F.col("__from")) & (F.col("__n") < F.col("__to"))
     again = local.join(F.broadcast(cuts), there).select("row", "shard", "__again", "__piece")  # cuts: parts * shards rows of four numbers
 
     # The second permutation: a shard's slots are dealt to pieces by another hash, so that no task sorts a whole shard.
     sizes = again.groupBy("shard", "__piece").count()
-    before = sizes.select("shard", "__piece", (F.sum("count").over(Window.partitionBy("shard").orderBy("__piece")) - F.col("count")).alias("__before"))  # parts rows
+    so_far = F.sum("count").over(Window.partitionBy("shard").orderBy("__piece")) - F.col("count")
+    before = sizes.select("shard", "__piece", so_far.alias("__before"))  # parts rows
     placed = again.withColumn("__n", F.row_number().over(Window.partitionBy("shard", "__piece").orderBy("__again")) - 1)
     return placed.join(F.broadcast(before), ["shard", "__piece"]).select("row", "shard", (F.col("__before") + F.col("__n")).cast("long").alias("slot"))
 

@@ -178,7 +178,10 @@ def _number(field: str | None) -> int | None:
     return int(text) if text else None
 
 
-_READ = [("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("said", pa.string()), ("chunk", pa.int32()), ("n", pa.int64()), ("digest", pa.string()), ("last", pa.bool_())]
+_READ = [
+    ("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("said", pa.string()),
+    ("chunk", pa.int32()), ("n", pa.int64()), ("digest", pa.string()), ("last", pa.bool_()),
+]
 
 
 def read_chunks(manifest: DataFrame, folder: str, ends_only: bool = False) -> DataFrame:
