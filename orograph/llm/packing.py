@@ -31,7 +31,7 @@ UNIT = 16
 END_TOKEN = 2
 RANK_ROWS = 100_000
 """Pieces of a bin that are ranked together, about; a bin's parts follow its size."""
-CACHE_PARTS = 250_000
+CACHE_PARTS = 160_000
 """Parts in a worker's table, about; it has this one and the last."""
 SLICE = 2 << 20
 
