@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .storage import spread
 
 LEGEND_ROWS = 10_000
 
@@ -118,17 +119,29 @@ def compacted(faces: DataFrame) -> tuple[DataFrame, DataFrame]:
     return index, out.select("face", *(F.col(f"i{k}").alias(f"v{k}") for k in range(3)))
 
 
-def scattered(features: DataFrame, n: Column, seed: int = 0, tries: int = 16) -> DataFrame:
-    """id, k, x, y: up to n points within each feature's outer ring (id, ring), the same for equal ids and seeds on every run.
+MOST_IN_A_ROW = 10_000
+"""Points of a feature that are found within one row; those of features that ask for more are rows from the start."""
+
+
+def scattered(features: DataFrame, n: Column, seed: int = 0, tries: int = 16, keep: tuple[str, ...] = ()) -> DataFrame:
+    """id, k, x, y and the features' columns keep: up to n points within each feature's outer ring (id, ring), the same for
+    equal ids and seeds on every run.
 
     Candidates are dealt over the ring's box by a hash, tries for each point wanted; the first n of those inside count. A ring
-    that fills a small part of its box may get fewer.
+    that fills a small part of its box may get fewer. Candidates are made n at a time, and none once n are inside; features that want
+    more than MOST_IN_A_ROW points make them all, as rows, which give the same points.
     """
     at = lambda pick, c: pick(F.transform("ring", lambda p: p[c]))
-    rows = features.withColumns({"__n": n, "__x": at(F.array_min, "x"), "__y": at(F.array_min, "y"), "__w": at(F.array_max, "x") - at(F.array_min, "x"), "__h": at(F.array_max, "y") - at(F.array_min, "y")})
+    rows = spread(features.withColumn("__n", n).select("id", "ring", "__n", *keep)).withColumns({"__x": at(F.array_min, "x"), "__y": at(F.array_min, "y"), "__w": at(F.array_max, "x") - at(F.array_min, "x"), "__h": at(F.array_max, "y") - at(F.array_min, "y")})
     share = lambda k, axis: F.pmod(F.xxhash64(F.lit(seed), "id", k, F.lit(axis)), F.lit(1 << 30)) / float(1 << 30)
-    each = rows.where("__n > 0").withColumn("__k", F.explode(F.sequence(F.lit(0), F.col("__n") * tries - 1)))
-    each = each.withColumns({"x": F.col("__x") + share(F.col("__k"), 0) * F.col("__w"), "y": F.col("__y") + share(F.col("__k"), 1) * F.col("__h")})
-    inside = each.where(in_ring(F.col("ring"), F.col("x"), F.col("y")))
-    ranked = inside.withColumn("k", F.row_number().over(Window.partitionBy("id").orderBy("__k")) - 1)
-    return ranked.where(F.col("k") < F.col("__n")).select("id", "k", "x", "y")
+    candidate = lambda k: F.struct((F.col("__x") + share(k, 0) * F.col("__w")).alias("x"), (F.col("__y") + share(k, 1) * F.col("__h")).alias("y"))
+    inside = lambda p: in_ring(F.col("ring"), p["x"], p["y"])
+
+    few = rows.where((F.col("__n") > 0) & (F.col("__n") <= MOST_IN_A_ROW))
+    some = lambda t: F.filter(F.transform(F.sequence(t * F.col("__n"), (t + 1) * F.col("__n") - 1), candidate), inside)
+    found = F.aggregate(F.sequence(F.lit(0), F.lit(tries - 1)), F.filter(F.array(candidate(F.lit(0))), lambda p: F.lit(False)), lambda got, t: F.when(F.size(got) >= F.col("__n"), got).otherwise(F.concat(got, some(t))))
+    out = few.select("id", *keep, F.posexplode(F.slice(found, F.lit(1), F.col("__n").cast("int"))).alias("k", "p")).select("id", "k", "p.x", "p.y", *keep)
+
+    each = rows.where(F.col("__n") > MOST_IN_A_ROW).withColumn("__k", F.explode(F.sequence(F.lit(0), F.col("__n") * tries - 1))).withColumn("__p", candidate(F.col("__k")))
+    ranked = each.where(inside(F.col("__p"))).withColumn("k", F.row_number().over(Window.partitionBy("id").orderBy("__k")) - 1)
+    return out.unionByName(ranked.where(F.col("k") < F.col("__n")).select("id", "k", F.col("__p.x").alias("x"), F.col("__p.y").alias("y"), *keep))
