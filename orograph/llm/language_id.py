@@ -77,12 +77,16 @@ class ByteNetwork:
         self.p |= {f"c{d}": np.zeros(3 * hidden, np.float32) for d in "fb"}
         self.p |= {"o": (rng.normal(size=(2 * hidden, len(languages))) * 0.2).astype(np.float32), "ob": np.zeros(len(languages), np.float32)}
 
+    def _gates(self, d: str) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Weights by byte and of the state, an array for each gate; sigmoid(x) is (1 + tanh(x / 2)) / 2, and the halves are in the weights."""
+        k = self.hidden
+        split = lambda w: [np.ascontiguousarray(w[:, i * k : (i + 1) * k] * w.dtype.type(0.5 if i < 2 else 1)) for i in range(3)]
+        return split(self.p[f"x{d}"] + self.p[f"c{d}"]), split(self.p[f"u{d}"])
+
     def _states(self, d: str, seq: np.ndarray) -> Iterator[tuple]:
         """Position, the state before it, what the gates make of it and the state after it, in direction d."""
         k, t = self.hidden, seq.shape[1]
-        # One array for each gate; sigmoid(x) is (1 + tanh(x / 2)) / 2, and the halves are in the weights.
-        split = lambda w: [np.ascontiguousarray(w[:, i * k : (i + 1) * k] * w.dtype.type(0.5 if i < 2 else 1)) for i in range(3)]
-        by_byte, inner = split(self.p[f"x{d}"] + self.p[f"c{d}"]), split(self.p[f"u{d}"])
+        by_byte, inner = self._gates(d)
         h = np.zeros((len(seq), k), by_byte[0].dtype)
         for i in range(t) if d == "f" else range(t - 1, -1, -1):
             byte = seq[:, i]
@@ -107,6 +111,40 @@ class ByteNetwork:
         s /= s.sum(axis=2, keepdims=True)
         return s
 
+    def core(self, seq: np.ndarray, margin: int = MARGIN) -> np.ndarray:
+        """positions(seq) between the margins as (language, time, window), without what is not needed for it: each direction ends
+        at its far margin, no margin is labelled, and steps write into the same arrays."""
+        n, t = seq.shape
+        kind = self.p["o"].dtype
+        s = np.zeros((len(self.languages), t - 2 * margin, n), kind)
+        bytes_at = np.ascontiguousarray(seq.T).astype(np.intp)
+        z, r, new, part, h = (np.zeros((n, self.hidden), kind) for _ in range(5))
+        half, one = kind.type(0.5), kind.type(1)
+        for d, o in (("f", self.p["o"][: self.hidden]), ("b", self.p["o"][self.hidden :])):
+            by_byte, inner = self._gates(d)
+            h[:] = 0
+            for i in range(t - margin) if d == "f" else range(t - 1, margin - 1, -1):
+                for gate, out in enumerate((z, r, new)):
+                    np.take(by_byte[gate], bytes_at[i], axis=0, out=out, mode="clip")
+                    np.matmul(h, inner[gate], out=part)
+                    if gate == 2:
+                        part *= r
+                    out += part
+                    np.tanh(out, out=out)
+                    if gate < 2:
+                        out += one
+                        out *= half
+                new -= h
+                new *= z
+                h += new
+                if margin <= i < t - margin:
+                    s[:, i - margin] += o.T @ h.T
+        s += self.p["ob"][:, None, None]
+        s -= s.max(axis=0)
+        np.exp(s, out=s)
+        s /= s.sum(axis=0)
+        return s
+
     def gradients(self, seq: np.ndarray, label: np.ndarray) -> dict[str, np.ndarray]:
         """Of the mean negative log-probability of the label over all positions."""
         keep: dict = {}
@@ -156,9 +194,9 @@ class ByteNetwork:
         seq, text, own = windows(data, bounds)
         for lo in range(0, len(seq), WINDOWS_AT_ONCE):
             at = slice(lo, lo + WINDOWS_AT_ONCE)
-            prob = self.positions(seq[at])[MARGIN : MARGIN + CORE]
-            prob[np.arange(CORE)[:, None] >= own[None, at]] = 0
-            np.add.at(total, text[at], prob.sum(0, dtype=np.float64))
+            prob = self.core(seq[at])
+            prob *= np.arange(CORE)[:, None] < own[None, at]
+            np.add.at(total, text[at], prob.sum(1, dtype=np.float64).T)
         return total / np.maximum(1, np.diff(bounds))[:, None]
 
 

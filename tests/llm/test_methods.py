@@ -429,3 +429,11 @@ def test_kept_by_plain_python(spark):
         x, failed = measured(t)
         rejected = any(all(x[c.feature] >= c.threshold if c.above else x[c.feature] < c.threshold for c in rule) for rule in rules)
         assert (got[i]["base_failed"], got[i]["kept"]) == (failed, not failed and not rejected)
+
+
+def test_core_is_what_all_positions_say_between_the_margins():
+    """op10: each direction ran on through the far margin, whose states no labelled position needs, and margins were labelled."""
+    net = language_id.ByteNetwork(["a", "b", "c"], hidden=5)
+    seq = np.random.default_rng(1).integers(0, 256, (9, 40)).astype(np.uint8)
+    got = net.core(seq, 6)
+    assert got.shape == (3, 28, 9) and np.allclose(got, net.positions(seq)[6:-6].transpose(2, 0, 1), atol=1e-6)
